@@ -6,16 +6,37 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docklake.operators.facts import facts
-from docklake.plans.star import big_table
+from docklake.plans.star import big_table, located
 from docklake.sources.feeds import tag_snapshots
 from docklake.sources.tables import clean_station_dim
-from docklake.sources.xml import snapshot_document, station_element
 
 TIE = ("event_id",)
 
 
+# Stated, so that no job has to read file footers first.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+        "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+        "l_shipdate timestamp_ntz"
+    ),
+    "events": (
+        "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+    ),
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def epoch_seconds(ts: Column) -> Column:
@@ -83,45 +104,42 @@ def wide_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return big_table(fact_rows(spark, sf_dir), customer_stations(spark, sf_dir))
 
 
+def located_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return located(observations(spark, sf_dir), customer_stations(spark, sf_dir))
+
+
 # XML snapshots: one document per event with the event's station and a sparsely filled one.
 # A document of a high value is cut short and cannot be parsed.
 
 CUT_VALUE = 100
 
 
-def _document(c) -> Column:
-    number = c("user_id").cast("string")
-    degrees = F.concat(F.lit("41."), F.lpad(number, 9, "0"))
-    whole = station_element(
-        id=number,
-        lat=degrees,
-        long=F.concat(F.lit("2."), F.lpad(number, 9, "0")),
-        street=F.concat(F.lit("<![CDATA[Street "), c("event_type"), F.lit("]]>")),
-        height=F.floor("value").cast("int"),
-        streetNumber=c("event_id"),
-        nearbyStationList=F.concat(number, F.lit(","), c("event_id").cast("string"), F.lit(",x")),
-        status=F.when(c("event_type") == "error", "CLS").otherwise("OPN"),
-        slots=F.get_json_object("props", "$.k"),
-        bikes=F.floor("value").cast("int"),
-    )
-    sparse = station_element(
-        id=F.when(c("event_type") == "view", "none").otherwise(F.concat(F.lit("-"), number)),
-        lat=degrees,
-        long=degrees,
-        street=F.lit(""),
-        height=F.lit(""),
-        streetNumber=F.lit("12b"),
-        nearbyStationList=F.lit(""),
-        status=F.lit("OPN"),
-        bikes=F.concat(F.lit("99999999999"), number),
-    )
-    return snapshot_document(F.concat(whole, sparse), epoch_seconds(c("ts")))
+WHOLE_DOCUMENT = (
+    '<?xml version="1.0" encoding="UTF-8"?><snapshot><updatetime><![CDATA[%s]]></updatetime>'
+    "<station><id>%s</id><lat>41.%s</lat><long>2.%s</long><street><![CDATA[Street %s]]></street>"
+    "<height>%s</height><streetNumber>%s</streetNumber><nearbyStationList>%s,%s,x</nearbyStationList>"
+    "<status>%s</status><slots>%s</slots><bikes>%s</bikes></station>"
+    "<station><id>%s</id><lat>41.%s</lat><long>41.%s</long><street></street><height></height>"
+    "<streetNumber>12b</streetNumber><nearbyStationList></nearbyStationList><status>OPN</status>"
+    "<bikes>99999999999%s</bikes></station></snapshot>"
+)
+CUT_DOCUMENT = "<snapshot><updatetime>soon</updatetime><station>"
 
 
 def snapshot_contents(events: DataFrame) -> DataFrame:
-    document = _document(F.col)
-    cut = F.concat(F.lit("<snapshot><updatetime>soon</updatetime>"), F.lit("<station>"))
-    content = F.when(F.col("value") > CUT_VALUE, cut).otherwise(document)
+    number = F.col("user_id").cast("string")
+    digits = F.lpad(number, 9, "0")
+    bikes = F.floor("value").cast("int")
+    status = F.when(F.col("event_type") == "error", "CLS").otherwise("OPN")
+    slots = F.get_json_object("props", "$.k")
+    second = F.when(F.col("event_type") == "view", "none").otherwise(F.concat(F.lit("-"), number))
+    whole = F.format_string(
+        WHOLE_DOCUMENT,
+        epoch_seconds(F.col("ts")), number, digits, digits, "event_type",
+        bikes, "event_id", number, "event_id", status, slots, bikes,
+        second, digits, digits, number,
+    )
+    content = F.when(F.col("value") > CUT_VALUE, CUT_DOCUMENT).otherwise(whole)
     return events.select(
         F.col("event_id").alias("arrival"), F.col("event_type").alias("feed"), content.alias("content")
     )

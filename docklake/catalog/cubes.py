@@ -108,7 +108,7 @@ def all_combinations(spark, sf_dir):
 
 @named_query("members_distinct", f"WITH {sql.BIG} SELECT DISTINCT district, neighborhood, postal_code FROM big")
 def members_distinct(spark, sf_dir):
-    return STATION_CUBE.members(adapter.wide_table(spark, sf_dir), "StationDistrict", "PostalCode")
+    return STATION_CUBE.members(adapter.located_observations(spark, sf_dir), "StationDistrict", "PostalCode")
 
 
 def _last_sql(path):
@@ -117,17 +117,17 @@ def _last_sql(path):
 
 @named_query("last_month_set", _last_sql("year, trimester, month"))
 def last_month_set(spark, sf_dir):
-    return STATION_CUBE.last_members(adapter.wide_table(spark, sf_dir), "Time", "Month")
+    return STATION_CUBE.last_members(adapter.located_observations(spark, sf_dir), "Time", "Month")
 
 
 @named_query("last_week_set", _last_sql("year, trimester, month, month_week"))
 def last_week_set(spark, sf_dir):
-    return STATION_CUBE.last_members(adapter.wide_table(spark, sf_dir), "Time", "Week")
+    return STATION_CUBE.last_members(adapter.located_observations(spark, sf_dir), "Time", "Week")
 
 
 @named_query("last_hour_set", _last_sql(HOUR_PATH))
 def last_hour_set(spark, sf_dir):
-    return STATION_CUBE.last_members(adapter.wide_table(spark, sf_dir), "Time", "Hour")
+    return STATION_CUBE.last_members(adapter.located_observations(spark, sf_dir), "Time", "Hour")
 
 
 @named_query(
@@ -138,32 +138,37 @@ def last_hour_set(spark, sf_dir):
 )
 def last_three_weeks(spark, sf_dir):
     big = adapter.wide_table(spark, sf_dir)
-    rows = STATION_CUBE.in_set(big, NamedSet("last_three_weeks", "Time", "Week", 3))
+    last = NamedSet("last_three_weeks", "Time", "Week", 3)
+    rows = STATION_CUBE.in_set(big, last, adapter.located_observations(spark, sf_dir))
     return STATION_CUBE.query(rows, [("DayParts", "DayPart")], ["total_traffic"])
 
 
+def _tables(spark, sf_dir, period):
+    return adapter.wide_table(spark, sf_dir), period, adapter.located_observations(spark, sf_dir)
+
+
 def _station_axis_sql(measure, column, period):
     return f"WITH {sql.BIG} SELECT {PATH}, {sql.pivoted(measure, column)} FROM big WHERE {sql.LAST[period]} GROUP BY {PATH}"
 
 
 @named_query("m1", _station_axis_sql("total_bikes_lent", "lent", "last_week"))
 def m1(spark, sf_dir):
-    return saved.lent_by_station(adapter.wide_table(spark, sf_dir), "last_week")
+    return saved.lent_by_station(*_tables(spark, sf_dir, "last_week"))
 
 
 @named_query("m2", _station_axis_sql("total_bikes_lent", "lent", "last_month"))
 def m2(spark, sf_dir):
-    return saved.lent_by_station(adapter.wide_table(spark, sf_dir), "last_month")
+    return saved.lent_by_station(*_tables(spark, sf_dir, "last_month"))
 
 
 @named_query("m3", _station_axis_sql("total_bikes_returned", "returned", "last_week"))
 def m3(spark, sf_dir):
-    return saved.returned_by_station(adapter.wide_table(spark, sf_dir), "last_week")
+    return saved.returned_by_station(*_tables(spark, sf_dir, "last_week"))
 
 
 @named_query("m4", _station_axis_sql("total_bikes_returned", "returned", "last_month"))
 def m4(spark, sf_dir):
-    return saved.returned_by_station(adapter.wide_table(spark, sf_dir), "last_month")
+    return saved.returned_by_station(*_tables(spark, sf_dir, "last_month"))
 
 
 @named_query(
@@ -172,7 +177,7 @@ def m4(spark, sf_dir):
       {sql.pivoted('total_bikes_lent', 'lent')} FROM big WHERE {sql.LAST['last_month']} GROUP BY district""",
 )
 def m5(spark, sf_dir):
-    return saved.movement_by_district(adapter.wide_table(spark, sf_dir))
+    return saved.movement_by_district(*_tables(spark, sf_dir, "last_month"))
 
 
 @named_query(
@@ -191,47 +196,59 @@ def _where_sql(period):
 
 @named_query("m7", _where_sql("last_month"))
 def m7(spark, sf_dir):
-    return saved.where_to_place(adapter.wide_table(spark, sf_dir), "last_month")
+    return saved.where_to_place(*_tables(spark, sf_dir, "last_month"))
 
 
 @named_query("m8", _where_sql("last_week"))
 def m8(spark, sf_dir):
-    return saved.where_to_place(adapter.wide_table(spark, sf_dir), "last_week")
+    return saved.where_to_place(*_tables(spark, sf_dir, "last_week"))
 
 
 # The station of these two reports is the one seen last; its path is read from the wide table.
 AT_LAST_STATION = f"({PATH}) IS NOT DISTINCT FROM (SELECT ({PATH}) FROM big ORDER BY timetag DESC, station DESC LIMIT 1)"
 
 
-def last_seen_path(big):
+def last_seen_path(located):
+    """The path of the station seen last, as scalars of the query that uses them."""
     path = STATION_CUBE.path("StationDistrict", "StationId")
-    last = big.agg(F.max_by(F.struct(*path), F.struct("timetag", "station")).alias("_path"))
-    return list(last.select("_path.*").first())
+    last = located.agg(F.max_by(F.struct(*path), F.struct("timetag", "station")).alias("_path")).select("_path.*")
+    return [last.select(c).scalar() for c in path]
 
 
 @named_query(
     "m9",
-    f"WITH {sql.BIG} SELECT {MINUTE_PATH}, {USAGE_SQL} FROM big WHERE {AT_LAST_STATION} AND {sql.LAST['last_hour']} GROUP BY {MINUTE_PATH}",
+    f"""WITH {sql.BIG} SELECT {MINUTE_PATH}, {USAGE_SQL} FROM big
+    WHERE {AT_LAST_STATION} AND {sql.LAST['last_hour']} GROUP BY {MINUTE_PATH}""",
 )
 def m9(spark, sf_dir):
-    big = adapter.wide_table(spark, sf_dir)
-    return saved.station_last_hour(big, last_seen_path(big))
+    located = adapter.located_observations(spark, sf_dir)
+    return saved.station_last_hour(adapter.wide_table(spark, sf_dir), last_seen_path(located), located)
 
 
-@named_query("m10", f"WITH {sql.BIG} SELECT {MINUTE_PATH}, {USAGE_SQL} FROM big WHERE district = 'EUROPE' GROUP BY {MINUTE_PATH}")
+@named_query(
+    "m10",
+    f"WITH {sql.BIG} SELECT {MINUTE_PATH}, {USAGE_SQL} FROM big WHERE district = 'EUROPE' GROUP BY {MINUTE_PATH}",
+)
 def m10(spark, sf_dir):
     return saved.district_by_minute(adapter.wide_table(spark, sf_dir), "EUROPE")
 
 
-@named_query("m11", f"WITH {sql.BIG} SELECT {HOUR_PATH}, {USAGE_SQL} FROM big WHERE {AT_LAST_STATION} GROUP BY {HOUR_PATH}")
+@named_query(
+    "m11",
+    f"WITH {sql.BIG} SELECT {HOUR_PATH}, {USAGE_SQL} FROM big WHERE {AT_LAST_STATION} GROUP BY {HOUR_PATH}",
+)
 def m11(spark, sf_dir):
-    big = adapter.wide_table(spark, sf_dir)
-    return saved.station_by_hour(big, last_seen_path(big))
+    located = adapter.located_observations(spark, sf_dir)
+    return saved.station_by_hour(adapter.wide_table(spark, sf_dir), last_seen_path(located))
 
 
-@named_query("usage_last_hour", f"WITH {sql.BIG} SELECT {MINUTE_PATH}, {USAGE_SQL} FROM big WHERE {sql.LAST['last_hour']} GROUP BY {MINUTE_PATH}")
+@named_query(
+    "usage_last_hour",
+    f"WITH {sql.BIG} SELECT {MINUTE_PATH}, {USAGE_SQL} FROM big WHERE {sql.LAST['last_hour']} GROUP BY {MINUTE_PATH}",
+)
 def usage_last_hour(spark, sf_dir):
-    rows = STATION_CUBE.in_set(adapter.wide_table(spark, sf_dir), LAST_HOUR)
+    big, last, located = _tables(spark, sf_dir, LAST_HOUR)
+    rows = STATION_CUBE.in_set(big, last, located)
     return STATION_CUBE.query(rows, [("Time", "Minute")], saved.USAGE)
 
 

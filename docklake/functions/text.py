@@ -22,7 +22,8 @@ def first_group(text: Column, pattern: str, group: int = 1) -> Column:
 
 
 def updatetime_seconds(content: Column) -> Column:
-    return first_group(content, UPDATETIME_PATTERN).try_cast("bigint")
+    # No match is the empty text, which is no number; one evaluation of the pattern is enough.
+    return F.regexp_extract(content, UPDATETIME_PATTERN, 1).try_cast("bigint")
 
 
 def updatetime_millis(content: Column) -> Column:

@@ -105,7 +105,7 @@ class Cube:
     # slicers
 
     def at_member(self, table: DataFrame, hierarchy: str, level: str, member: Sequence[Any]) -> DataFrame:
-        """Rows below one member, given as its path from the top."""
+        """Rows below one member, given as its path from the top: values or scalar columns."""
         path = self.path(hierarchy, level)
         if len(member) != len(path):
             raise ValueError(f"a member of {level} has {len(path)} parts")

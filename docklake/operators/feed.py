@@ -12,7 +12,7 @@ from docklake.operators.ordered import Bucket, with_previous, with_running_max
 
 
 def seconds_bucket(order: str, seconds: int, name: str = "slice") -> Bucket:
-    return Bucket(name, F.floor(F.col(order) / seconds))
+    return Bucket(name, f"{order} div {seconds}")
 
 
 def refresh_gaps(times: DataFrame, seconds: int = 86_400) -> DataFrame:

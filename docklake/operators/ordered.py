@@ -12,22 +12,22 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
 @dataclass(frozen=True)
 class Bucket:
-    """A named bucket expression over the order column, or over the next finer bucket.
+    """A named SQL expression over the order column, or over the next finer bucket.
     It must never decrease as that column grows."""
 
     name: str
-    expr: Column
+    expr: str
 
 
 def day_bucket(order: str = "timetag", name: str = "day") -> Bucket:
     """One day. A feed stamped in whole seconds with unique (key, time) has at most 86,400 rows in it."""
-    return Bucket(name, F.to_date(order))
+    return Bucket(name, f"to_date({order})")
 
 
 def with_previous(
@@ -51,7 +51,7 @@ def with_previous(
         result = body.withColumn(out, F.lag(value).over(Window.partitionBy(*keys).orderBy(order)))
         return result if initial is None else result.where(F.col(order).isNotNull())
     bucket, coarser = buckets[0], buckets[1:]
-    body = df.withColumn(bucket.name, bucket.expr)
+    body = df.withColumn(bucket.name, F.expr(bucket.expr))
     if ends is None:
         ends = body.groupBy(*keys, bucket.name).agg(F.max_by(value, order).alias(value))
     seeds = (
@@ -79,7 +79,7 @@ def with_running_max(
         result = body.withColumn(out, F.max(value).over(frame))
         return result if initial is None else result.where(F.col(order).isNotNull())
     bucket, coarser = buckets[0], buckets[1:]
-    body = df.withColumn(bucket.name, bucket.expr)
+    body = df.withColumn(bucket.name, F.expr(bucket.expr))
     tops = body.groupBy(*keys, bucket.name).agg(F.max(value).alias(value))
     seeds = (
         with_running_max(tops, keys, bucket.name, value, "_seed", coarser, initial)

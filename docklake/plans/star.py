@@ -39,6 +39,13 @@ def big_table(
     return wide.select(*BIG_TABLE_COLUMNS)
 
 
+def located(obs: DataFrame, stations: DataFrame, week_rule: str = "us") -> DataFrame:
+    """Observations of known stations with their place and calendar, without any measure. It has
+    the members of the wide table, so "last" members are found here without computing facts."""
+    wide = obs.select("station", "timetag").join(_dimension(stations), "station")
+    return wide.withColumns(calendar_parts(F.col("timetag"), week_rule))
+
+
 def star_join(facts: DataFrame, stations: DataFrame, times: DataFrame) -> DataFrame:
     """Facts with both stored dimensions joined on."""
     joined = facts.select(*FACT_COLUMNS).join(_dimension(stations), "station").join(times, "timetag")

@@ -61,8 +61,8 @@ def snapshot_files(spark: SparkSession, path: str, limit: int | None = None) ->
 
 def snapshot_file_stream(spark: SparkSession, path: str, files_per_batch: int = 100) -> DataFrame:
     """The same as a stream, oldest files first, with bounded micro-batches."""
-    reader = spark.readStream.option("wholetext", "true").option("maxFilesPerTrigger", files_per_batch)
-    return reader.text(path).select(
+    reader = spark.readStream.option("maxFilesPerTrigger", files_per_batch)
+    return reader.text(path, wholetext=True).select(
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_modification_time").alias("arrival"),
         F.col("value").alias("content"),

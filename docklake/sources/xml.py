@@ -30,9 +30,10 @@ def rejected(parsed: DataFrame) -> DataFrame:
 
 def station_rows(parsed: DataFrame, *carry: str) -> DataFrame:
     """One row of raw text fields per station of every accepted document."""
-    rows = accepted(parsed).select(
-        *carry, _snapshot_seconds().alias("updatetime"), F.explode("document.station").alias("station")
-    )
+    # The condition sits inside the generator: as a filter it would be pushed below the parsing
+    # and every document would be parsed twice.
+    stations = F.when(_snapshot_seconds().isNotNull(), F.col("document.station"))
+    rows = parsed.select(*carry, _snapshot_seconds().alias("updatetime"), F.explode(stations).alias("station"))
     return rows.select(*carry, "updatetime", "station.*")
 
 
@@ -75,20 +76,3 @@ def rejected_stations(raw: DataFrame, *carry: str, content: str = "content") ->
 def snapshot_times(raw: DataFrame, content: str = "content") -> DataFrame:
     """The ``updatetime`` of each accepted document."""
     return accepted(with_document(raw, content)).select(_snapshot_seconds().alias("updatetime"))
-
-
-def snapshot_document(stations: Column, updatetime: Column) -> Column:
-    """The text of a document around already rendered ``<station>`` elements."""
-    return F.concat(
-        F.lit('<?xml version="1.0" encoding="UTF-8"?><snapshot><updatetime><![CDATA['),
-        updatetime.cast("string"),
-        F.lit("]]></updatetime>"),
-        stations,
-        F.lit("</snapshot>"),
-    )
-
-
-def station_element(**fields: Column) -> Column:
-    """One ``<station>`` element; null fields are left out."""
-    parts = [F.concat(F.lit(f"<{tag}>"), value.cast("string"), F.lit(f"</{tag}>")) for tag, value in fields.items()]
-    return F.concat(F.lit("<station>"), F.concat_ws("", *parts), F.lit("</station>"))
