@@ -11,13 +11,14 @@ from pyspark.sql.streaming import DataStreamWriter
 from docklake.catalog import adapter, sql
 from docklake.catalog.feeds import NEWEST, STATE, window_sql
 from docklake.catalog.registry import named_query
+from docklake.operators.feed import seconds_bucket
 from docklake.plans.star import star_join
 from docklake.schemas import BIG_TABLE_COLUMNS, FACT_COLUMNS
 from docklake.session import scratch_dir
 from docklake.sinks.files import upsert
 from docklake.sources import xml
 from docklake.sources.feeds import readable
-from docklake.streaming import jobs, stateful
+from docklake.streaming import jobs
 
 PARTS = 3
 
@@ -65,27 +66,6 @@ def stream_delta(spark, sf_dir):
     return spark.read.parquet(f"{folder}/out").select(*FACT_COLUMNS)
 
 
-@named_query(
-    "stream_stateful_delta",
-    """WITH moved AS (SELECT user_id AS station, ts AS timetag,
-        CASE WHEN event_type = 'error' THEN 'CLS' ELSE 'OPN' END AS status, CAST(floor(value) AS INTEGER) AS bikes,
-        CAST(json_extract_string(props, '$.k') AS INTEGER) AS slots,
-        lag(CAST(floor(value) AS INTEGER)) OVER (PARTITION BY user_id ORDER BY ts) AS previous FROM events)
-    SELECT station, timetag, status, CAST(CASE WHEN status = 'OPN' THEN slots ELSE 0 END AS BIGINT) AS slots,
-      CAST(CASE WHEN status = 'OPN' THEN bikes ELSE 0 END AS BIGINT) AS available,
-      CAST(CASE WHEN status = 'OPN' THEN slots + bikes ELSE 0 END AS BIGINT) AS capacity,
-      CAST(coalesce(greatest(previous - bikes, 0), 0) AS BIGINT) AS lent,
-      CAST(coalesce(greatest(bikes - previous, 0), 0) AS BIGINT) AS returned FROM moved""",
-)
-def stream_stateful_delta(spark, sf_dir):
-    def job(events, folder):
-        obs = adapter.observations_of(events, F.col("ts"))
-        return _parquet(stateful.stateful_facts(obs), folder)
-
-    folder = run_in_slices(spark, _events(spark, sf_dir), "event_id", job)
-    return spark.read.parquet(f"{folder}/out").select(*FACT_COLUMNS)
-
-
 @named_query("stream_big_table", f"WITH {sql.BIG} SELECT * FROM big")
 def stream_big_table(spark, sf_dir):
     stations = adapter.customer_stations(spark, sf_dir)
@@ -184,32 +164,23 @@ def stream_dedup(spark, sf_dir):
     return spark.read.parquet(f"{folder}/out").select("datasource", "timestamp_ms")
 
 
-MONOTONE_SQL = """SELECT datasource, timestamp_ms, arrival FROM (
+NEWER = """SELECT datasource, timestamp_ms, arrival FROM (
       SELECT o_orderpriority AS datasource, CAST(epoch(o_orderdate) AS BIGINT) * 1000 AS timestamp_ms,
              o_orderkey AS arrival FROM orders)
     QUALIFY timestamp_ms > coalesce(max(timestamp_ms) OVER (
       PARTITION BY datasource ORDER BY arrival ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), -1)"""
 
 
-@named_query("stream_monotone", MONOTONE_SQL)
+@named_query("stream_monotone", NEWER)
 def stream_monotone(spark, sf_dir):
     def job(raw, folder):
         sink = jobs.batch_directory(f"{folder}/out")
-        return jobs.monotone_batches(raw, [sink], f"{folder}/newest")
+        return jobs.monotone_batches(raw, [sink], f"{folder}/newest", buckets=[seconds_bucket("arrival", 10_000)])
 
     folder = run_in_slices(spark, adapter.order_snapshots(spark, sf_dir), "arrival", job)
     return spark.read.parquet(f"{folder}/out").select("datasource", "timestamp_ms", "arrival")
 
 
-@named_query("stream_stateful_monotone", MONOTONE_SQL)
-def stream_stateful_monotone(spark, sf_dir):
-    def job(raw, folder):
-        return _parquet(stateful.stateful_monotone(raw), folder)
-
-    folder = run_in_slices(spark, adapter.order_snapshots(spark, sf_dir), "arrival", job)
-    return spark.read.parquet(f"{folder}/out")
-
-
 @named_query("stream_merge", f"WITH {NEWEST} SELECT {STATE} FROM newest")
 def stream_merge(spark, sf_dir):
     def job(events, folder):

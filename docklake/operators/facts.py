@@ -14,7 +14,7 @@ from docklake.operators.ordered import Bucket, day_bucket, with_previous
 def unique_observations(obs: DataFrame, tie: Sequence[str] = ()) -> DataFrame:
     """One row per (station, timetag): the last by ``tie``. Combined before the shuffle, so what a
     busy station sends on is bounded by its distinct seconds, not by its repeats."""
-    row = F.max(F.struct(*tie, "status", "slots", "bikes")).alias("_row")
+    row = F.max(F.struct(*tie, "bikes", "slots", "status")).alias("_row")
     fields = [f"_row.{name}" for name in ("status", "slots", "bikes")]
     return obs.groupBy("station", "day", "timetag").agg(row).select("station", "day", "timetag", *fields)
 
@@ -41,7 +41,7 @@ def facts(
         rows = unique_observations(dated, tie)
         if buckets[0].name == "day":
             # The last count of a day needs no prior de-duplication, only the same tie order.
-            last = F.max_by("bikes", F.struct("timetag", *tie, "status", "slots", "bikes"))
+            last = F.max(F.struct("timetag", *tie, "bikes"))["bikes"]
             ends = dated.groupBy("station", "day").agg(last.alias("bikes"))
     moved = with_previous(rows, ["station"], "timetag", "bikes", "previous", buckets, initial, ends)
     measures = fact_measures(F.col("status"), F.col("slots"), F.col("bikes"), F.col("previous"))
@@ -50,5 +50,5 @@ def facts(
 
 def last_counts(obs: DataFrame, tie: Sequence[str] = ()) -> DataFrame:
     """The count and time each station ends on."""
-    last = F.max_by(F.struct("bikes", "timetag"), F.struct("timetag", *tie, "status", "slots", "bikes"))
-    return obs.groupBy("station").agg(last.alias("_row")).select("station", "_row.*")
+    last = F.max(F.struct("timetag", *tie, "bikes")).alias("_row")
+    return obs.groupBy("station").agg(last).select("station", "_row.bikes", "_row.timetag")

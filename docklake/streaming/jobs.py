@@ -21,6 +21,7 @@ from docklake.sinks.files import upsert
 from docklake.streaming.carried import CarriedTable
 
 BatchSink = Callable[[DataFrame, int], None]
+StateUpdate = Callable[[DataFrame, DataFrame], tuple[DataFrame, DataFrame]]
 
 
 def start(writer: DataStreamWriter, checkpoint: str, interval: str | None = None) -> StreamingQuery:
@@ -68,67 +69,71 @@ def big_table_sink(path: str, staging: str, stations: DataFrame) -> BatchSink:
 # jobs
 
 
-def fact_batches(
-    obs: DataFrame, sinks: Sequence[BatchSink], state_path: str, tie: Sequence[str] = (), late: str = "keep"
+def stateful_batches(
+    stream: DataFrame, update: StateUpdate, state_path: str, state_schema: str, sinks: Sequence[BatchSink]
 ) -> DataStreamWriter:
-    """Facts of a stream of observations.
-
-    Inside a micro-batch rows are ordered by time; the first row of a station compares with the
-    last count of the batch before. ``late="keep"`` treats a row older than that count like any
-    other, ``late="drop"`` leaves it out.
-    """
-    if late not in ("keep", "drop"):
-        raise ValueError(f"unknown late rule {late!r}")
-    stamp = obs.schema["timetag"].dataType.simpleString()
-    number = obs.schema["station"].dataType.simpleString()
-    carried = CarriedTable(state_path, f"station {number}, bikes int, timetag {stamp}")
+    """Run ``update(rows, before) -> (output, after)`` on every micro-batch. Both states are keyed
+    frames of ``state_schema``, kept below ``state_path``; ``after`` is complete, so a key stays
+    until the update leaves it out. All of it is DataFrame work, spread over the cluster."""
+    carried = CarriedTable(state_path, state_schema)
 
     def process(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        before = carried.before(batch.sparkSession, batch_id)
         rows = batch.persist()
         try:
-            if late == "drop":
-                known = before.select("station", F.col("timetag").alias("_known"))
-                fresh = F.col("_known").isNull() | (F.col("timetag") > F.col("_known"))
-                rows_in = rows.join(known, "station", "left").where(fresh).drop("_known")
-            else:
-                rows_in = rows
-            produced = facts(rows_in, tie, initial=before.select("station", "bikes"))
+            output, after = update(rows, carried.before(batch.sparkSession, batch_id))
             for sink in sinks:
-                sink(produced, batch_id)
-            after = last_counts(rows_in, tie).alias("new").join(before.alias("old"), "station", "full")
-            hit = F.col("new.timetag").isNotNull()
-            values = [F.when(hit, F.col(f"new.{n}")).otherwise(F.col(f"old.{n}")).alias(n) for n in ("bikes", "timetag")]
-            carried.store(after.select("station", *values), batch_id)
+                sink(output, batch_id)
+            carried.store(after, batch_id)
         finally:
             rows.unpersist()
 
-    return obs.writeStream.foreachBatch(process)
+    return stream.writeStream.foreachBatch(process)
+
+
+def fact_batches(
+    obs: DataFrame, sinks: Sequence[BatchSink], state_path: str, tie: Sequence[str] = (), late: str = "keep"
+) -> DataStreamWriter:
+    """Facts of a stream of observations.
+
+    Inside a micro-batch rows are ordered by time; the first row of a station compares with the
+    last count of the batch before. ``late="keep"`` treats a row older than that count like any
+    other, ``late="drop"`` leaves it out.
+    """
+    if late not in ("keep", "drop"):
+        raise ValueError(f"unknown late rule {late!r}")
+    kinds = {field.name: field.dataType.simpleString() for field in obs.schema.fields}
+    schema = f"station {kinds['station']}, bikes int, timetag {kinds['timetag']}"
+
+    def update(rows: DataFrame, before: DataFrame) -> tuple[DataFrame, DataFrame]:
+        if late == "drop":
+            known = before.select("station", F.col("timetag").alias("_known"))
+            fresh = F.col("_known").isNull() | (F.col("timetag") > F.col("_known"))
+            rows = rows.join(known, "station", "left").where(fresh).drop("_known")
+        output = facts(rows, tie, initial=before.select("station", "bikes"))
+        joined = last_counts(rows, tie).alias("new").join(before.alias("old"), "station", "full")
+        seen = F.col("new.timetag").isNotNull()
+        after = joined.select(
+            "station",
+            *(F.when(seen, F.col(f"new.{n}")).otherwise(F.col(f"old.{n}")).alias(n) for n in ("bikes", "timetag")),
+        )
+        return output, after
+
+    return stateful_batches(obs, update, state_path, schema, sinks)
 
 
 def monotone_batches(
     raw: DataFrame, sinks: Sequence[BatchSink], state_path: str, order: str = "arrival", buckets: Sequence[Bucket] = ()
 ) -> DataStreamWriter:
     """Snapshots strictly newer than all earlier ones of their datasource."""
-    carried = CarriedTable(state_path, "datasource string, timestamp_ms bigint")
 
-    def process(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        before = carried.before(batch.sparkSession, batch_id)
-        rows = batch.persist()
-        try:
-            kept = monotone(rows, order, buckets, before)
-            for sink in sinks:
-                sink(kept, batch_id)
-            seen = rows.select("datasource", "timestamp_ms").unionByName(before)
-            carried.store(seen.groupBy("datasource").agg(F.max("timestamp_ms").alias("timestamp_ms")), batch_id)
-        finally:
-            rows.unpersist()
+    def update(rows: DataFrame, before: DataFrame) -> tuple[DataFrame, DataFrame]:
+        seen = rows.select("datasource", "timestamp_ms").unionByName(before)
+        after = seen.groupBy("datasource").agg(F.max("timestamp_ms").alias("timestamp_ms"))
+        return monotone(rows, order, buckets, before), after
 
-    return raw.writeStream.foreachBatch(process)
+    return stateful_batches(raw, update, state_path, "datasource string, timestamp_ms bigint", sinks)
 
 
 def current_state_batches(

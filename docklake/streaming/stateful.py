@@ -1,6 +1,7 @@
-"""State functions per key, for very many keys: state lives in the state store, and only keys that
-occur in a micro-batch are touched. Rows of one key in one micro-batch meet in one task, so the
-source's batch bound is what limits a busy key; jobs with busy keys use ``streaming.jobs``."""
+"""The same jobs as state functions per key, for very many keys: state lives in the state store and
+only keys that occur in a micro-batch are touched. The rows of one key in one micro-batch meet in
+one task, so the source's batch bound must be one that a task can hold; where a single key may fill
+the batch, use ``streaming.jobs``."""
 
 from __future__ import annotations
 

@@ -90,7 +90,7 @@ observation = st.tuples(
 )
 
 
-@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(observation, min_size=1, max_size=40, unique_by=lambda o: o[:3]))
 def test_facts_equal_a_fold(spark, observations):
     from datetime import datetime, timedelta

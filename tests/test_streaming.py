@@ -152,6 +152,23 @@ def test_documents_to_the_wide_star_in_a_stream(spark, folder, tmp_path):
     assert SPARSE not in rows(spark.read.parquet(f"{folder}/raw").select("content"))
 
 
+def test_a_state_update_of_ones_own(spark, folder):
+    """A running count per datasource, written as a function of two frames."""
+
+    def update(rows_in, before):
+        counted = rows_in.groupBy("datasource").agg(F.count(F.lit(1)).alias("n")).unionByName(before)
+        after = counted.groupBy("datasource").agg(F.sum("n").alias("n"))
+        return after.join(rows_in, "datasource", "left_semi"), after
+
+    def job(stream):
+        sink = jobs.batch_directory(f"{folder}/out")
+        return jobs.stateful_batches(stream, update, f"{folder}/state", "datasource string, n bigint", [sink])
+
+    feed_batches(spark, folder, SNAPSHOT, [*ARRIVALS, [("b", 3, 9)]], job)
+    got = spark.read.parquet(f"{folder}/out").select("batch_id", "datasource", "n")
+    assert rows(got) == [(0, "a", 2), (0, "b", 1), (1, "a", 4), (1, "b", 2), (2, "a", 6), (2, "b", 3), (3, "b", 4)]
+
+
 def test_carried_table_starts_a_repeated_batch_from_the_same_version(spark, folder):
     table = CarriedTable(f"{folder}/state", "k int, v int")
     assert table.before(spark, 0).count() == 0
