@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from docklake.catalog import adapter, sql
 from docklake.catalog.registry import named_query
 from docklake.functions.text import point_text, updatetime_millis
-from docklake.operators import current_state, feed
+from docklake.operators import current_state, feed, keyed
 from docklake.session import scratch_dir
 from docklake.sinks.files import append_archive, archive_rows, message_rows
 from docklake.sources import xml
@@ -207,22 +207,28 @@ STATE = "longitude, latitude, 'POINT(' || longitude || ' ' || latitude || ')' AS
 
 
 def _states(spark, sf_dir):
-    """State of the open observations only, and the newest of all."""
+    """The state left by closed observations of the supplier stations, and by all open ones."""
     obs = adapter.observations(spark, sf_dir)
-    old = current_state.newest_per_station(obs.where("status = 'CLS'"), adapter.TIE)
+    known = adapter.supplier_stations(spark, sf_dir).select(F.col("id").alias("station"))
+    closed = keyed.exists_in(obs.where("status = 'CLS'"), known, ["station"])
+    old = current_state.newest_per_station(closed, adapter.TIE)
     new = current_state.newest_per_station(obs.where("status = 'OPN'"), adapter.TIE)
     return current_state.state_rows(old), current_state.state_rows(new)
 
 
 MERGE = f"""{sql.OBS},
 latest AS (
-  SELECT * FROM obs QUALIFY row_number() OVER (PARTITION BY station, status ORDER BY timetag DESC, event_id DESC) = 1
-)"""
+  SELECT * FROM obs WHERE status = 'OPN' OR station IN (SELECT s_suppkey FROM supplier)
+  QUALIFY row_number() OVER (PARTITION BY station, status ORDER BY timetag DESC, event_id DESC) = 1
+),
+old AS (SELECT * FROM latest WHERE status = 'CLS'),
+new AS (SELECT * FROM latest WHERE status = 'OPN')"""
 
 
 @named_query(
     "current_state_merge",
-    f"WITH {MERGE} SELECT {STATE} FROM latest QUALIFY row_number() OVER (PARTITION BY station ORDER BY status DESC) = 1",
+    f"""WITH {MERGE} SELECT {STATE} FROM new
+    UNION ALL SELECT {STATE} FROM old WHERE station NOT IN (SELECT station FROM new)""",
 )
 def current_state_merge(spark, sf_dir):
     return current_state.merged_state(*_states(spark, sf_dir))
@@ -230,7 +236,7 @@ def current_state_merge(spark, sf_dir):
 
 @named_query(
     "current_state_updates",
-    f"WITH {MERGE} SELECT {STATE} FROM latest WHERE status = 'OPN' AND station IN (SELECT station FROM latest WHERE status = 'CLS')",
+    f"WITH {MERGE} SELECT {STATE} FROM new WHERE station IN (SELECT station FROM old)",
 )
 def current_state_updates(spark, sf_dir):
     return current_state.updated_rows(*_states(spark, sf_dir))
@@ -238,7 +244,7 @@ def current_state_updates(spark, sf_dir):
 
 @named_query(
     "current_state_inserts",
-    f"WITH {MERGE} SELECT {STATE} FROM latest WHERE status = 'OPN' AND station NOT IN (SELECT station FROM latest WHERE status = 'CLS')",
+    f"WITH {MERGE} SELECT {STATE} FROM new WHERE station NOT IN (SELECT station FROM old)",
 )
 def current_state_inserts(spark, sf_dir):
     return current_state.inserted_rows(*_states(spark, sf_dir))

@@ -174,12 +174,12 @@ def exists_semi(spark, sf_dir):
 
 @named_query(
     "insert_missing_anti",
-    "SELECT c_custkey AS id, c_name AS name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)",
+    "SELECT c_custkey AS id, c_name AS name FROM customer WHERE c_custkey NOT IN (SELECT s_suppkey FROM supplier)",
 )
 def insert_missing_anti(spark, sf_dir):
     c = F.col
     customers = adapter.table(spark, sf_dir, "customer").select(c("c_custkey").alias("id"), c("c_name").alias("name"))
-    known = adapter.table(spark, sf_dir, "orders").select(c("o_custkey").alias("id")).distinct()
+    known = adapter.table(spark, sf_dir, "supplier").select(c("s_suppkey").alias("id"))
     return keyed.insert_missing(known, customers, ["id"])
 
 

@@ -33,6 +33,12 @@ def in_zone(ts: Column, zone: str) -> Column:
     return F.convert_timezone(F.lit("UTC"), F.lit(zone), ts)
 
 
+def utc_from_millis(ms: Column) -> Column:
+    """The UTC wall-clock time of epoch milliseconds, whatever the session zone."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return epoch + F.make_dt_interval(secs=ms.cast("decimal(18,3)") / 1000)
+
+
 def day_sixth(ts: Column) -> Column:
     return F.element_at(F.array(*map(F.lit, DAY_SIXTHS)), F.floor(F.hour(ts) / 4).cast("int") + 1)
 

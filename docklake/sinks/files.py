@@ -8,15 +8,15 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docklake.functions.calendar import day_string, snapshot_name
+from docklake.functions.calendar import day_string, snapshot_name, utc_from_millis
 from docklake.functions.text import message_key
 from docklake.operators.keyed import merge_by_key
 from docklake.session import delete_path, path_exists
 
 
 def archive_rows(raw: DataFrame) -> DataFrame:
-    """Raw snapshots with the day they belong to and their archive name."""
-    at = F.timestamp_millis("timestamp_ms")
+    """Raw snapshots with the UTC day they belong to and their archive name."""
+    at = utc_from_millis(F.col("timestamp_ms"))
     return raw.withColumns({"day": day_string(at), "snapshot_name": snapshot_name(at)})
 
 

@@ -27,6 +27,11 @@ def test_calendar_in_another_zone(spark):
     assert (parts["hour"], parts["daysixth"], parts["part"]) == (16, "[16:00 - 20:00)", "AFTERNOON")
 
 
+def test_utc_from_millis_ignores_the_session_zone(spark):
+    got = one(spark, a=calendar.utc_from_millis(F.lit(1403452626123)), b=calendar.utc_from_millis(F.lit(-1)))
+    assert got == {"a": datetime(2014, 6, 22, 15, 57, 6, 123000), "b": datetime(1969, 12, 31, 23, 59, 59, 999000)}
+
+
 @pytest.mark.parametrize(
     "hour, sixth, part",
     [
