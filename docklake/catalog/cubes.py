@@ -9,6 +9,8 @@ from docklake.catalog.registry import named_query
 from docklake.operators.cube import Axis, NamedSet
 from docklake.plans import saved
 from docklake.plans.cubes import FLAT_CUBE, LAST_HOUR, STATION_CUBE
+from docklake.session import scratch_dir
+from docklake.sinks.files import write_big_table
 
 PATH = "district, neighborhood, postal_code, station"
 HOUR_PATH = "year, trimester, month, month_week, month_day, hour"
@@ -204,6 +206,16 @@ def m8(spark, sf_dir):
     return saved.where_to_place(*_tables(spark, sf_dir, "last_week"))
 
 
+@named_query("stored_where_to_place", _where_sql("last_week"))
+def stored_where_to_place(spark, sf_dir):
+    """The same report from a stored wide table: both the last week and its rows are looked for in
+    the last month's partition only."""
+    path = scratch_dir(spark, "big")
+    write_big_table(adapter.wide_table(spark, sf_dir), path)
+    stored = spark.read.parquet(path)
+    return saved.where_to_place(saved.last_month_of(stored), "last_week")
+
+
 # The station of these two reports is the one seen last; its path is read from the wide table.
 AT_LAST_STATION = f"({PATH}) IS NOT DISTINCT FROM (SELECT ({PATH}) FROM big ORDER BY timetag DESC, station DESC LIMIT 1)"
 

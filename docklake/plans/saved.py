@@ -1,8 +1,9 @@
 """The saved usage reports over the wide table.
 
 Each takes the wide table, stored or computed. "Last" slicers compare with the last member found in
-``within``, by default the wide table itself; stored by year and month only its last partition is
-then read. A computed wide table is cheaper with ``plans.star.located`` as ``within``.
+``within``, by default the wide table itself. Of a stored wide table only the last month is then
+read; ``last_month_of`` it as ``within`` also finds the last week and hour there. A computed wide
+table is cheaper with ``plans.star.located`` as ``within``.
 """
 
 from __future__ import annotations
@@ -19,6 +20,11 @@ DISTRICTS = [("StationDistrict", "District")]
 USAGE = ["average_bikes_available", "average_lent", "average_returned"]
 
 
+def last_month_of(big: DataFrame) -> DataFrame:
+    """Rows of the last month, which also holds the last week and the last hour."""
+    return STATION_CUBE.in_set(big, "last_month")
+
+
 def lent_by_station(big: DataFrame, period: str, within: DataFrame | None = None) -> DataFrame:
     """Bikes lent per station and day sixth in the ``last_week`` or ``last_month``, most lent first."""
     return _moved_by_station(big, period, "total_bikes_lent", within)

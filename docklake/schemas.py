@@ -36,3 +36,6 @@ BIG_TABLE_COLUMNS = FACT_COLUMNS + (
 ) + TIME_DIM_COLUMNS[1:]
 
 CURRENT_STATE = "longitude double, latitude double, the_geom string, status string, num_available_bikes int"
+
+# The path of a month: "last month" is then found and read by partition alone.
+MONTH_PARTITIONS = ("year", "trimester", "month")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from docklake.functions.calendar import day_string, snapshot_name, utc_from_millis
 from docklake.functions.text import message_key
 from docklake.operators.keyed import merge_by_key
+from docklake.schemas import MONTH_PARTITIONS
 from docklake.session import delete_path, path_exists
 
 
@@ -53,7 +54,7 @@ def write_table(rows: DataFrame, path: str, partition_by: Sequence[str] = (), so
 
 
 def write_big_table(big: DataFrame, path: str) -> None:
-    write_table(big, path, ["year", "month"], ["station", "timetag"])
+    write_table(big, path, MONTH_PARTITIONS, ["station", "timetag"])
 
 
 def truncate(spark: SparkSession, path: str) -> None:

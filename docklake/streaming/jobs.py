@@ -17,6 +17,7 @@ from docklake.operators.facts import facts, last_counts
 from docklake.operators.feed import monotone
 from docklake.operators.ordered import Bucket
 from docklake.plans.star import big_table, time_dimension
+from docklake.schemas import MONTH_PARTITIONS
 from docklake.sinks.files import upsert
 from docklake.streaming.carried import CarriedTable
 
@@ -53,7 +54,7 @@ def fact_table(path: str, staging: str) -> BatchSink:
 
 def time_table(path: str, staging: str) -> BatchSink:
     def write(rows: DataFrame, batch_id: int) -> None:
-        upsert(time_dimension(rows), path, ["timetag"], staging, partition_by=["year", "month"], merge_id=batch_id)
+        upsert(time_dimension(rows), path, ["timetag"], staging, partition_by=MONTH_PARTITIONS, merge_id=batch_id)
 
     return write
 
@@ -61,7 +62,7 @@ def time_table(path: str, staging: str) -> BatchSink:
 def big_table_sink(path: str, staging: str, stations: DataFrame) -> BatchSink:
     def write(rows: DataFrame, batch_id: int) -> None:
         wide = big_table(rows, stations)
-        upsert(wide, path, ["station", "timetag"], staging, partition_by=["year", "month"], merge_id=batch_id)
+        upsert(wide, path, ["station", "timetag"], staging, partition_by=MONTH_PARTITIONS, merge_id=batch_id)
 
     return write
 
