@@ -8,6 +8,7 @@ from docklake.catalog import adapter, sql
 from docklake.catalog.registry import named_query
 from docklake.functions.text import point_text, updatetime_millis
 from docklake.operators import current_state, feed, keyed
+from docklake.operators.ordered import span_bucket
 from docklake.session import scratch_dir
 from docklake.sinks.files import append_archive, archive_rows, message_rows
 from docklake.sources import xml
@@ -154,6 +155,10 @@ def dedup_recent(spark, sf_dir):
     return feed.deduplicated(adapter.order_snapshots(spark, sf_dir))
 
 
+# Two levels: neither a slice nor the slices of a block are more than 10,000 rows of a datasource.
+ARRIVAL_BUCKETS = [span_bucket("arrival", 10_000), span_bucket("slice", 10_000, "block")]
+
+
 @named_query(
     "monotone_filter",
     """SELECT datasource, timestamp_ms, arrival FROM (
@@ -164,7 +169,7 @@ def dedup_recent(spark, sf_dir):
 )
 def monotone_filter(spark, sf_dir):
     raw = adapter.order_snapshots(spark, sf_dir)
-    return feed.monotone(raw, buckets=[feed.seconds_bucket("arrival", 10_000)])
+    return feed.monotone(raw, buckets=ARRIVAL_BUCKETS)
 
 
 @named_query(

@@ -9,9 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from docklake.catalog import adapter, sql
-from docklake.catalog.feeds import NEWEST, STATE, window_sql
+from docklake.catalog.feeds import ARRIVAL_BUCKETS, NEWEST, STATE, window_sql
 from docklake.catalog.registry import named_query
-from docklake.operators.feed import seconds_bucket
 from docklake.plans.star import star_join
 from docklake.schemas import BIG_TABLE_COLUMNS, FACT_COLUMNS
 from docklake.session import scratch_dir
@@ -122,23 +121,31 @@ def _zoned(obs: DataFrame) -> DataFrame:
     return obs.withColumn("timetag", F.col("timetag").cast("timestamp"))
 
 
-@named_query(
-    "stream_newest",
-    f"""WITH {window_sql(60, 90)} SELECT * FROM windows
-    WHERE window_end <= (SELECT max(timetag) FROM obs)""",
-)
-def stream_newest(spark, sf_dir):
-    """Windows that have closed by the last event."""
-
+def _newest_windows(spark, sf_dir, length, slide):
     def job(events, folder):
         obs = _zoned(adapter.observations_of(events))
-        return _parquet(jobs.newest_in_windows(obs, 60, 90, tie=adapter.TIE), folder)
+        return _parquet(jobs.newest_in_windows(obs, length, slide, tie=adapter.TIE), folder)
 
     folder = run_in_slices(spark, _events(spark, sf_dir), "event_id", job)
     times = ("window_start", "window_end", "timetag")
     return spark.read.parquet(f"{folder}/out").withColumns({c: F.col(c).cast("timestamp_ntz") for c in times})
 
 
+def _closed_sql(length, slide):
+    return f"WITH {window_sql(length, slide)} SELECT * FROM windows WHERE window_end <= (SELECT max(timetag) FROM obs)"
+
+
+@named_query("stream_newest", _closed_sql(60, 90))
+def stream_newest(spark, sf_dir):
+    """Windows that have closed by the last event."""
+    return _newest_windows(spark, sf_dir, 60, 90)
+
+
+@named_query("stream_newest_sliding", _closed_sql(60, 30))
+def stream_newest_sliding(spark, sf_dir):
+    return _newest_windows(spark, sf_dir, 60, 30)
+
+
 @named_query(
     "stream_dedup",
     """SELECT DISTINCT event_type AS datasource, CAST(epoch(date_trunc('second', ts)) AS BIGINT) * 1000 AS timestamp_ms
@@ -175,7 +182,7 @@ NEWER = """SELECT datasource, timestamp_ms, arrival FROM (
 def stream_monotone(spark, sf_dir):
     def job(raw, folder):
         sink = jobs.batch_directory(f"{folder}/out")
-        return jobs.monotone_batches(raw, [sink], f"{folder}/newest", buckets=[seconds_bucket("arrival", 10_000)])
+        return jobs.monotone_batches(raw, [sink], f"{folder}/newest", buckets=ARRIVAL_BUCKETS)
 
     folder = run_in_slices(spark, adapter.order_snapshots(spark, sf_dir), "arrival", job)
     return spark.read.parquet(f"{folder}/out").select("datasource", "timestamp_ms", "arrival")

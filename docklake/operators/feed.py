@@ -8,11 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docklake.operators.keyed import earliest_per_key
-from docklake.operators.ordered import Bucket, with_previous, with_running_max
-
-
-def seconds_bucket(order: str, seconds: int, name: str = "slice") -> Bucket:
-    return Bucket(name, f"{order} div {seconds}")
+from docklake.operators.ordered import Bucket, span_bucket, with_previous, with_running_max
 
 
 def refresh_gaps(times: DataFrame, seconds: int = 86_400) -> DataFrame:
@@ -20,7 +16,7 @@ def refresh_gaps(times: DataFrame, seconds: int = 86_400) -> DataFrame:
     distinct = times.select("datasource", "updatetime").distinct()
     before = with_previous(
         distinct.withColumn("at", F.col("updatetime")),
-        ["datasource"], "updatetime", "at", "before", [seconds_bucket("updatetime", seconds)],
+        ["datasource"], "updatetime", "at", "before", [span_bucket("updatetime", seconds)],
     )
     return before.where(F.col("before").isNotNull()).select(
         "datasource", "updatetime", (F.col("updatetime") - F.col("before")).alias("gap")

@@ -30,6 +30,11 @@ def day_bucket(order: str = "timetag", name: str = "day") -> Bucket:
     return Bucket(name, f"to_date({order})")
 
 
+def span_bucket(order: str, width: int, name: str = "slice") -> Bucket:
+    """Stretches of ``width`` of a whole-number column: at most ``width`` distinct values in each."""
+    return Bucket(name, f"{order} div {width}")
+
+
 def with_previous(
     df: DataFrame,
     keys: Sequence[str],

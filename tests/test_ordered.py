@@ -8,11 +8,11 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from docklake.operators.facts import facts
-from docklake.operators.feed import monotone, refresh_interval, seconds_bucket
-from docklake.operators.ordered import Bucket, with_previous, with_running_max
+from docklake.operators.feed import monotone, refresh_interval
+from docklake.operators.ordered import Bucket, span_bucket, with_previous, with_running_max
 
-ONE = [seconds_bucket("at", 10)]
-TWO = [seconds_bucket("at", 3, "fine"), Bucket("coarse", "fine div 4")]
+ONE = [span_bucket("at", 10)]
+TWO = [span_bucket("at", 3, "fine"), Bucket("coarse", "fine div 4")]
 
 
 def series(spark, seed, keys=4, n=300):
@@ -106,7 +106,7 @@ def test_monotone_drops_repeated_and_older_snapshots(spark):
     arrivals = [("a", 5), ("a", 5), ("a", 3), ("b", 1), ("a", 9), ("b", 1), ("b", 2), ("a", 8)]
     raw = spark.createDataFrame([(d, t, i) for i, (d, t) in enumerate(arrivals)], "datasource string, timestamp_ms bigint, arrival int")
     want = [("a", 5, 0), ("a", 9, 4), ("b", 1, 3), ("b", 2, 6)]
-    for buckets in ([], [seconds_bucket("arrival", 2)]):
+    for buckets in ([], [span_bucket("arrival", 2)]):
         assert rows(monotone(raw, buckets=buckets)) == want
     known = spark.createDataFrame([("a", 5)], "datasource string, timestamp_ms bigint")
     assert rows(monotone(raw, initial=known)) == want[1:]
