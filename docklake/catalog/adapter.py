@@ -104,6 +104,12 @@ def wide_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return big_table(fact_rows(spark, sf_dir), customer_stations(spark, sf_dir))
 
 
+def wide_and_located(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The wide table and the frame to look for its last members in, over the same inputs."""
+    obs, stations = observations(spark, sf_dir), customer_stations(spark, sf_dir)
+    return big_table(facts(obs, TIE), stations), located(obs, stations)
+
+
 def located_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return located(observations(spark, sf_dir), customer_stations(spark, sf_dir))
 

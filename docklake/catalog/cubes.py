@@ -139,14 +139,14 @@ def last_hour_set(spark, sf_dir):
     WHERE (year, trimester, month, month_week) IN (SELECT (year, trimester, month, month_week) FROM weeks) GROUP BY part""",
 )
 def last_three_weeks(spark, sf_dir):
-    big = adapter.wide_table(spark, sf_dir)
-    last = NamedSet("last_three_weeks", "Time", "Week", 3)
-    rows = STATION_CUBE.in_set(big, last, adapter.located_observations(spark, sf_dir))
+    big, located = adapter.wide_and_located(spark, sf_dir)
+    rows = STATION_CUBE.in_set(big, NamedSet("last_three_weeks", "Time", "Week", 3), located)
     return STATION_CUBE.query(rows, [("DayParts", "DayPart")], ["total_traffic"])
 
 
 def _tables(spark, sf_dir, period):
-    return adapter.wide_table(spark, sf_dir), period, adapter.located_observations(spark, sf_dir)
+    big, located = adapter.wide_and_located(spark, sf_dir)
+    return big, period, located
 
 
 def _station_axis_sql(measure, column, period):
@@ -233,8 +233,8 @@ def last_seen_path(located):
     WHERE {AT_LAST_STATION} AND {sql.LAST['last_hour']} GROUP BY {MINUTE_PATH}""",
 )
 def m9(spark, sf_dir):
-    located = adapter.located_observations(spark, sf_dir)
-    return saved.station_last_hour(adapter.wide_table(spark, sf_dir), last_seen_path(located), located)
+    big, located = adapter.wide_and_located(spark, sf_dir)
+    return saved.station_last_hour(big, last_seen_path(located), located)
 
 
 @named_query(
@@ -250,8 +250,8 @@ def m10(spark, sf_dir):
     f"WITH {sql.BIG} SELECT {HOUR_PATH}, {USAGE_SQL} FROM big WHERE {AT_LAST_STATION} GROUP BY {HOUR_PATH}",
 )
 def m11(spark, sf_dir):
-    located = adapter.located_observations(spark, sf_dir)
-    return saved.station_by_hour(adapter.wide_table(spark, sf_dir), last_seen_path(located))
+    big, located = adapter.wide_and_located(spark, sf_dir)
+    return saved.station_by_hour(big, last_seen_path(located))
 
 
 @named_query(

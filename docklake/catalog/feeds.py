@@ -8,9 +8,10 @@ from docklake.catalog import adapter, sql
 from docklake.catalog.registry import named_query
 from docklake.functions.text import point_text, updatetime_millis
 from docklake.operators import current_state, feed, keyed
+from docklake.operators.facts import facts
 from docklake.operators.ordered import span_bucket
 from docklake.session import scratch_dir
-from docklake.sinks.files import append_archive, archive_rows, message_rows
+from docklake.sinks.files import append, append_archive, archive_rows, message_rows, truncate
 from docklake.sources import xml
 from docklake.sources.feeds import readable, unreadable
 
@@ -60,6 +61,35 @@ def nearby_explode(spark, sf_dir):
     return rows.select(F.explode("nearby").alias("near")).groupBy("near").agg(F.count(F.lit(1)).alias("mentions"))
 
 
+@named_query(
+    "facts_from_xml",
+    f"""WITH {sql.RAW},
+    seen AS (
+      SELECT CAST(user_id AS INTEGER) AS station, updatetime, event_id, CAST(k AS INTEGER) AS slots, whole AS bikes,
+             CASE WHEN event_type = 'error' THEN 'CLS' ELSE 'OPN' END AS status FROM ({WHOLE})
+      UNION ALL
+      SELECT CAST(-user_id AS INTEGER), updatetime, event_id, 0, 0, 'OPN' FROM ({WHOLE}) WHERE event_type <> 'view'
+    ),
+    uniq AS (
+      SELECT * FROM seen QUALIFY row_number() OVER (
+        PARTITION BY station, updatetime ORDER BY event_id DESC, bikes DESC, slots DESC, status DESC) = 1
+    ),
+    moved AS (SELECT *, lag(bikes) OVER (PARTITION BY station ORDER BY updatetime) AS previous FROM uniq)
+    SELECT station, updatetime, status, CAST(CASE WHEN status = 'OPN' THEN slots ELSE 0 END AS BIGINT) AS slots,
+      CAST(CASE WHEN status = 'OPN' THEN bikes ELSE 0 END AS BIGINT) AS available,
+      CAST(coalesce(greatest(previous - bikes, 0), 0) AS BIGINT) AS lent,
+      CAST(coalesce(greatest(bikes - previous, 0), 0) AS BIGINT) AS returned FROM moved""",
+)
+def facts_from_xml(spark, sf_dir):
+    """From documents to facts. The parsed observations are stored, since facts read them twice."""
+    path = scratch_dir(spark, "observations")
+    parsed = xml.observations(readable(adapter.raw_snapshots(spark, sf_dir)), "arrival")
+    parsed.select("arrival", "station", "timetag", "status", "slots", "bikes").write.parquet(path)
+    return facts(spark.read.parquet(path), ["arrival"]).select(
+        "station", F.unix_seconds("timetag").alias("updatetime"), "status", "slots", "available", "lent", "returned"
+    )
+
+
 @named_query("regex_updatetime", f"WITH {sql.RAW} SELECT arrival, timestamp_ms FROM raw")
 def regex_updatetime(spark, sf_dir):
     raw = adapter.raw_snapshots(spark, sf_dir)
@@ -255,6 +285,17 @@ def current_state_inserts(spark, sf_dir):
     return current_state.inserted_rows(*_states(spark, sf_dir))
 
 
+@named_query("current_state_rewritten", f"WITH {MERGE} SELECT {STATE} FROM new")
+def current_state_rewritten(spark, sf_dir):
+    """A stored state emptied and filled again."""
+    path = scratch_dir(spark, "state")
+    old, new = _states(spark, sf_dir)
+    append(old, path)
+    truncate(spark, path)
+    append(new, path)
+    return spark.read.parquet(path)
+
+
 def window_sql(length: int, slide: int) -> str:
     """Windows start on multiples of the slide since 1970."""
     return f"""{sql.OBS},

@@ -45,6 +45,11 @@ def write_messages(raw: DataFrame, servers: str, **options: str) -> None:
     writer.save()
 
 
+def append(rows: DataFrame, path: str) -> None:
+    """Add rows without looking at those already there."""
+    rows.write.mode("append").parquet(path)
+
+
 def write_table(rows: DataFrame, path: str, partition_by: Sequence[str] = (), sort_by: Sequence[str] = ()) -> None:
     """Store a table anew. Sorting inside files keeps a station's rows together for row-group skipping."""
     shaped = rows.hint("rebalance", *partition_by)

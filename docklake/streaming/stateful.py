@@ -15,6 +15,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from docklake.functions.measures import fact_measures
 
+# Session settings that keep the state on disk instead of in executor memory.
 ROCKSDB = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
