@@ -83,7 +83,7 @@ def nearby_explode(spark, sf_dir):
 def facts_from_xml(spark, sf_dir):
     """From documents to facts. The parsed observations are stored, since facts read them twice."""
     path = scratch_dir(spark, "observations")
-    parsed = xml.observations(readable(adapter.raw_snapshots(spark, sf_dir)), "arrival")
+    parsed = xml.observations(adapter.raw_snapshots(spark, sf_dir), "arrival")
     parsed.select("arrival", "station", "timetag", "status", "slots", "bikes").write.parquet(path)
     return facts(spark.read.parquet(path), ["arrival"]).select(
         "station", F.unix_seconds("timetag").alias("updatetime"), "status", "slots", "available", "lent", "returned"
@@ -238,7 +238,10 @@ def points(spark, sf_dir):
     return newest.select("station", point_text(F.col("longitude"), F.col("latitude")).alias("the_geom"))
 
 
-STATE = "longitude, latitude, 'POINT(' || longitude || ' ' || latitude || ')' AS the_geom, status, bikes AS num_available_bikes"
+STATE = (
+    "longitude, latitude, 'POINT(' || longitude || ' ' || latitude || ')' AS the_geom, "
+    "status, bikes AS num_available_bikes"
+)
 
 
 def _states(spark, sf_dir):
@@ -300,7 +303,8 @@ def window_sql(length: int, slide: int) -> str:
     """Windows start on multiples of the slide since 1970."""
     return f"""{sql.OBS},
     windowed AS (
-      SELECT obs.*, make_timestamp(CAST((e // {slide} - i) * {slide} + {max(slide - length, 0)} AS BIGINT) * 1000000) AS window_start
+      SELECT obs.*, make_timestamp(
+        CAST((e // {slide} - i) * {slide} + {max(slide - length, 0)} AS BIGINT) * 1000000) AS window_start
       FROM (SELECT *, CAST(epoch(timetag) AS BIGINT) AS e FROM obs) AS obs, range(0, {max(length // slide, 1)}) AS r(i)
     ),
     inside AS (
