@@ -2,16 +2,36 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docklake.llm import simhash
+from docklake.llm import quality, simhash, toxicity
+from docklake.llm.common import fold
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, learned from the labels of four folds of five."""
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    model = quality.trained_on(docs, labels, "quality", fold("doc_id", 5) != 0)
+    return _predicted(docs, fold("doc_id", 5) == 0, quality.score(model), quality.ACCEPTED)
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from the labels of two folds of three."""
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    model = toxicity.trained_on(docs, labels, "toxic", fold("doc_id", 3) != 1)
+    return _predicted(docs, fold("doc_id", 3) == 1, toxicity.score(model), toxicity.REJECTED)
+
+
+def _predicted(docs: DataFrame, held_out: Column, score: Column, bound: float) -> DataFrame:
+    scored = docs.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), score.alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= bound).cast("int"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of near duplicates of every document."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -21,6 +41,8 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality": op1_quality,
+    "op9_toxicity": op9_toxicity,
     "op7_simhash": op7_simhash,
 }
 
