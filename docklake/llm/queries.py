@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docklake.llm import quality, simhash, toxicity
+from docklake.llm import packing, quality, simhash, toxicity
 from docklake.llm.common import fold
 
 
@@ -20,6 +21,11 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _predicted(docs, fold("doc_id", 5) == 0, quality.score(model), quality.ACCEPTED)
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as tokens in sequences of 4096 at most."""
+    return packing.packed(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document, learned from the labels of two folds of three."""
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
@@ -42,6 +48,7 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality": op1_quality,
+    "op2_packing": op2_packing,
     "op9_toxicity": op9_toxicity,
     "op7_simhash": op7_simhash,
 }
