@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docklake.llm import packing, quality, simhash, toxicity
+from docklake.llm import packing, pii, quality, simhash, toxicity
 from docklake.llm.common import fold
 
 
@@ -38,6 +38,11 @@ def _predicted(docs: DataFrame, held_out: Column, score: Column, bound: float) -
     return scored.withColumn("predicted", (F.col("score") >= bound).cast("int"))
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with pseudonyms for personal data, and how many values it had."""
+    return pii.pseudonymised(_table(spark, sf_dir, "documents").select("doc_id", "text"), "corpus", count="n_values")
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of near duplicates of every document."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -50,6 +55,7 @@ QUERIES = {
     "op1_quality": op1_quality,
     "op2_packing": op2_packing,
     "op9_toxicity": op9_toxicity,
+    "op6_pii": op6_pii,
     "op7_simhash": op7_simhash,
 }
 
