@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docklake.llm import packing, pii, quality, simhash, toxicity
+from docklake.llm import neighbours, packing, pii, quality, rules, simhash, toxicity
 from docklake.llm.common import fold
 
 
@@ -38,6 +38,19 @@ def _predicted(docs: DataFrame, held_out: Column, score: Column, bound: float) -
     return scored.withColumn("predicted", (F.col("score") >= bound).cast("int"))
 
 
+def op3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of every row whose id is divisible by 20."""
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("vector"))
+    return neighbours.nearest(vectors, F.col("vec_id") % 20 == 0)
+
+
+def op4_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measurements and verdicts of the quality rules for every document."""
+    entries = rules.ledger(_table(spark, sf_dir, "documents"))
+    base_failed, kept = ~rules.passes(policy=1), rules.passes(policy=2)
+    return entries.select("doc_id", *rules.MEASURES[:5], base_failed.alias("base_failed"), kept.alias("kept"))
+
+
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with pseudonyms for personal data, and how many values it had."""
     return pii.pseudonymised(_table(spark, sf_dir, "documents").select("doc_id", "text"), "corpus", count="n_values")
@@ -55,8 +68,12 @@ QUERIES = {
     "op1_quality": op1_quality,
     "op2_packing": op2_packing,
     "op9_toxicity": op9_toxicity,
+    "op3_neighbours": op3_neighbours,
+    "op4_rules": op4_rules,
     "op6_pii": op6_pii,
     "op7_simhash": op7_simhash,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_rules": rules.ORACLE,
+}
