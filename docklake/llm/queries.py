@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docklake.llm import neighbours, packing, pii, quality, rules, simhash, toxicity
+from docklake.llm import language_model, neighbours, packing, pii, quality, rules, simhash, toxicity
 from docklake.llm.common import fold
 
 
@@ -33,6 +33,11 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _predicted(docs, fold("doc_id", 3) == 1, toxicity.score(model), toxicity.REJECTED)
 
 
+def op10_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language-model scores of every document, learned from six folds of seven."""
+    return language_model.scored(_table(spark, sf_dir, "documents"), fold("doc_id", 7) != 2)
+
+
 def _predicted(docs: DataFrame, held_out: Column, score: Column, bound: float) -> DataFrame:
     scored = docs.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), score.alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= bound).cast("int"))
@@ -66,6 +71,7 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality": op1_quality,
+    "op10_language_model": op10_language_model,
     "op2_packing": op2_packing,
     "op9_toxicity": op9_toxicity,
     "op3_neighbours": op3_neighbours,
