@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docklake.llm import language_model, neighbours, packing, pii, quality, rules, simhash, toxicity
+from docklake.llm import language_model, neighbours, packing, pii, preference, quality, rules, simhash, toxicity
 from docklake.llm.common import fold
 
 
@@ -33,6 +33,13 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _predicted(docs, fold("doc_id", 3) == 1, toxicity.score(model), toxicity.REJECTED)
 
 
+def op8_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations 2n (chosen) and 2n + 1 (rejected) as preference pairs."""
+    turns = _table(spark, sf_dir, "conversations")
+    pair = F.expr("conv_id div 2")
+    return preference.preference_pairs(turns, pair, F.col("conv_id") % 2 == 0)
+
+
 def op10_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language-model scores of every document, learned from six folds of seven."""
     return language_model.scored(_table(spark, sf_dir, "documents"), fold("doc_id", 7) != 2)
@@ -73,6 +80,7 @@ QUERIES = {
     "op1_quality": op1_quality,
     "op10_language_model": op10_language_model,
     "op2_packing": op2_packing,
+    "op8_preference": op8_preference,
     "op9_toxicity": op9_toxicity,
     "op3_neighbours": op3_neighbours,
     "op4_rules": op4_rules,
@@ -82,4 +90,5 @@ QUERIES = {
 
 ORACLES: dict[str, str] = {
     "op4_rules": rules.ORACLE,
+    "op8_preference": preference.ORACLE,
 }
