@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docklake.llm import language_model, neighbours, packing, pii, preference, quality, rules, simhash, toxicity
+from docklake.llm import language_model, neighbours, packing, pieces, pii, preference, quality, rules, simhash, toxicity
 from docklake.llm.common import fold
 
 
@@ -63,6 +63,12 @@ def op4_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return entries.select("doc_id", *rules.MEASURES[:5], base_failed.alias("base_failed"), kept.alias("kept"))
 
 
+def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two sampled segmentations of every document: length, check sum and scores."""
+    docs = _table(spark, sf_dir, "documents")
+    return pieces.segmentations(docs, public_tokenizers.path("piece_bpe_32k.model"), k=2, with_ids=False)
+
+
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with pseudonyms for personal data, and how many values it had."""
     return pii.pseudonymised(_table(spark, sf_dir, "documents").select("doc_id", "text"), "corpus", count="n_values")
@@ -84,6 +90,7 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op3_neighbours": op3_neighbours,
     "op4_rules": op4_rules,
+    "op5_pieces": op5_pieces,
     "op6_pii": op6_pii,
     "op7_simhash": op7_simhash,
 }
