@@ -61,6 +61,22 @@ def observations_of(events: DataFrame, timetag: Column | None = None) -> DataFra
     )
 
 
+def order_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Observations over many months: customers are stations, an order is a count of bikes on its day. Several orders of
+    a customer on one day share their time, so the tie decides."""
+    c = F.col
+    return table(spark, sf_dir, "orders").select(
+        c("o_custkey").alias("station"),
+        c("o_orderdate").alias("timetag"),
+        c("o_orderkey").alias("event_id"),
+        (c("o_custkey") / 1000 + 41).alias("latitude"),
+        (c("o_custkey") / 500 + 2).alias("longitude"),
+        F.when(c("o_orderstatus") == "F", "CLS").otherwise("OPN").alias("status"),
+        (c("o_orderkey") % 30).cast("int").alias("slots"),
+        F.floor(c("o_totalprice") % 40).cast("int").alias("bikes"),
+    )
+
+
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return observations_of(table(spark, sf_dir, "events"))
 

@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 from docklake.catalog import adapter, sql
 from docklake.catalog.registry import named_query
 from docklake.operators.cube import Axis, NamedSet
+from docklake.operators.facts import facts
 from docklake.plans import saved
 from docklake.plans.cubes import FLAT_CUBE, LAST_HOUR, STATION_CUBE
+from docklake.plans.star import big_table, located
+from docklake.schemas import FACT_COLUMNS
 from docklake.session import scratch_dir
 from docklake.sinks.files import write_big_table
 
@@ -274,6 +277,95 @@ def top_stations(spark, sf_dir):
     return STATION_CUBE.query(adapter.wide_table(spark, sf_dir), saved.STATIONS, ["total_traffic"], order=order, limit=20)
 
 
+# The reports over many months: orders are the observations.
+
+ORDER_MEMBERS = "year, trimester, month"
+
+
+def _over_months(spark, sf_dir, period):
+    obs, stations = adapter.order_observations(spark, sf_dir), adapter.customer_stations(spark, sf_dir)
+    return big_table(facts(obs, adapter.TIE), stations), period, located(obs, stations)
+
+
+@named_query("facts_with_ties", sql.over_months(f"WITH {sql.FACT} SELECT * FROM fact"))
+def facts_with_ties(spark, sf_dir):
+    return facts(adapter.order_observations(spark, sf_dir), adapter.TIE).select(*FACT_COLUMNS)
+
+
+@named_query("m2_many_months", sql.over_months(_station_axis_sql("total_bikes_lent", "lent", "last_month")))
+def m2_many_months(spark, sf_dir):
+    return saved.lent_by_station(*_over_months(spark, sf_dir, "last_month"))
+
+
+@named_query(
+    "m5_many_months",
+    sql.over_months(f"""WITH {sql.BIG} SELECT district, {sql.pivoted('total_bikes_returned', 'returned')},
+      {sql.pivoted('total_bikes_lent', 'lent')} FROM big WHERE {sql.LAST['last_month']} GROUP BY district"""),
+)
+def m5_many_months(spark, sf_dir):
+    return saved.movement_by_district(*_over_months(spark, sf_dir, "last_month"))
+
+
+@named_query("m7_many_months", sql.over_months(_where_sql("last_month")))
+def m7_many_months(spark, sf_dir):
+    return saved.where_to_place(*_over_months(spark, sf_dir, "last_month"))
+
+
+@named_query(
+    "rollup_months",
+    sql.over_months(f"""WITH {sql.BIG} SELECT {ORDER_MEMBERS},
+      CAST(3 - grouping(year) - grouping(trimester) - grouping(month) AS INTEGER) AS depth,
+      CAST(sum(lent) AS BIGINT) AS total_bikes_lent, avg(available) AS average_bikes_available,
+      count(DISTINCT station) AS total_station_count
+    FROM big GROUP BY ROLLUP ({ORDER_MEMBERS})"""),
+)
+def rollup_months(spark, sf_dir):
+    big, _, _ = _over_months(spark, sf_dir, "last_month")
+    measures = ["total_bikes_lent", "average_bikes_available", "total_station_count"]
+    return STATION_CUBE.rollup(big, "Time", "Month", measures)
+
+
+@named_query("stored_month_reports", sql.over_months(_where_sql("last_month")))
+def stored_month_reports(spark, sf_dir):
+    """From a stored table of many months, of which the report reads the last one's partition."""
+    path = scratch_dir(spark, "big")
+    write_big_table(_over_months(spark, sf_dir, "last_month")[0], path)
+    return saved.where_to_place(spark.read.parquet(path), "last_month", saved.stored_months(spark, path))
+
+
+def _without_neighborhoods(spark, sf_dir):
+    """Stations of which those in Europe have no neighborhood: the last member of the level has a null part."""
+    stations = adapter.customer_stations(spark, sf_dir)
+    known = F.when(F.coalesce(F.col("district") != "EUROPE", F.lit(True)), F.col("neighborhood"))
+    return adapter.fact_rows(spark, sf_dir), stations.withColumn("neighborhood", known)
+
+
+def _last_neighborhoods_sql(count):
+    return f"""WITH {sql.BIG}, placed AS (
+      SELECT * REPLACE (CASE WHEN district = 'EUROPE' THEN NULL ELSE neighborhood END AS neighborhood) FROM big),
+    members AS (SELECT DISTINCT district, neighborhood FROM placed
+      ORDER BY district DESC NULLS LAST, neighborhood DESC NULLS LAST LIMIT {count})
+    SELECT district, neighborhood, CAST(sum(traffic) AS BIGINT) AS total_traffic FROM placed
+    WHERE EXISTS (SELECT 1 FROM members m WHERE m.district IS NOT DISTINCT FROM placed.district
+      AND m.neighborhood IS NOT DISTINCT FROM placed.neighborhood) GROUP BY ALL"""
+
+
+def _last_neighborhoods(spark, sf_dir, count):
+    big = big_table(*_without_neighborhoods(spark, sf_dir))
+    rows = STATION_CUBE.in_set(big, NamedSet("last_neighborhoods", "StationDistrict", "Neighborhood", count))
+    return STATION_CUBE.query(rows, [("StationDistrict", "Neighborhood")], ["total_traffic"])
+
+
+@named_query("last_neighborhood_set", _last_neighborhoods_sql(1))
+def last_neighborhood_set(spark, sf_dir):
+    return _last_neighborhoods(spark, sf_dir, 1)
+
+
+@named_query("last_two_neighborhoods", _last_neighborhoods_sql(2))
+def last_two_neighborhoods(spark, sf_dir):
+    return _last_neighborhoods(spark, sf_dir, 2)
+
+
 FLAT = """flat AS (
   SELECT l_returnflag AS host, l_linestatus AS domain, l_linenumber AS feature, CAST(l_shipdate AS DATE) AS date,
          CAST(l_quantity AS DECIMAL(12,2)) AS core, CAST(l_discount AS DECIMAL(12,2)) AS db,

@@ -13,7 +13,7 @@ from docklake.operators.ordered import span_bucket
 from docklake.session import scratch_dir
 from docklake.sinks.files import append, append_archive, archive_rows, message_rows, truncate
 from docklake.sources import xml
-from docklake.sources.feeds import readable, unreadable
+from docklake.sources.feeds import readable
 
 WHOLE = "SELECT * FROM pieces WHERE value <= 100"
 
@@ -110,10 +110,7 @@ def snapshot_times(spark, sf_dir):
 def quarantine(spark, sf_dir):
     raw = adapter.raw_snapshots(spark, sf_dir)
     keys = ["datasource", "arrival", "content"]
-    undated = unreadable(raw).select(*keys, F.lit(True).alias("bad_time"), F.lit(False).alias("bad_xml"))
-    broken = xml.rejected(xml.with_document(raw)).select(*keys, F.lit(False).alias("bad_time"), F.lit(True).alias("bad_xml"))
-    both = undated.unionByName(broken).groupBy(*keys)
-    return both.agg(F.bool_or("bad_time").alias("bad_time"), F.bool_or("bad_xml").alias("bad_xml"))
+    return xml.flagged(raw).where("bad_time OR bad_xml").select(*keys, "bad_time", "bad_xml")
 
 
 @named_query(
@@ -199,7 +196,7 @@ ARRIVAL_BUCKETS = [span_bucket("arrival", 10_000), span_bucket("slice", 10_000,
 )
 def monotone_filter(spark, sf_dir):
     raw = adapter.order_snapshots(spark, sf_dir)
-    return feed.monotone(raw, buckets=ARRIVAL_BUCKETS)
+    return feed.monotone(raw, ARRIVAL_BUCKETS)
 
 
 @named_query(

@@ -10,6 +10,21 @@ obs AS (
   FROM events
 )"""
 
+ORDER_OBS = """
+obs AS (
+  SELECT o_custkey AS station, o_orderdate AS timetag, o_orderkey AS event_id,
+         o_custkey / 1000.0 + 41 AS latitude, o_custkey / 500.0 + 2 AS longitude,
+         CASE WHEN o_orderstatus = 'F' THEN 'CLS' ELSE 'OPN' END AS status,
+         CAST(o_orderkey % 30 AS INTEGER) AS slots, CAST(floor(o_totalprice % 40) AS INTEGER) AS bikes
+  FROM orders
+)"""
+
+
+def over_months(query: str) -> str:
+    """The same query over observations of many months."""
+    return query.replace(OBS, ORDER_OBS)
+
+
 FACT = OBS + """,
 uniq AS (
   SELECT * FROM obs QUALIFY row_number() OVER (PARTITION BY station, timetag ORDER BY event_id DESC) = 1

@@ -14,7 +14,6 @@ from docklake.catalog.registry import named_query
 from docklake.plans.star import star_join
 from docklake.schemas import BIG_TABLE_COLUMNS, FACT_COLUMNS
 from docklake.session import scratch_dir
-from docklake.sinks.files import upsert
 from docklake.sources import xml
 from docklake.sources.feeds import readable
 from docklake.streaming import jobs
@@ -124,13 +123,43 @@ def _zoned(obs: DataFrame) -> DataFrame:
 def _newest_windows(spark, sf_dir, length, slide):
     def job(events, folder):
         obs = _zoned(adapter.observations_of(events))
-        return _parquet(jobs.newest_in_windows(obs, length, slide, tie=adapter.TIE), folder)
+        return _parquet(jobs.newest_in_windows(obs, "0 seconds", length, slide, tie=adapter.TIE), folder)
 
     folder = run_in_slices(spark, _events(spark, sf_dir), "event_id", job)
     times = ("window_start", "window_end", "timetag")
     return spark.read.parquet(f"{folder}/out").withColumns({c: F.col(c).cast("timestamp_ntz") for c in times})
 
 
+@named_query("stream_newest_late", f"WITH {window_sql(60, 90)} SELECT * FROM windows")
+def stream_newest_late(spark, sf_dir):
+    """Events arrive in the order of their stations, so nearly all of them after later ones; none is lost."""
+
+    def job(events, folder):
+        obs = adapter.observations_of(events)
+        return jobs.window_batches(obs, f"{folder}/windows", f"{folder}/staging", 60, 90, adapter.TIE)
+
+    folder = run_in_slices(spark, _events(spark, sf_dir), "user_id", job)
+    return spark.read.parquet(f"{folder}/windows").drop("day")
+
+
+@named_query(
+    "stream_windows_to_state",
+    f"""WITH {window_sql(60, 90)}, newest AS (
+      SELECT * FROM windows QUALIFY row_number() OVER (PARTITION BY station ORDER BY timetag DESC) = 1)
+    SELECT {STATE} FROM newest""",
+)
+def stream_windows_to_state(spark, sf_dir):
+    """The newest row of every window kept in a table, and the newest of all windows of a station on the map."""
+
+    def job(events, folder):
+        obs = adapter.observations_of(events)
+        state = (f"{folder}/state", f"{folder}/state-staging")
+        return jobs.window_batches(obs, f"{folder}/windows", f"{folder}/staging", 60, 90, adapter.TIE, state)
+
+    folder = run_in_slices(spark, _events(spark, sf_dir), "event_id", job)
+    return spark.read.parquet(f"{folder}/state").drop("timetag")
+
+
 def _closed_sql(length, slide):
     return f"WITH {window_sql(length, slide)} SELECT * FROM windows WHERE window_end <= (SELECT max(timetag) FROM obs)"
 
@@ -146,31 +175,42 @@ def stream_newest_sliding(spark, sf_dir):
     return _newest_windows(spark, sf_dir, 60, 30)
 
 
-@named_query(
-    "stream_dedup",
-    """SELECT DISTINCT event_type AS datasource, CAST(epoch(date_trunc('second', ts)) AS BIGINT) * 1000 AS timestamp_ms
-    FROM events""",
-)
-def stream_dedup(spark, sf_dir):
-    """Every snapshot arrives twice, the second time after a delay."""
+DISTINCT_TIMES = """SELECT DISTINCT event_type AS datasource, CAST(epoch(date_trunc('second', ts)) AS BIGINT) * 1000 AS timestamp_ms
+    FROM events"""
 
-    def job(raw, folder):
-        arriving = raw.withColumn("arrival", F.timestamp_micros("arrival"))
-        return _parquet(jobs.recent_duplicates_dropped(arriving), folder)
 
-    ts = F.col("ts")
-    micros = adapter.epoch_seconds(ts) * 1_000_000
+def _twice(spark, sf_dir, lag=None):
+    """Every snapshot arrives twice, 45 seconds apart; ``processed`` is when it is seen, ``arrival`` its stamp, both in
+    seconds. ``lag`` is how much later than stamped a row is processed."""
+    seconds = adapter.epoch_seconds(F.col("ts"))
     snapshots = _events(spark, sf_dir).select(
-        F.col("event_type").alias("datasource"),
-        (adapter.epoch_seconds(ts) * 1000).alias("timestamp_ms"),
-        micros.alias("first"),
+        F.col("event_type").alias("datasource"), (seconds * 1000).alias("timestamp_ms"), seconds.alias("arrival")
     )
-    again = [snapshots.withColumn("arrival", F.col("first") + delay * 1_000_000) for delay in (0, 45)]
-    twice = again[0].unionByName(again[1]).drop("first")
-    folder = run_in_slices(spark, twice, "arrival", job)
+    both = snapshots.withColumn("delay", F.explode(F.array(F.lit(0), F.lit(45))))
+    arriving = both.select("datasource", "timestamp_ms", (F.col("arrival") + F.col("delay")).alias("arrival"))
+    return arriving.withColumn("processed", F.col("arrival") + (F.lit(0) if lag is None else lag))
+
+
+def _deduplicated(spark, rows):
+    def job(raw, folder):
+        return jobs.recent_duplicate_batches(raw, [jobs.batch_directory(f"{folder}/out")], f"{folder}/seen", 180)
+
+    folder = run_in_slices(spark, rows, "processed", job)
     return spark.read.parquet(f"{folder}/out").select("datasource", "timestamp_ms")
 
 
+@named_query("stream_dedup", DISTINCT_TIMES)
+def stream_dedup(spark, sf_dir):
+    return _deduplicated(spark, _twice(spark, sf_dir))
+
+
+@named_query("stream_dedup_out_of_step", DISTINCT_TIMES)
+def stream_dedup_out_of_step(spark, sf_dir):
+    """One feed is processed three days behind its stamps, so most of its first snapshots come after later ones of others."""
+    lag = F.when(F.col("datasource") == "error", 3 * 86_400).otherwise(0)
+    return _deduplicated(spark, _twice(spark, sf_dir, lag))
+
+
 NEWER = """SELECT datasource, timestamp_ms, arrival FROM (
       SELECT o_orderpriority AS datasource, CAST(epoch(o_orderdate) AS BIGINT) * 1000 AS timestamp_ms,
              o_orderkey AS arrival FROM orders)
@@ -205,17 +245,49 @@ def stream_merge(spark, sf_dir):
 )
 def stream_raw_store(spark, sf_dir):
     """Raw snapshots kept by (datasource, time, key); every slice is stored twice to the same effect."""
+
     def job(raw, folder):
-        def store(batch, batch_id):
-            keys = ["datasource", "timestamp_ms", "key"]
-            for attempt in ("first", "again"):
-                upsert(
-                    readable(batch).select(*keys, "content"), f"{folder}/raw", keys, f"{folder}/staging",
-                    partition_by=["datasource"], merge_id=f"{batch_id}-{attempt}",
-                )
+        store = jobs.raw_store_sink(f"{folder}/raw", f"{folder}/staging")
+
+        def twice(batch, batch_id):
+            store(batch, batch_id)
+            store(batch, batch_id)
 
-        return raw.writeStream.foreachBatch(store)
+        return raw.writeStream.foreachBatch(twice)
 
     folder = run_in_slices(spark, adapter.raw_snapshots(spark, sf_dir), "arrival", job)
     stored = spark.read.parquet(f"{folder}/raw").groupBy("datasource", "timestamp_ms")
     return stored.agg(F.count(F.lit(1)).alias("documents"))
+
+
+@named_query(
+    "stream_documents_to_wide",
+    f"""WITH {sql.RAW}, {sql.CUSTOMER_DIM}, first_seen AS (
+      SELECT * FROM pieces WHERE value <= 100 QUALIFY row_number() OVER (PARTITION BY event_type, updatetime ORDER BY event_id) = 1),
+    uniq AS (
+      SELECT user_id AS station, updatetime, event_type = 'error' AS closed, whole AS bikes
+      FROM first_seen QUALIFY row_number() OVER (PARTITION BY user_id, updatetime ORDER BY event_id DESC) = 1),
+    moved AS (SELECT *, lag(bikes) OVER (PARTITION BY station ORDER BY updatetime) AS previous FROM uniq)
+    SELECT station, updatetime, CAST(CASE WHEN closed THEN 0 ELSE bikes END AS BIGINT) AS available,
+      CAST(coalesce(greatest(previous - bikes, 0), 0) AS BIGINT) AS lent,
+      CAST(coalesce(greatest(bikes - previous, 0), 0) AS BIGINT) AS returned, district, neighborhood
+    FROM moved JOIN dim ON station = id""",
+)
+def stream_documents_to_wide(spark, sf_dir):
+    """From documents to the wide table in two chained streams: readable ones without repeats are archived; the archive
+    is parsed into facts, which are joined and stored. The horizon takes in the whole input."""
+    stations = adapter.customer_stations(spark, sf_dir)
+    raw = adapter.raw_snapshots(spark, sf_dir)
+
+    def archive(documents, folder):
+        sink = jobs.batch_directory(f"{folder}/raw")
+        return jobs.recent_duplicate_batches(readable(documents), [sink], f"{folder}/seen", 10**12)
+
+    folder = run_in_slices(spark, raw, "arrival", archive)
+    stored = spark.readStream.schema(raw.schema).parquet(f"{folder}/raw")
+    obs = xml.observations(stored, "arrival").where("station >= 0").withColumn("station", F.col("station").cast("bigint"))
+    sink = jobs.big_table_sink(f"{folder}/big", f"{folder}/staging", stations)
+    jobs.start(jobs.fact_batches(obs, [sink], f"{folder}/counts", ("arrival",)), f"{folder}/facts").awaitTermination()
+    return spark.read.parquet(f"{folder}/big").select(
+        "station", F.unix_timestamp("timetag").alias("updatetime"), "available", "lent", "returned", "district", "neighborhood"
+    )

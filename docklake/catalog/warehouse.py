@@ -198,6 +198,17 @@ def upsert_merge(spark, sf_dir):
     return spark.read.parquet(path).select(*FACT_COLUMNS)
 
 
+@named_query("upsert_null_partition", f"WITH {sql.CUSTOMER_DIM} SELECT * FROM dim")
+def upsert_null_partition(spark, sf_dir):
+    """Stations kept by district, which some lack, in merges that each touch some districts only."""
+    path, staging = scratch_dir(spark, "stations"), scratch_dir(spark, "staging")
+    stations = adapter.customer_stations(spark, sf_dir)
+    parts = [stations.where(F.col("id") % 3 == 0), stations.where("id % 3 = 1 AND (district IS NULL OR district = 'ASIA')")]
+    for part in [*parts, stations.where("district IS NOT NULL"), stations.where("id % 3 = 2 AND district IS NULL")]:
+        upsert(part, path, ["id"], staging, partition_by=["district"])
+    return spark.read.schema(stations.schema).parquet(path)
+
+
 @named_query("dimension_upsert", f"WITH {sql.CUSTOMER_DIM} SELECT * FROM dim")
 def dimension_upsert(spark, sf_dir):
     """The supplier stations stored first, then all customer stations merged over them by id."""

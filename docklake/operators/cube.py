@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 from operator import and_
 from typing import Any
@@ -117,7 +117,9 @@ class Cube:
         only the last member's partitions are read."""
         path = self.path(hierarchy, level)
         last = self.last_members(table if within is None else within, hierarchy, level)
-        return table.where(reduce(and_, (F.col(c) == last.select(c).scalar() for c in path)))
+        # A null level is a member too; without any member nothing is last.
+        at = reduce(and_, (F.col(c).eqNullSafe(last.select(c).scalar()) for c in path))
+        return table.where(at & last.select(F.lit(True)).scalar())
 
     def in_members(self, table: DataFrame, members: DataFrame) -> DataFrame:
         """Rows below any of the given members (a frame of path columns)."""
@@ -173,19 +175,20 @@ class Cube:
         """Measures of the members of a level and of all their ancestors up to "all", parents
         first. ``depth`` is the number of path columns that are set: 0 is the all member."""
         path = self.path(hierarchy, level)
-        return self._grouped(table.rollup(*path), path, measures, parents_first=True)
+        return self._grouped(table, DataFrame.rollup, path, measures, parents_first=True)
 
     def combinations(self, table: DataFrame, levels: Sequence[tuple[str, str]], measures: Sequence[str]) -> DataFrame:
         """Measures of every combination of the given levels, each one also taken as "all"."""
         keys = self._keys(levels, paths=False)
-        return self._grouped(table.cube(*keys), keys, measures, parents_first=False)
+        return self._grouped(table, DataFrame.cube, keys, measures, parents_first=False)
 
-    def _grouped(self, grouped, keys: list[str], measures: Sequence[str], parents_first: bool) -> DataFrame:
+    def _grouped(self, table: DataFrame, group, keys: list[str], measures: Sequence[str], parents_first: bool) -> DataFrame:
         chosen = [self.measure(m) for m in measures]
+        finest, aggregates = _pre_aggregated(table, keys, chosen)
         flags = [F.grouping(k).cast("int") for k in keys]
         depth = (F.lit(len(keys)) - reduce(lambda a, b: a + b, flags)).alias("depth")
         flagged = [f.alias(f"_all_{k}") for f, k in zip(flags, keys)]
-        result = grouped.agg(depth, *flagged, *(m.aggregate().alias(m.name) for m in chosen))
+        result = group(finest, *keys).agg(depth, *flagged, *aggregates)
         hierarchize = [side for k in keys for side in (F.desc(f"_all_{k}"), F.asc(k))]
         ordered = result.orderBy(*(hierarchize if parents_first else ["depth", *hierarchize]))
         return ordered.select(*keys, "depth", *(m.name for m in chosen))
@@ -202,6 +205,30 @@ class Cube:
         return result.where(F.coalesce(*(F.col(m.name) for m in measures)).isNotNull())
 
 
+def _pre_aggregated(table: DataFrame, keys: Sequence[str], measures: Sequence[Measure]) -> tuple[DataFrame, list[Column]]:
+    """``table`` with one row per finest member (and per value to be counted once), and the measures over those rows.
+
+    A roll-up repeats every row for each of its levels, so it gets few: sums and counts instead of facts.
+    """
+    parts: dict[str, Column] = {}
+    counted: dict[str, Column] = {}
+    over: list[Column] = []
+    for m in measures:
+        value = F.col(m.column)
+        if m.aggregator in ("sum", "avg"):
+            parts[f"_sum_{m.column}"], parts[f"_count_{m.column}"] = F.sum(value), F.count(value)
+            kind = table.select(m.aggregate().alias("x")).schema["x"].dataType
+            total = F.sum(f"_sum_{m.column}")
+            if m.aggregator == "avg":
+                total = total / F.nullif(F.sum(f"_count_{m.column}"), F.lit(0))
+            over.append(total.cast(kind).alias(m.name))
+        else:
+            counted[f"_value_{m.column}"] = value
+            over.append(replace(m, column=f"_value_{m.column}").aggregate().alias(m.name))
+    grouped = table.groupBy(*keys, *(value.alias(name) for name, value in counted.items()))
+    return grouped.agg(*(part.alias(name) for name, part in (parts or {"_rows": F.count("*")}).items())), over
+
+
 def _named(items, name: str):
     for item in items:
         if item.name == name:

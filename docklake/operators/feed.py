@@ -35,7 +35,7 @@ def refresh_interval(times: DataFrame) -> DataFrame:
 
 
 def monotone(
-    raw: DataFrame, order: str = "arrival", buckets: Sequence[Bucket] = (), initial: DataFrame | None = None
+    raw: DataFrame, buckets: Sequence[Bucket], order: str = "arrival", initial: DataFrame | None = None
 ) -> DataFrame:
     """Snapshots strictly newer than every earlier arrival of their datasource. ``order`` is the
     unique arrival position; ``buckets`` cut it so that no task sees a whole datasource;

@@ -41,14 +41,15 @@ def with_previous(
     order: str,
     value: str,
     out: str,
-    buckets: Sequence[Bucket] = (),
+    buckets: Sequence[Bucket],
     initial: DataFrame | None = None,
     ends: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``out``: ``value`` of the row before, in ``order``, within ``keys``.
 
     ``order`` is unique per key and never null. ``initial`` (keys, value) stands before the first
-    row of a key. ``ends`` (keys, first bucket, value) replaces the summary computed here, where a
+    row of a key. Without ``buckets`` a whole key is sorted in one task, which has to be asked for by
+    an empty list. ``ends`` (keys, first bucket, value) replaces the summary computed here, where a
     cheaper one is at hand. Bucket columns stay in the result.
     """
     if not buckets:
@@ -74,7 +75,7 @@ def with_running_max(
     order: str,
     value: str,
     out: str,
-    buckets: Sequence[Bucket] = (),
+    buckets: Sequence[Bucket],
     initial: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``out``: the largest ``value`` of all earlier rows of the key, null before any."""

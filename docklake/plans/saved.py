@@ -11,9 +11,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from docklake.plans.cubes import DAY_SIXTH_AXIS, LAST_HOUR, STATION_CUBE
+from docklake.schemas import MONTH_PARTITIONS
+from docklake.session import child_names
 
 STATIONS = [("StationDistrict", "StationId")]
 DISTRICTS = [("StationDistrict", "District")]
@@ -25,6 +27,17 @@ def last_month_of(big: DataFrame) -> DataFrame:
     return STATION_CUBE.in_set(big, "last_month")
 
 
+def stored_months(spark: SparkSession, path: str) -> DataFrame:
+    """The months of a wide table stored by month, from its folder names: a frame to look for the last month in that
+    opens no file."""
+    kinds = ", ".join(f"{name} int" for name in MONTH_PARTITIONS)
+    found: list[tuple[int, ...]] = [()]
+    for _ in MONTH_PARTITIONS:
+        found = [(*outer, name) for outer in found for name in child_names(spark, "/".join([path, *outer])) if "=" in name]
+    values = [tuple(int(name.partition("=")[2]) for name in folders) for folders in found]
+    return spark.createDataFrame(values, kinds)
+
+
 def lent_by_station(big: DataFrame, period: str, within: DataFrame | None = None) -> DataFrame:
     """Bikes lent per station and day sixth in the ``last_week`` or ``last_month``, most lent first."""
     return _moved_by_station(big, period, "total_bikes_lent", within)

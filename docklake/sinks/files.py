@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from docklake.functions.calendar import day_string, snapshot_name, utc_from_millis
 from docklake.functions.text import message_key
-from docklake.operators.keyed import merge_by_key
+from docklake.operators.keyed import latest_per_key, merge_by_key
 from docklake.schemas import MONTH_PARTITIONS
 from docklake.session import delete_path, path_exists
 
@@ -76,26 +77,51 @@ def upsert(
     order: Sequence[str] = (),
     partition_by: Sequence[str] = (),
     merge_id: str | int | None = None,
+    merge: Callable[[DataFrame, DataFrame], DataFrame] | None = None,
 ) -> None:
     """Merge ``new`` into the Parquet table at ``path`` by key; new rows win.
 
     ``partition_by`` must be determined by the key. Only partitions that ``new`` touches are read
-    and rewritten. Every step ends in a complete table below ``staging``, so a job that is lost on
-    the way and run again with the same ``merge_id`` resumes, and running it twice changes nothing.
+    and rewritten, the partition of null values among them. Every step ends in a complete table below
+    ``staging``, so a job that is lost on the way and run again with the same ``merge_id`` resumes, and
+    running it twice changes nothing. Before the staged tables are deleted a marker beside them says
+    that the merge is complete: a job lost half-way through the deletion only goes on deleting.
+    ``merge(existing, new)`` replaces the rule that new rows win.
     """
     spark = new.sparkSession
     work = f"{staging}/{uuid.uuid4().hex if merge_id is None else merge_id}"
+    marker = f"{work}.done"
+    if path_exists(spark, f"{marker}/_SUCCESS"):
+        delete_path(spark, work)
+        delete_path(spark, marker)
+        return
     fresh = _staged(new, f"{work}/new")
     if path_exists(spark, path):
         existing = _touched(spark.read.schema(fresh.schema).parquet(path), fresh, partition_by)
     else:
         existing = fresh.limit(0)
-    merged = _staged(merge_by_key(existing, fresh, keys, order), f"{work}/merged")
+    merged = _staged(
+        merge_by_key(existing, fresh, keys, order) if merge is None else merge(existing, fresh), f"{work}/merged"
+    )
     writer = merged.hint("rebalance", *partition_by).write.mode("overwrite")
     if partition_by:
         writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
     writer.parquet(path)
+    spark.range(0).write.mode("overwrite").parquet(marker)
     delete_path(spark, work)
+    delete_path(spark, marker)
+
+
+def merge_newest(
+    new: DataFrame, path: str, keys: Sequence[str], staging: str, order: Sequence[str],
+    partition_by: Sequence[str] = (), merge_id: str | int | None = None,
+) -> None:
+    """``upsert`` in which the last row of a key by ``order`` wins, whether it is new or stored."""
+
+    def merge(existing: DataFrame, fresh: DataFrame) -> DataFrame:
+        return latest_per_key(existing.unionByName(fresh.select(*existing.columns)), keys, order)
+
+    upsert(new, path, keys, staging, partition_by=partition_by, merge_id=merge_id, merge=merge)
 
 
 def _staged(rows: DataFrame, path: str) -> DataFrame:
@@ -108,8 +134,20 @@ def _staged(rows: DataFrame, path: str) -> DataFrame:
 def _touched(existing: DataFrame, new: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     if not partition_by:
         return existing
-    # The range of the first partition column prunes the listing at run time, the semi join makes it exact.
-    first = partition_by[0]
-    low, high = (new.agg(pick(first).alias("bound")).scalar() for pick in (F.min, F.max))
-    inside = existing.where((F.col(first) >= low) & (F.col(first) <= high))
-    return inside.join(new.select(*partition_by).distinct(), list(partition_by), "left_semi")
+    # The range of each partition column prunes the listing at run time, the semi join makes it exact.
+    keys = {c: _partition_value(new, c) for c in partition_by}
+    touched = new.select(*(value.alias(f"_{c}") for c, value in keys.items())).distinct()
+    inside, same = F.lit(True), F.lit(True)
+    for c, value in keys.items():
+        low, high, some_null = (
+            new.agg(pick.alias("bound")).scalar() for pick in (F.min(value), F.max(value), F.bool_or(value.isNull()))
+        )
+        inside = inside & (F.col(c).between(low, high) | (F.col(c).isNull() & some_null))
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    return existing.where(inside).join(touched, same, "left_semi")
+
+
+def _partition_value(rows: DataFrame, column: str) -> Column:
+    """The value a partition folder gives back: an empty text is stored as null."""
+    value = F.col(column)
+    return F.nullif(value, F.lit("")) if rows.schema[column].dataType == StringType() else value

@@ -52,11 +52,17 @@ def unreadable(raw: DataFrame) -> DataFrame:
 
 
 def snapshot_files(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:
-    """Archived documents as (path, content), in path order where a ``limit`` asks for the first ones."""
-    files = spark.read.text(path, wholetext=True).select(
+    """Archived documents as (path, content). With ``limit`` only the first ones in path order: the paths are listed
+    without content, and only the chosen documents are read."""
+    chosen: str | list[str] = path
+    if limit is not None:
+        listed = spark.read.format("binaryFile").load(path).select("path").orderBy("path").limit(limit)
+        chosen = [row["path"] for row in listed.collect()]
+        if not chosen:
+            return spark.createDataFrame([], "path string, content string")
+    return spark.read.text(chosen, wholetext=True).select(
         F.col("_metadata.file_path").alias("path"), F.col("value").alias("content")
     )
-    return files if limit is None else files.orderBy("path").limit(limit)
 
 
 def snapshot_file_stream(spark: SparkSession, path: str, files_per_batch: int = 100) -> DataFrame:

@@ -28,6 +28,13 @@ def rejected(parsed: DataFrame) -> DataFrame:
     return parsed.where(_snapshot_seconds().isNull()).drop("document")
 
 
+def flagged(raw: DataFrame, content: str = "content") -> DataFrame:
+    """Raw snapshots with ``bad_time`` (no time or key could be read) and ``bad_xml`` (the document has no readable time)."""
+    undated = F.col("timestamp_ms").isNull() | F.col("key").isNull()
+    flags = {"bad_time": undated, "bad_xml": _snapshot_seconds().isNull()}
+    return with_document(raw, content).withColumns(flags).drop("document")
+
+
 def station_rows(parsed: DataFrame, *carry: str) -> DataFrame:
     """One row of raw text fields per station of every accepted document."""
     # The condition sits inside the generator: as a filter it would be pushed below the parsing

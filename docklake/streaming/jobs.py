@@ -12,13 +12,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from docklake.operators.current_state import POINT, newest_per_station, newest_per_window, state_rows
+from docklake.functions.calendar import day_string, utc_from_millis
+from docklake.functions.text import point_text
+from docklake.operators.current_state import POINT, STATE_FIELDS, newest_per_station, newest_per_window, state_rows
 from docklake.operators.facts import facts, last_counts
 from docklake.operators.feed import monotone
-from docklake.operators.ordered import Bucket
+from docklake.operators.keyed import latest_per_key
+from docklake.operators.ordered import Bucket, span_bucket, with_previous
 from docklake.plans.star import big_table, time_dimension
-from docklake.schemas import MONTH_PARTITIONS
-from docklake.sinks.files import upsert
+from docklake.sinks.files import merge_newest, upsert
+from docklake.sources.feeds import readable
 from docklake.streaming.carried import CarriedTable
 
 BatchSink = Callable[[DataFrame, int], None]
@@ -35,7 +38,7 @@ def console(rows: DataFrame) -> DataStreamWriter:
     return rows.writeStream.format("console").outputMode("append")
 
 
-# sinks of one micro-batch; repeating a batch leaves the same rows
+# sinks of one micro-batch; repeating a batch leaves the same rows, and only the days it has are rewritten
 
 
 def batch_directory(path: str) -> BatchSink:
@@ -54,15 +57,29 @@ def fact_table(path: str, staging: str) -> BatchSink:
 
 def time_table(path: str, staging: str) -> BatchSink:
     def write(rows: DataFrame, batch_id: int) -> None:
-        upsert(time_dimension(rows), path, ["timetag"], staging, partition_by=MONTH_PARTITIONS, merge_id=batch_id)
+        times = time_dimension(rows).withColumn("day", F.to_date("timetag"))
+        upsert(times, path, ["timetag"], staging, partition_by=["day"], merge_id=batch_id)
 
     return write
 
 
 def big_table_sink(path: str, staging: str, stations: DataFrame) -> BatchSink:
     def write(rows: DataFrame, batch_id: int) -> None:
-        wide = big_table(rows, stations)
-        upsert(wide, path, ["station", "timetag"], staging, partition_by=MONTH_PARTITIONS, merge_id=batch_id)
+        wide = big_table(rows, stations).withColumn("day", F.to_date("timetag"))
+        upsert(wide, path, ["station", "timetag"], staging, partition_by=["day"], merge_id=batch_id)
+
+    return write
+
+
+RAW_KEY = ("datasource", "timestamp_ms", "key")
+
+
+def raw_store_sink(path: str, staging: str) -> BatchSink:
+    """Raw snapshots kept once by (datasource, time, key), below datasource and UTC day."""
+
+    def write(rows: DataFrame, batch_id: int) -> None:
+        dated = readable(rows).select(*RAW_KEY, "content", day_string(utc_from_millis(F.col("timestamp_ms"))).alias("day"))
+        upsert(dated, path, RAW_KEY, staging, partition_by=["datasource", "day"], merge_id=batch_id)
 
     return write
 
@@ -125,14 +142,14 @@ def fact_batches(
 
 
 def monotone_batches(
-    raw: DataFrame, sinks: Sequence[BatchSink], state_path: str, order: str = "arrival", buckets: Sequence[Bucket] = ()
+    raw: DataFrame, sinks: Sequence[BatchSink], state_path: str, buckets: Sequence[Bucket], order: str = "arrival"
 ) -> DataStreamWriter:
     """Snapshots strictly newer than all earlier ones of their datasource."""
 
     def update(rows: DataFrame, before: DataFrame) -> tuple[DataFrame, DataFrame]:
         seen = rows.select("datasource", "timestamp_ms").unionByName(before)
         after = seen.groupBy("datasource").agg(F.max("timestamp_ms").alias("timestamp_ms"))
-        return monotone(rows, order, buckets, before), after
+        return monotone(rows, buckets, order, before), after
 
     return stateful_batches(raw, update, state_path, "datasource string, timestamp_ms bigint", sinks)
 
@@ -151,13 +168,64 @@ def current_state_batches(
     return obs.writeStream.foreachBatch(process)
 
 
-def recent_duplicates_dropped(raw: DataFrame, arrival: str = "arrival", horizon: str = "3 minutes") -> DataFrame:
-    """Drop snapshots whose (datasource, time) already arrived within ``horizon``."""
-    return raw.withWatermark(arrival, horizon).dropDuplicatesWithinWatermark(["datasource", "timestamp_ms"])
+def recent_duplicate_batches(
+    raw: DataFrame, sinks: Sequence[BatchSink], state_path: str, horizon: int, arrival: str = "arrival"
+) -> DataStreamWriter:
+    """Drop snapshots whose (datasource, time) arrived up to ``horizon`` before, in units of the whole number ``arrival``.
+
+    Only repeats are dropped: a first snapshot passes however late it is, and a feed that lags behind the others is
+    measured by its own clock. Kept between micro-batches is the last arrival of each snapshot that can still repeat.
+    """
+    keys = ["datasource", "timestamp_ms"]
+
+    def update(rows: DataFrame, before: DataFrame) -> tuple[DataFrame, DataFrame]:
+        first = rows.dropDuplicates([*keys, arrival])
+        ordered = first.withColumn("_at", F.col(arrival))
+        cut = [span_bucket(arrival, max(horizon, 1))]
+        known = before.select(*keys, F.col(arrival).alias("_at"))
+        passed = with_previous(ordered, keys, arrival, "_at", "_last", cut, known)
+        fresh = passed.where(F.col("_last").isNull() | (F.col(arrival) - F.col("_last") > horizon))
+        seen = rows.select(*keys, arrival).unionByName(before).groupBy(*keys).agg(F.max(arrival).alias(arrival))
+        newest = seen.groupBy("datasource").agg(F.max(arrival).alias("_newest"))
+        after = seen.join(newest, "datasource").where(F.col("_newest") - F.col(arrival) <= horizon).drop("_newest")
+        return fresh.select(*rows.columns), after
+
+    return stateful_batches(raw, update, state_path, f"datasource string, timestamp_ms bigint, {arrival} bigint", sinks)
 
 
 def newest_in_windows(
-    obs: DataFrame, length: int = 60, slide: int = 90, delay: str = "0 seconds", tie: tuple[str, ...] = ()
+    obs: DataFrame, delay: str, length: int = 60, slide: int = 90, tie: tuple[str, ...] = ()
 ) -> DataFrame:
-    """The newest row per station and event-time window; a window is emitted once it has closed."""
+    """The newest row per station and event-time window; a window is emitted once it has closed, ``delay`` after its
+    end. Rows later than that are in no window: choose ``delay`` by how late rows can be, or keep a table that late rows
+    still correct with ``window_batches``."""
     return newest_per_window(obs.withWatermark("timetag", delay), length, slide, tie)
+
+
+WINDOW_KEY = ("window_start", "window_end", "station")
+
+
+def window_batches(
+    obs: DataFrame, path: str, staging: str, length: int = 60, slide: int = 90, tie: tuple[str, ...] = (),
+    state: tuple[str, str] | None = None,
+) -> DataStreamWriter:
+    """Keep a table of the newest row per station and window below ``path``, by day of the window.
+
+    No row is too late: it corrects its window. With ``state`` (path, staging) the newest row per station of a
+    micro-batch's windows also goes to a current-state table, unless that table has a newer one.
+    """
+
+    def process(batch: DataFrame, batch_id: int) -> None:
+        if batch.isEmpty():
+            return
+        newest = newest_per_window(batch, length, slide, tie).withColumn("day", F.to_date("window_start"))
+        merge_newest(newest, path, WINDOW_KEY, staging, ["timetag"], ["day"], batch_id)
+        if state is not None:
+            rows = newest_per_station(newest.select("timetag", *STATE_FIELDS))
+            placed = latest_per_key(rows, POINT, ["timetag", "station"]).select(
+                *POINT, point_text(F.col("longitude"), F.col("latitude")).alias("the_geom"), "status",
+                F.col("bikes").alias("num_available_bikes"), "timetag",
+            )
+            merge_newest(placed, state[0], POINT, state[1], ["timetag"], (), batch_id)
+
+    return obs.writeStream.foreachBatch(process)

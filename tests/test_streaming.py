@@ -1,4 +1,5 @@
 from datetime import datetime, timedelta
+from pathlib import Path
 
 import pytest
 from conftest import rows
@@ -100,7 +101,7 @@ ARRIVALS = [
 def test_stream_of_newer_snapshots(spark, folder, kind):
     def job(stream):
         if kind == "carried":
-            return jobs.monotone_batches(stream, [jobs.batch_directory(f"{folder}/out")], f"{folder}/state")
+            return jobs.monotone_batches(stream, [jobs.batch_directory(f"{folder}/out")], f"{folder}/state", [])
         return stateful.stateful_monotone(stream).writeStream.format("parquet").option("path", f"{folder}/out")
 
     feed_batches(spark, folder, SNAPSHOT, ARRIVALS, job)
@@ -108,18 +109,55 @@ def test_stream_of_newer_snapshots(spark, folder, kind):
     assert rows(got.orderBy("arrival"), "in order") == [("a", 5, 0), ("b", 1, 2), ("a", 9, 5), ("b", 2, 6), ("a", 10, 8)]
 
 
-def test_recent_duplicates(spark, folder):
-    schema = "datasource string, timestamp_ms bigint, arrival timestamp"
-    t = lambda s: START + timedelta(seconds=s)
-    batches = [[("a", 1, t(0)), ("a", 1, t(20)), ("b", 1, t(20))], [("a", 1, t(60)), ("a", 2, t(70))]]
+def test_recent_duplicates_and_late_first_arrivals(spark, folder):
+    schema = "datasource string, timestamp_ms bigint, arrival bigint"
+    batches = [
+        [("a", 1, 0), ("a", 1, 20), ("b", 1, 20), ("a", 1, 0)], [("a", 1, 60), ("a", 2, 1000)],
+        [("b", 7, 30), ("b", 1, 190)],  # b lags behind a: 7 is new, 1 repeats
+        [("a", 2, 1181), ("b", 1, 371)],  # both beyond the horizon of what came before
+    ]
 
     def job(stream):
-        kept = jobs.recent_duplicates_dropped(stream)
-        return kept.writeStream.format("parquet").option("path", f"{folder}/out")
+        return jobs.recent_duplicate_batches(stream, [jobs.batch_directory(f"{folder}/out")], f"{folder}/seen", 180)
 
     feed_batches(spark, folder, schema, batches, job)
-    got = spark.read.parquet(f"{folder}/out").select("datasource", "timestamp_ms")
-    assert rows(got) == [("a", 1), ("a", 2), ("b", 1)]
+    got = spark.read.parquet(f"{folder}/out").select("datasource", "timestamp_ms", "arrival")
+    assert rows(got) == [("a", 1, 0), ("a", 2, 1000), ("a", 2, 1181), ("b", 1, 20), ("b", 1, 371), ("b", 7, 30)]
+
+
+def test_late_rows_correct_their_window(spark, folder):
+    batches = [[(1, at(10), "OPN", 1, 5), (1, at(100), "OPN", 1, 6)], [(3, at(50), "OPN", 1, 7), (1, at(5), "OPN", 1, 9), (1, at(20), "OPN", 1, 8)]]
+
+    def job(stream):
+        obs = stream.withColumns({"latitude": F.lit(1.0), "longitude": F.col("station") + F.lit(0.5)})
+        return jobs.window_batches(obs, f"{folder}/w", f"{folder}/s", 60, 60, state=(f"{folder}/state", f"{folder}/s2"))
+
+    feed_batches(spark, folder, OBS, batches, job)
+    got = spark.read.parquet(f"{folder}/w").select("station", "timetag", "bikes")
+    assert rows(got) == [(1, at(20), 8), (1, at(100), 6), (3, at(50), 7)]
+    assert rows(spark.read.parquet(f"{folder}/state").select("longitude", "num_available_bikes")) == [(1.5, 6), (3.5, 7)]
+
+
+def test_a_batch_leaves_other_days_as_they_are(spark, folder):
+    def files(name):
+        return {p: p.stat().st_mtime_ns for p in Path(folder, name).rglob("*.parquet")}
+
+    stations = spark.createDataFrame([(1, "d", "n", "p", "a", 1.0, 1, 1.0)], "id int, district string, neighborhood string, postal_code string, address string, pop_density double, population bigint, size double")
+    sinks = {"fact": jobs.fact_table(f"{folder}/fact", f"{folder}/s1"), "time": jobs.time_table(f"{folder}/time", f"{folder}/s2"),
+             "big": jobs.big_table_sink(f"{folder}/big", f"{folder}/s3", stations)}
+    before = {}
+    for number, second in enumerate((100, 90_000)):
+        made = facts(spark.createDataFrame([(1, at(second), "OPN", 1, 2)], OBS))
+        for name, sink in sinks.items():
+            before.setdefault(name, files(name))
+            sink(made, number)
+    raw = jobs.raw_store_sink(f"{folder}/raw", f"{folder}/s4")
+    for number, millis in enumerate((1, 86_400_001)):
+        before["raw"] = files("raw")
+        raw(spark.createDataFrame([("x", millis, "k", "text")], "datasource string, timestamp_ms bigint, key string, content string"), number)
+    assert before["raw"].items() <= files("raw").items() and len(files("raw")) == 2
+    for name in sinks:
+        assert spark.read.parquet(f"{folder}/{name}").count() == 2
 
 
 def test_documents_to_the_wide_star_in_a_stream(spark, folder, tmp_path):
@@ -137,7 +175,7 @@ def test_documents_to_the_wide_star_in_a_stream(spark, folder, tmp_path):
         files = feeds.snapshot_file_stream(spark, f"{folder}/in", 1)
         raw = feeds.readable(feeds.tag_snapshots(files, "bikes"))
         ordered = raw.withColumn("position", F.struct("arrival", "path"))
-        jobs.start(jobs.monotone_batches(ordered, [keep], f"{folder}/newest", "position"), f"{folder}/c1").awaitTermination()
+        jobs.start(jobs.monotone_batches(ordered, [keep], f"{folder}/newest", [], "position"), f"{folder}/c1").awaitTermination()
         if not (tmp_path / "raw").exists():
             continue
         stored = spark.readStream.schema("content string").parquet(f"{folder}/raw")
