@@ -107,11 +107,15 @@ def upsert(
     if partition_by:
         writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
     writer.parquet(path)
-    spark.range(0).write.mode("overwrite").parquet(marker)
+    _mark(spark, marker)
     delete_path(spark, work)
     delete_path(spark, marker)
 
 
+def _mark(spark: SparkSession, marker: str) -> None:
+    spark.range(0).write.mode("overwrite").parquet(marker)
+
+
 def merge_newest(
     new: DataFrame, path: str, keys: Sequence[str], staging: str, order: Sequence[str],
     partition_by: Sequence[str] = (), merge_id: str | int | None = None,

@@ -4,6 +4,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from docklake.operators.cube import NamedSet
 from docklake.operators.facts import facts
 from docklake.plans import saved
 from docklake.plans.cubes import FLAT_CUBE, STATION_CUBE
@@ -130,6 +131,26 @@ def test_rollup_lists_parents_first(big):
     ]
 
 
+def test_a_last_member_with_a_null_part(spark):
+    big = spark.createDataFrame([("A", "x", 1), ("Z", None, 2), ("Z", None, 3)], "district string, neighborhood string, station int")
+    for count in (1, 2):
+        last = STATION_CUBE.in_set(big, NamedSet("last", "StationDistrict", "Neighborhood", count))
+        assert rows(last.select("station")) == ([(2,), (3,)] if count == 1 else [(1,), (2,), (3,)])
+    none = big.where("station > 9")
+    assert STATION_CUBE.at_last(big, "StationDistrict", "Neighborhood", none).count() == 0
+
+
+def test_rollups_expand_aggregated_rows_only(big):
+    plans = [
+        STATION_CUBE.rollup(big, "StationDistrict", "Neighborhood", ["total_traffic", "average_lent", "total_station_count"]),
+        STATION_CUBE.combinations(big, [("StationStatus", "Status"), ("DayParts", "DayPart")], ["total_traffic"]),
+    ]
+    for frame in plans:
+        plan = frame._jdf.queryExecution().optimizedPlan().toString()
+        below = plan[plan.index("Expand") :].split("\n")[1:]
+        assert "Aggregate" in next(line for line in below if "Project" not in line)
+
+
 def test_unknown_names(big):
     with pytest.raises(KeyError):
         STATION_CUBE.query(big, [("StationDistrict", "Street")], ["total_traffic"])

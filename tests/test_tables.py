@@ -42,7 +42,7 @@ def test_upsert_resumes_after_a_loss(spark, folder, monkeypatch):
     def die(_spark, _path):
         raise RuntimeError("lost")
 
-    monkeypatch.setattr(files, "delete_path", die)
+    monkeypatch.setattr(files, "_mark", die)
     with pytest.raises(RuntimeError):
         files.upsert(new, path, ["k"], staging, partition_by=["part"], merge_id=3)
     monkeypatch.undo()
@@ -51,6 +51,44 @@ def test_upsert_resumes_after_a_loss(spark, folder, monkeypatch):
     assert rows(spark.read.parquet(path).select("k", "part", "v")) == [(1, "a", 1), (2, "a", 2)]
 
 
+def test_upsert_goes_on_deleting_after_a_loss_in_the_clean_up(spark, folder, tmp_path, monkeypatch):
+    """Half of the staged rows are gone when the job is run again; the table keeps all of them."""
+    path, staging = f"{folder}/t", f"{folder}/s"
+    new = frame(spark, [(k, "a", k) for k in range(20)]).repartition(4)
+
+    def die(_spark, _path):
+        for part in sorted((tmp_path / "s" / "3" / "merged").glob("part-*"))[1:]:
+            part.unlink()
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(files, "delete_path", die)
+    with pytest.raises(RuntimeError):
+        files.upsert(new, path, ["k"], staging, partition_by=["part"], merge_id=3)
+    monkeypatch.undo()
+    files.upsert(new, path, ["k"], staging, partition_by=["part"], merge_id=3)
+    assert rows(spark.read.parquet(path).select("k", "part", "v")) == rows(new)
+    assert not list((tmp_path / "s").iterdir())
+
+
+def test_upsert_keeps_rows_of_the_null_partition(spark, folder):
+    path = f"{folder}/t"
+
+    def put(data):
+        files.upsert(frame(spark, data), path, ["k"], f"{folder}/s", partition_by=["part"])
+        return rows(spark.read.schema("k int, part string, v int").parquet(path))
+
+    assert put([(1, None, 1), (2, "a", 1)]) == [(1, None, 1), (2, "a", 1)]
+    assert put([(3, None, 1)]) == [(1, None, 1), (2, "a", 1), (3, None, 1)]
+    assert put([(4, "", 1)]) == [(1, None, 1), (2, "a", 1), (3, None, 1), (4, None, 1)]
+    assert put([(5, "b", 1), (1, None, 2)]) == [(1, None, 2), (2, "a", 1), (3, None, 1), (4, None, 1), (5, "b", 1)]
+
+
+def test_the_later_row_wins_on_either_side(spark, folder):
+    for data in ([(1, "a", 5), (2, "a", 1)], [(1, "a", 3), (2, "a", 9)]):
+        files.merge_newest(frame(spark, data), f"{folder}/t", ["k"], f"{folder}/s", ["v"], ["part"])
+    assert rows(spark.read.parquet(f"{folder}/t").select("k", "v")) == [(1, 5), (2, 9)]
+
+
 def test_upsert_leaves_other_partitions_alone(spark, folder, tmp_path):
     path = f"{folder}/t"
     files.upsert(frame(spark, [(1, "a", 1), (2, "b", 1)]), path, ["k"], f"{folder}/s", partition_by=["part"])
