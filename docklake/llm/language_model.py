@@ -28,7 +28,7 @@ CLASS_WORDS, HEAD_CLASSES, TAIL_CLASSES = 64, 32, 64
 CLASSES = HEAD_CLASSES + TAIL_CLASSES
 VOCABULARY = CLASS_WORDS * HEAD_CLASSES
 BEFORE_FIRST = VOCABULARY + TAIL_CLASSES
-CLASS_ROWS, WORD_ROWS = 1 << 15, 1 << 14
+CLASS_ROWS, WORD_ROWS = 1 << 13, 1 << 13
 BLOCK = 64  # rows of weights that travel together
 
 
@@ -185,9 +185,9 @@ def _updates(model: Model, rate: float, batch_tokens: int):
                     _descend(weights[1], squares[1], touched[1], rows, code[head] % CLASS_WORDS, rate)
         for table, (now, old) in enumerate(zip(weights, (model.by_class, model.by_word), strict=True)):
             used = np.nonzero(touched[table].reshape(-1, BLOCK).any(axis=1))[0]
+            change = (now - old).astype(np.float16).reshape(-1, BLOCK, now.shape[1])
             for start in range(0, len(used), 16):
                 blocks = used[start : start + 16]
-                change = ((now - old) * touched[table][:, None]).reshape(-1, BLOCK, now.shape[1]) if start == 0 else change
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.full(len(blocks), table, np.int32)), pa.array(blocks.astype(np.int32)),
@@ -202,23 +202,24 @@ def _updates(model: Model, rate: float, batch_tokens: int):
 
 def _averaged(rows: pd.DataFrame) -> pd.DataFrame:
     """The mean change of a block's rows, each partition weighted by how often it touched the row."""
-    width = len(rows["change"].iloc[0]) // (4 * BLOCK)
+    width = len(rows["change"].iloc[0]) // (2 * BLOCK)
     change, touched = np.zeros((BLOCK, width), np.float64), np.zeros(BLOCK, np.float64)
     for own, n in zip(rows["change"], rows["touched"], strict=True):
-        change += np.frombuffer(own, np.float32).reshape(BLOCK, width)
-        touched += np.frombuffer(n, np.float32)
+        times = np.frombuffer(n, np.float32)
+        change += np.frombuffer(own, np.float16).reshape(BLOCK, width) * times[:, None].astype(np.float64)
+        touched += times
     mean = (change / np.maximum(touched, 1.0)[:, None]).astype(np.float32)
     return pd.DataFrame({"table": rows["table"].iloc[:1], "block": rows["block"].iloc[:1], "change": [mean.tobytes()]})
 
 
 def _started(counts: DataFrame, known_words: int) -> Model:
     """The model before training: smoothed counts without context."""
-    frequent = counts.where(F.col("word") != "").orderBy(F.desc("n"), "word").limit(known_words).collect()
+    frequent = counts.where(F.col("word") != "").orderBy(F.desc("n"), "word").limit(known_words).toArrow()
     ends = counts.where(F.col("word") == "").first()
-    words = [END] + [row["word"].encode() for row in frequent]
-    n = np.array([ends["n"] if ends else 0] + [row["n"] for row in frequent], dtype=np.float64)
+    words = [END] + [word.encode() for word in frequent["word"].to_pylist()]
+    n = np.array([ends["n"] if ends else 0] + frequent["n"].to_pylist(), dtype=np.float64)
     tail = np.array([-1 if i < VOCABULARY else tail_class(word) for i, word in enumerate(words)], dtype=np.int64)
-    last = frequent[VOCABULARY - 2] if len(frequent) >= VOCABULARY - 1 else None
+    last = frequent.slice(VOCABULARY - 2, 1).to_pylist()[0] if len(frequent) >= VOCABULARY - 1 else None
     rare = counts.where(_after(last)).groupBy((F.crc32(F.encode(F.right("word", F.lit(2)), "utf-8")) % TAIL_CLASSES).alias("class")).agg(
         F.sum("n").alias("n"), F.count("*").alias("words")
     ).collect() if last else []
@@ -243,7 +244,7 @@ def _after(row) -> Column:
     return later & (F.col("word") != "")
 
 
-def trained_on(docs: DataFrame, counts: DataFrame, known_words: int = 1 << 17, rounds: int = 6, share: int = 16, rate: float = 0.06, batch_tokens: int = 256) -> Model:
+def trained_on(docs: DataFrame, counts: DataFrame, known_words: int = 1 << 17, rounds: int = 6, share: int = 32, rate: float = 0.06, batch_tokens: int = 256) -> Model:
     """The model of ``docs(doc_id, text)``, whose ``counts`` cover all of them.
 
     Each of ``rounds`` gradient rounds takes another 1 of ``share`` parts of the documents, by a hash of the id, so the
@@ -306,7 +307,7 @@ def _scored_texts(model: Model, total: float, rows: np.ndarray, part: pa.RecordB
     n, none = len(texts), lambda size, kind: pa.nulls(size, kind)
     yield pa.RecordBatch.from_arrays(
         [
-            pa.array(rows), part.column("doc_id"), part.column("held_out"), pa.array(sizes), pa.array(sums(held).astype(np.int64)),
+            pa.array(rows), part.column("doc_id"), part.column("held_out"), pa.array(sizes), pa.array(sums(count > 0).astype(np.int64)),
             pa.array(sums(count) - sizes * total), pa.array(sums(log_p)), pa.array([f" {row}" for row in rows]), pa.array(np.zeros(n, np.int64)),
         ],
         names=list(ROW),
