@@ -212,17 +212,38 @@ def _averaged(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"table": rows["table"].iloc[:1], "block": rows["block"].iloc[:1], "change": [mean.tobytes()]})
 
 
-def _started(counts: DataFrame, known_words: int) -> Model:
-    """The model before training: smoothed counts without context."""
-    frequent = counts.where(F.col("word") != "").orderBy(F.desc("n"), "word").limit(known_words).toArrow()
+def _least_count(counts: DataFrame, known_words: int) -> int:
+    """The smallest count such that at most ``known_words`` words have it or more.
+
+    From a histogram of the counts, exact below 1024 and by eighths of a power of two above, so of some 1,500 rows at most.
+    """
+    rank = F.floor(F.log2("n") * 8)
+    step = F.when(F.col("n") < 1024, F.col("n")).otherwise(F.ceil(F.pow(F.lit(2.0), rank / 8)))
+    sizes = counts.where("word != ''").groupBy(step.cast("long").alias("least")).count().collect()
+    least, held = 1 << 62, 0
+    for row in sorted(sizes, key=lambda row: -row["least"]):
+        held += row["count"]
+        if held > known_words:
+            break
+        least = row["least"]
+    return least
+
+
+def _started(counts: DataFrame, least: int) -> Model:
+    """The model before training: smoothed counts without context. Held are the words of count ``least`` or more."""
+    known = counts.where((F.col("word") != "") & (F.col("n") >= least)).toArrow()
+    frequent = sorted(zip(known["n"].to_pylist(), known["word"].to_pylist(), strict=True), key=lambda x: (-x[0], x[1]))
     ends = counts.where(F.col("word") == "").first()
-    words = [END] + [word.encode() for word in frequent["word"].to_pylist()]
-    n = np.array([ends["n"] if ends else 0] + frequent["n"].to_pylist(), dtype=np.float64)
+    words = [END] + [word.encode() for _, word in frequent]
+    n = np.array([ends["n"] if ends else 0] + [n for n, _ in frequent], dtype=np.float64)
     tail = np.array([-1 if i < VOCABULARY else tail_class(word) for i, word in enumerate(words)], dtype=np.int64)
-    last = frequent.slice(VOCABULARY - 2, 1).to_pylist()[0] if len(frequent) >= VOCABULARY - 1 else None
-    rare = counts.where(_after(last)).groupBy((F.crc32(F.encode(F.right("word", F.lit(2)), "utf-8")) % TAIL_CLASSES).alias("class")).agg(
-        F.sum("n").alias("n"), F.count("*").alias("words")
-    ).collect() if last else []
+    in_tail = F.col("n") < least
+    if len(words) >= VOCABULARY:
+        last_n, last_word = frequent[VOCABULARY - 2]
+        in_tail = (F.col("n") < last_n) | ((F.col("n") == last_n) & (F.col("word") > last_word))
+    rare = counts.where((F.col("word") != "") & in_tail).groupBy(
+        (F.crc32(F.encode(F.right("word", F.lit(2)), "utf-8")) % TAIL_CLASSES).alias("class")
+    ).agg(F.sum("n").alias("n"), F.count("*").alias("words")).collect()
     tokens, distinct = np.zeros(TAIL_CLASSES), np.zeros(TAIL_CLASSES)
     for row in rare:
         tokens[row["class"]], distinct[row["class"]] = row["n"], row["words"]
@@ -238,12 +259,6 @@ def _started(counts: DataFrame, known_words: int) -> Model:
     )
 
 
-def _after(row) -> Column:
-    """Words that come after ``row`` by descending count and then by the word; the end is not among them."""
-    later = (F.col("n") < row["n"]) | ((F.col("n") == row["n"]) & (F.col("word") > row["word"]))
-    return later & (F.col("word") != "")
-
-
 def trained_on(docs: DataFrame, counts: DataFrame, known_words: int = 1 << 17, rounds: int = 6, share: int = 32, rate: float = 0.06, batch_tokens: int = 256) -> Model:
     """The model of ``docs(doc_id, text)``, whose ``counts`` cover all of them.
 
@@ -252,7 +267,7 @@ def trained_on(docs: DataFrame, counts: DataFrame, known_words: int = 1 << 17, r
     the driver gets the averaged blocks: as many as the model has, whatever the number of documents.
     """
     spark = docs.sparkSession
-    model = _started(counts, known_words)
+    model = _started(counts, _least_count(counts, known_words))
     path = scratch_dir(spark, "rounds")
     part = F.pmod(F.xxhash64("doc_id"), F.lit(share)).alias("round")
     docs.select("text", part).where(F.col("round") < rounds).write.partitionBy("round").parquet(path)
@@ -337,7 +352,7 @@ def scored(docs: DataFrame, learn: Column, known_words: int = 1 << 17, **trainin
     Null texts count as empty and have one token, the end. Each row is scored by itself, repeated ones too; an empty
     table gives none, and without rows to learn from all words are unknown.
 
-    Tasks hold the ``known_words`` most frequent words. Counts of other words are joined: by then no word is frequent,
+    Tasks hold the most frequent words, ``known_words`` at most. Counts of other words are joined: by then no word is frequent,
     so no key is hot, and a text sends a row for each of its rare words only.
     """
     docs = docs.select("doc_id", "text")
@@ -348,9 +363,7 @@ def scored(docs: DataFrame, learn: Column, known_words: int = 1 << 17, **trainin
     model = trained_on(taught, counts, known_words, **training)
     held_out = F.coalesce(~learn, F.lit(False)).alias("held_out")
     rows = docs.select("doc_id", "text", held_out).mapInArrow(_scored(model, float(np.log10(tokens + distinct + 1))), ROW_SCHEMA)
-    frequent = counts.where(F.col("word") != "").orderBy(F.desc("n"), "word").limit(known_words)
-    last = frequent.orderBy("n", F.desc("word")).first() if distinct > known_words else None
-    others = counts.where(_after(last)) if last else counts.limit(0)
+    others = counts.where((F.col("word") != "") & (F.col("n") < _least_count(counts, known_words)))
     joined = rows.join(others.select("word", F.col("n").alias("found")), "word", "left")
     more = F.coalesce(F.col("n") * F.log10(F.col("found") + 1.0), F.lit(0.0))
     return joined.groupBy("row").agg(
