@@ -13,7 +13,7 @@ ODD = re.compile(r"[^\t\n\r\x20-\x7e\xa1-ɏ]")
 LETTERS = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-ɏ"
 NUMBERS = "0-9\xb2\xb3\xb9\xbc-\xbe"
 CUT = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{NUMBERS}]|[^\s{LETTERS}{NUMBERS}]+")
-REMEMBERED = 200_000
+REMEMBERED = 400_000
 
 
 def _packed(ids: list[int]) -> bytes:
@@ -38,11 +38,10 @@ class WordTokenizer:
 
     def ids(self, texts: list[str]) -> list[bytes]:
         cut = [None if self._goes_whole(text) else CUT.findall(text.lower()) for text in texts]
-        missing = list({word: None for words in cut if words for word in words if word not in self.known})
+        missing = list(set().union(*filter(None, cut)).difference(self.known))
         for start in range(0, len(missing), 1000):
             part = missing[start : start + 1000]
-            for word, encoded in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False), strict=True):
-                self.known[word] = _packed(encoded.ids)
+            self.known.update(zip(part, self._words(part), strict=True))
         look = self.known.__getitem__
         found = [
             _packed(self.tokenizer.encode(text, add_special_tokens=False).ids) if words is None else b"".join(map(look, words))
@@ -52,6 +51,17 @@ class WordTokenizer:
             self.known.clear()
         return found
 
+    def _words(self, words: list[str]) -> list[bytes]:
+        """The ids of each word, from one text of all of them where the tokenizer sees the same words in it."""
+        joined = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
+        owner = np.array(joined.word_ids, dtype=np.int64)
+        bounds = np.nonzero(np.diff(owner, prepend=-1))[0]
+        if len(bounds) != len(words):
+            return [_packed(one.ids) for one in self.tokenizer.encode_batch(words, add_special_tokens=False)]
+        packed = _packed(joined.ids)
+        ends = [*(4 * bounds).tolist(), len(packed)]
+        return [packed[low:high] for low, high in zip(ends[:-1], ends[1:], strict=True)]
+
     def _goes_whole(self, text: str) -> bool:
         return ODD.search(text) is not None or any(token in text for token in self.special)
 
