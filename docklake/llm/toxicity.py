@@ -29,9 +29,13 @@ def _words(text: str | None) -> list[str]:
     return WORD.findall((text or "").lower())
 
 
+def _slices(batch: pa.RecordBatch, rows: int):
+    return (batch.slice(start, rows) for start in range(0, batch.num_rows, rows))
+
+
 def _expressions(batches):
-    """Per batch: in how many toxic and ordinary texts each beginning, word and pair of words occurs."""
-    for batch in batches:
+    """Per 256 texts: in how many toxic and ordinary texts each beginning, word and pair of words occurs."""
+    for batch in (part for whole in batches for part in _slices(whole, 256)):
         seen: tuple[Counter, Counter] = (Counter(), Counter())
         for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist(), strict=True):
             words = _words(text)
