@@ -16,19 +16,18 @@ from dataclasses import dataclass, replace
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docklake.llm.common import LOWERED, stored, utf8
-from docklake.session import scratch_dir
 
 END = b""  # no word is empty
 CLASS_WORDS, HEAD_CLASSES, TAIL_CLASSES = 64, 32, 64
 CLASSES = HEAD_CLASSES + TAIL_CLASSES
 VOCABULARY = CLASS_WORDS * HEAD_CLASSES
 BEFORE_FIRST = VOCABULARY + TAIL_CLASSES
-CLASS_ROWS, WORD_ROWS = 1 << 13, 1 << 13
+CLASS_ROWS, WORD_ROWS = 1 << 15, 1 << 14
 BLOCK = 64  # rows of weights that travel together
 
 
@@ -138,22 +137,38 @@ def _log_softmax(weights: np.ndarray, rows: list[np.ndarray], target: np.ndarray
     return chosen - np.log(np.exp(logits, out=logits).sum(axis=1, dtype=np.float64))
 
 
+def _summed(p: np.ndarray, at: np.ndarray, starts: np.ndarray, times: np.ndarray) -> np.ndarray:
+    """The sum of the rows ``p[at]`` in each run of ``times`` entries from ``starts``; most runs have one entry."""
+    total = p.take(at[starts], axis=0)
+    for k in range(1, 8):
+        more = np.nonzero((times > k) & (times <= 8))[0]
+        if not len(more):
+            break
+        total[more] += p.take(at[starts[more] + k], axis=0)
+    for run in np.nonzero(times > 8)[0]:
+        total[run] = p.take(at[starts[run] : starts[run] + times[run]], axis=0).sum(axis=0)
+    return total
+
+
 def _descend(weights: np.ndarray, squares: np.ndarray, touched: np.ndarray, rows: list[np.ndarray], target: np.ndarray, rate: float) -> None:
     """One step of Adagrad, with one rate for each row, on a small batch."""
     if not len(target):
         return
     logits = _logits(weights, rows)
-    p = np.exp(logits - logits.max(axis=1, keepdims=True))
+    logits -= logits.max(axis=1, keepdims=True)
+    p = np.exp(logits, out=logits)
     p /= p.sum(axis=1, keepdims=True)
     p[np.arange(len(target)), target] -= 1.0
     flat = np.concatenate(rows)
-    order = np.argsort(flat, kind="stable")
-    starts = np.nonzero(np.diff(flat[order], prepend=-1))[0]
-    slope = np.add.reduceat(p[order % len(target)], starts, axis=0)
-    own = flat[order][starts]
-    squares[own] += (slope * slope).mean(axis=1)
-    weights[own] -= rate * slope / np.sqrt(squares[own] + 1e-2)[:, None]
-    touched[own] += np.diff(np.append(starts, len(flat)))
+    order = np.argsort(flat.astype(np.uint16) if len(weights) <= 1 << 16 else flat, kind="stable")  # 16 bits sort by radix
+    flat = flat[order]
+    starts = np.nonzero(np.diff(flat, prepend=-1))[0]
+    own, times = flat[starts], np.diff(np.append(starts, len(flat)))
+    slope = _summed(p, order % len(target), starts, times)
+    squares[own] += np.einsum("ij,ij->i", slope, slope) / slope.shape[1]
+    slope *= (rate / np.sqrt(squares[own] + 1e-2)).astype(np.float32)[:, None]
+    weights[own] -= slope
+    touched[own] += times
 
 
 def _context(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -161,10 +176,11 @@ def _context(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([edge, codes[:-1]]), np.concatenate([edge, edge, codes[:-2]])[: len(codes)]
 
 
-def _updates(model: Model, rate: float, batch_tokens: int):
+def _updates(held: Broadcast, rate: float, batch_tokens: int):
     """Changes of the weights after a descent on this partition's texts, in blocks of rows."""
 
     def descend(batches):
+        model = held.value
         weights = model.by_class.copy(), model.by_word.copy()
         squares = [np.zeros(len(w), np.float32) for w in weights]
         touched = [np.zeros(len(w), np.float32) for w in weights]
@@ -176,13 +192,13 @@ def _updates(model: Model, rate: float, batch_tokens: int):
                 order = mixed.permutation(sum(map(len, coded)))  # neighbours in a batch are of different texts
                 codes = np.concatenate(coded)[order]
                 before, skipped = (np.concatenate(x)[order] for x in zip(*contexts, strict=True))
+                classes, head = classes_of(codes), np.nonzero(codes < VOCABULARY)[0]
+                own, own_head = class_rows(before, skipped), word_rows(classes[head], before[head], skipped[head])
                 for start in range(0, len(codes), batch_tokens):
                     part = slice(start, start + batch_tokens)
-                    code, cls = codes[part], classes_of(codes[part])
-                    _descend(weights[0], squares[0], touched[0], class_rows(before[part], skipped[part]), cls, rate)
-                    head = np.nonzero(code < VOCABULARY)[0]
-                    rows = word_rows(cls[head], before[part][head], skipped[part][head])
-                    _descend(weights[1], squares[1], touched[1], rows, code[head] % CLASS_WORDS, rate)
+                    _descend(weights[0], squares[0], touched[0], [rows[part] for rows in own], classes[part], rate)
+                    part = slice(*np.searchsorted(head, (start, start + batch_tokens)))
+                    _descend(weights[1], squares[1], touched[1], [rows[part] for rows in own_head], codes[head[part]] % CLASS_WORDS, rate)
         for table, (now, old) in enumerate(zip(weights, (model.by_class, model.by_word), strict=True)):
             used = np.nonzero(touched[table].reshape(-1, BLOCK).any(axis=1))[0]
             change = (now - old).astype(np.float16).reshape(-1, BLOCK, now.shape[1])
@@ -259,22 +275,23 @@ def _started(counts: DataFrame, least: int) -> Model:
     )
 
 
-def trained_on(docs: DataFrame, counts: DataFrame, known_words: int = 1 << 17, rounds: int = 6, share: int = 32, rate: float = 0.06, batch_tokens: int = 256) -> Model:
+def trained_on(docs: DataFrame, counts: DataFrame, known_words: int = 1 << 17, rounds: int = 6, share: int = 6, rate: float = 0.06, batch_tokens: int = 256) -> Model:
     """The model of ``docs(doc_id, text)``, whose ``counts`` cover all of them.
 
-    Each of ``rounds`` gradient rounds takes another 1 of ``share`` parts of the documents, by a hash of the id, so the
-    work grows with the documents at every size. A partition's change of the weights comes in blocks of 64 rows, and
+    Each of ``rounds`` gradient rounds descends on 1 of ``share`` parts of the documents, by a hash of the id, in turn. There
+    are as many rounds as parts at least, so every document is learned from. Rounds read ``docs`` itself, no copy. A partition's change of the weights comes in blocks of 64 rows, and
     the driver gets the averaged blocks: as many as the model has, whatever the number of documents.
     """
-    spark = docs.sparkSession
+    if rounds < share:
+        raise ValueError(f"{rounds} rounds leave out {share - rounds} of {share} parts of the documents")
     model = _started(counts, _least_count(counts, known_words))
-    path = scratch_dir(spark, "rounds")
-    part = F.pmod(F.xxhash64("doc_id"), F.lit(share)).alias("round")
-    docs.select("text", part).where(F.col("round") < rounds).write.partitionBy("round").parquet(path)
-    chosen = spark.read.schema("text string, round int").parquet(path)
+    part = F.pmod(F.xxhash64("doc_id"), F.lit(share))
+    context = docs.sparkSession.sparkContext
+    tasks = max(docs.rdd.getNumPartitions() // share, context.defaultParallelism)  # each then has about a partition's texts
     for number in range(rounds):
-        updates = chosen.where(F.col("round") == number).select("text").mapInArrow(
-            _updates(model, rate, batch_tokens), "table int, block int, change binary, touched binary"
+        held = context.broadcast(model)
+        updates = docs.where(part == number % share).select("text").coalesce(tasks).mapInArrow(
+            _updates(held, rate, batch_tokens), "table int, block int, change binary, touched binary"
         )
         averaged = updates.groupBy("table", "block").applyInPandas(_averaged, "table int, block int, change binary").collect()
         tables = model.by_class.copy(), model.by_word.copy()
@@ -283,6 +300,7 @@ def trained_on(docs: DataFrame, counts: DataFrame, known_words: int = 1 << 17, r
             at = slice(row["block"] * BLOCK, (row["block"] + 1) * BLOCK)
             tables[row["table"]][at] += np.frombuffer(row["change"], np.float32).reshape(BLOCK, width)
         model = replace(model, by_class=tables[0], by_word=tables[1])
+        held.destroy()  # else each round leaves a copy of the weights on the disk of every executor
     return model
 
 

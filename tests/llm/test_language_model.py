@@ -52,3 +52,27 @@ def test_nothing_to_learn_from(spark):
     rows = lm.scored(documents(spark), fold("doc_id", 7) > 9).collect()
     assert {r.n_known for r in rows} == {0} and {r.train_tokens for r in rows} == {0} and len(rows) == documents(spark).count()
     assert lm.scored(documents(spark).limit(0), fold("doc_id", 7) != 2).collect() == []
+
+
+def test_every_document_shapes_the_weights(spark):
+    """Each text repeats a pair of its own words, which then must have raised the weights of their context."""
+    docs = spark.createDataFrame([(i, f"a{i} b{i} " * 30) for i in range(60)], "doc_id long, text string")
+    model = lm.trained_on(docs, lm.word_counts(docs))
+    for i in range(60):
+        code = {name: model.number[name.encode()] for name in (f"a{i}", f"b{i}")}
+        for word, before in (code.values(), reversed(code.values())):
+            log_p = model.log_probabilities(np.array([word]), np.array([before]), np.array([word]))[0]
+            assert log_p > -1.8  # 1 of 121 words without a context, -2.08
+
+
+def test_fewer_rounds_than_parts_are_refused(spark):
+    docs = documents(spark)
+    with pytest.raises(ValueError, match="leave out 26 of 32"):
+        lm.trained_on(docs, lm.word_counts(docs), rounds=6, share=32)
+
+
+def test_runs_are_summed():
+    rng = np.random.default_rng(7)
+    p, times = rng.normal(size=(50, 3)), np.array([1, 2, 8, 9, 30, 1, 5])
+    at, starts = rng.integers(0, 50, times.sum()), np.concatenate([[0], times.cumsum()[:-1]])
+    assert np.allclose(lm._summed(p, at, starts, times), np.add.reduceat(p[at], starts, axis=0))
