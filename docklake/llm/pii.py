@@ -25,8 +25,20 @@ DATE = r"(?<![\d.\-/])(?:\d{4}-\d{2}-\d{2}|\d{2}\.\d{2}\.\d{4}|\d{2}/\d{2}/\d{4}
 ADDRESS = r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?!\d|\.\d)"
 PHONE = r"(?<!\d)(?:\+?\d{1,3}[ .\-]?)?(?:\(\d{3}\)[ .\-]?|\d{3}[ .\-])\d{3}[ .\-]\d{4}(?![\d\-])"
 SOCIAL = r"(?<![\d\-])\d{3}-\d{2}-\d{4}(?![\d\-])"
-CARD = r"(?<!\d)\d(?:[ \-]?\d){12,18}(?!\d)"
-IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])"
+# Card numbers as printed: in fours, 4-6-5, 4-6-4 or in one; a last short group may also be a check code that follows.
+PRINTED = (
+    r"(?:[2-6]\d{3}[ \-]\d{4}[ \-]\d{4}[ \-]\d{4}(?:[ \-]\d{3}(?![ .\-/]?\d))?|3\d{3}[ \-]\d{6}[ \-]\d{4,5}"
+    r"|[2-6]\d{12,18})(?!\d)"
+)
+CARD = r"(?<!\d)(?:" + PRINTED + r"|\d(?:(?![ \-]" + PRINTED + r")[ \-]?\d){12,18}(?!\d))"
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH CR HR LI LV",
+    22: "BG BH DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE",
+    31: "MT SC", 32: "LC", 33: "RU",
+}
+OF_COUNTRY = "|".join(rf"(?:{names.replace(' ', '|')})\d{{2}}(?: ?[A-Z0-9]){{{size - 4}}}" for size, names in IBAN_LENGTHS.items())
+IBAN = r"(?<![A-Za-z0-9])(?:" + OF_COUNTRY + r"|[A-Z]{2}\d{2}(?: ?[A-Z0-9]){11,30})(?![A-Za-z0-9])"
 ANY = "|".join((SECRET, MAIL, DATE, ADDRESS, SOCIAL, PHONE, CARD, IBAN))
 
 
@@ -113,8 +125,21 @@ def _luhn_sum(digits: Column) -> Column:
     return F.aggregate(F.transform(F.split(F.reverse(digits), ""), weight), F.lit(0), lambda s, x: s + x)
 
 
+def _first_valid(value: Column, ends: list[Column], made) -> Column:
+    """``made`` of the first beginning of ``value`` for which it is not null, what follows stays; else ``value``."""
+    heads = F.array(*(F.when(end > 0, F.substr(value, F.lit(1), end)) for end in ends))
+    tried = F.filter(F.transform(heads, lambda head: F.concat(made(head), F.substr(value, F.length(head) + 1, F.length(value)))), lambda x: x.isNotNull())
+    return F.coalesce(F.get(tried, F.lit(0)), value)
+
+
 def _card(value: Column, key: str) -> Column:
-    """All digits but the first move, the last is the new check digit; numbers that fail the check stay."""
+    """A number of four fours, if it passes the check, else the whole; digits after the four fours are a code of their own."""
+    fours = F.length(F.regexp_extract(value, r"^\d{4}([ \-]\d{4}){3}(?=[ \-])", 0))
+    return _first_valid(value, [fours, F.length(value)], lambda head: _checked_card(head, key))
+
+
+def _checked_card(value: Column, key: str) -> Column:
+    """All digits but the first move, the last is the new check digit; null for a number that fails the check."""
     digits = _digits(value)
     body = F.concat(F.substr(digits, F.lit(1), F.lit(1)), permuted_text(F.substr(digits, F.lit(2), F.length(digits) - 2), key, "card"))
 
@@ -122,7 +147,7 @@ def _card(value: Column, key: str) -> Column:
         check = (10 - _luhn_sum(F.concat(own, F.lit("0"))) % 10) % 10
         return _refilled(value, F.concat(own, check.cast("string")), r"\d")
 
-    return F.when(_luhn_sum(digits) % 10 == 0, _bound(body, checked)).otherwise(value)
+    return F.when(_luhn_sum(digits) % 10 == 0, _bound(body, checked))
 
 
 def _remainder(account: Column) -> Column:
@@ -136,7 +161,13 @@ def _remainder(account: Column) -> Column:
 
 
 def _iban(value: Column, key: str) -> Column:
-    """Country and format stay, the rest moves and the check digits follow; numbers that fail the check stay."""
+    """The longest number that passes the check: the whole, or what ends before a space; words after it stay."""
+    ends = [F.length(value), *(F.length(F.regexp_extract(value, rf"^(.*?)(?: [A-Z0-9]+){{{n}}}$", 1)) for n in range(1, 9))]
+    return _first_valid(value, [F.when(end >= 15, end) for end in ends], lambda head: _checked_iban(head, key))
+
+
+def _checked_iban(value: Column, key: str) -> Column:
+    """Country and format stay, the rest moves and the check digits follow; null for a number that fails the check."""
     plain = F.regexp_replace(value, " ", "")
     country, rest = F.substr(plain, F.lit(1), F.lit(2)), F.substr(plain, F.lit(5), F.length(plain))
     valid = _remainder(F.concat(rest, F.substr(plain, F.lit(1), F.lit(4)))) == 1
@@ -145,7 +176,7 @@ def _iban(value: Column, key: str) -> Column:
         check = F.lpad((98 - _remainder(F.concat(own, country, F.lit("00")))).cast("string"), 2, "0")
         return _refilled(value, F.concat(country, check, own), r"[A-Z0-9]")
 
-    return F.when(valid, _bound(permuted_text(rest, key, "iban"), checked)).otherwise(value)
+    return F.when(valid, _bound(permuted_text(rest, key, "iban"), checked))
 
 
 def _address(value: Column, key: str) -> Column:

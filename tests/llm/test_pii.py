@@ -93,3 +93,14 @@ def test_odd_rows(spark):
     long = _one(spark, ("a b c " * 50_000) + "97.51.17.173")
     assert len(long) > 300_000 and not long.endswith("97.51.17.173")
     assert pii.pseudonymised(docs.limit(0), KEY).collect() == []
+
+
+def test_what_stands_around_a_number_does_not_hide_it(spark):
+    alone = ("4111 1111 1111 1111", "4111111111111111", "3782 822463 10005", "DE89 3704 0044 0532 0130 00", "DE89370400440532013000")
+    around = ("{} 12/26", "{} 123", "{} USD", "{} BIC COBADEFF", "{} 2024 EUR", "12 {}", "No {}.", "{} and {}")
+    forms = [(value, form) for value in alone for form in around]
+    texts = [(k, form.format(value, value)) for k, (value, form) in enumerate(forms)] + [(-1 - k, value) for k, value in enumerate(alone)]
+    made = {r.doc_id: r.text for r in pii.pseudonymised(spark.createDataFrame(texts, "doc_id long, text string"), KEY).collect()}
+    wanted = {value: made[-1 - k] for k, value in enumerate(alone)}
+    assert all(wanted[value] != value for value in alone)
+    assert {k: made[k] for k in range(len(forms))} == {k: form.format(wanted[value], wanted[value]) for k, (value, form) in enumerate(forms)}
