@@ -257,11 +257,11 @@ def pseudonymised(docs: DataFrame, key: str, text: str = "text", count: str | No
 
     Found are mail addresses, telephone and card numbers (check digit), IBANs (check digits), IPv4 addresses, US social
     security numbers, dates (1800 to 2199; ISO, with dots day first, with slashes month first) and values after
-    ``token =`` and the like. Whole texts are read; a null text stays null, an empty one empty, and texts without digits
-    or ``@`` are left alone before any pattern is tried. Rows are independent, so nothing is shuffled.
+    ``token =`` and the like. Whole texts are read; a null text stays null, an empty one empty, and texts without digits,
+    ``@`` or a secret are left alone before any other pattern is tried. Rows are independent, so nothing is shuffled.
     """
     found, made = free_name(docs, "found_values"), free_name(docs, "made_values")
-    has_any = F.col(text).rlike("[0-9@]")
+    has_any = F.col(text).rlike("[0-9@]|" + SECRET)
     marked = docs.withColumn(found, F.when(has_any, F.regexp_extract_all(F.col(text), F.lit(ANY), F.lit(0))))
     some = F.size(found) > 0
     marked = marked.withColumn(made, F.when(some, F.transform(found, lambda value: pseudonym(value, key))))

@@ -104,3 +104,10 @@ def test_what_stands_around_a_number_does_not_hide_it(spark):
     wanted = {value: made[-1 - k] for k, value in enumerate(alone)}
     assert all(wanted[value] != value for value in alone)
     assert {k: made[k] for k in range(len(forms))} == {k: form.format(wanted[value], wanted[value]) for k, (value, form) in enumerate(forms)}
+
+
+def test_secrets_of_letters_need_no_digit_in_the_text(spark):
+    secrets = ("password = correcthorsebatterystaple", "API_KEY: abcdefghijklmnop", "set Token='correct-horse-battery-staple'")
+    frame = spark.createDataFrame([(k, end.join([value, ""])) for k, value in enumerate(secrets) for end in ("", " 7")], "doc_id long, text string")
+    made = {(r.doc_id, r.text.removesuffix(" 7")) for r in pii.pseudonymised(frame, KEY).collect()}
+    assert len(made) == 3 and not {text for _, text in made} & set(secrets)
