@@ -6,7 +6,10 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docklake.llm import language_model, neighbours, packing, pieces, pii, preference, quality, rules, simhash, toxicity
+from docklake.llm import (
+    chunked_bpe, fill_middle, hard_negatives, language_model, neighbours, packing, pieces, pii, preference, quality, rules,
+    simhash, toxicity,
+)
 from docklake.llm.common import fold
 
 
@@ -82,6 +85,36 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every row whose id is divisible by 100, in a window below each of its positives."""
+    rows = _table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("vector"), "label")
+    return hard_negatives.mined(rows.withColumn("label", shifted_label()), F.col("vec_id") % 100 == 0)
+
+
+def shifted_label() -> Column:
+    return F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+
+
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document cut for fill-in-middle, as check sums of the output and of the text restored from it."""
+    done = fill_middle.transformed(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return done.select(
+        "doc_id", F.col("units").alias("n"), "form", "prefix_chars", "middle_chars",
+        F.sha2(F.encode("output", "utf-8"), 256).alias("output_sha256"), F.sha2(F.encode("restored", "utf-8"), 256).alias("restored_sha256"),
+    )
+
+
+def op13_chunked_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as ids and back, as check sums."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    coded = chunked_bpe.encoded(_table(spark, sf_dir, "documents"), path)
+    text = F.encode(chunked_bpe.decoded(path, F.col("ids")), "utf-8")
+    return coded.select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(text, 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op10_language_model": op10_language_model,
@@ -93,9 +126,14 @@ QUERIES = {
     "op5_pieces": op5_pieces,
     "op6_pii": op6_pii,
     "op7_simhash": op7_simhash,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_fill_middle": op12_fill_middle,
+    "op13_chunked_bpe": op13_chunked_bpe,
 }
 
 ORACLES: dict[str, str] = {
     "op4_rules": rules.ORACLE,
     "op8_preference": preference.ORACLE,
+    "op11_hard_negatives": hard_negatives.ORACLE,
+    "op12_fill_middle": fill_middle.ORACLE,
 }
