@@ -17,6 +17,7 @@ import os
 import re
 from bisect import bisect_left
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +31,8 @@ from docklake.llm.common import utf8
 MARGIN = 16  # bytes; no less than the longest special token and than the two characters that decide how a word ends
 HASHED = 32  # bytes the rolling hash sees
 KEY_BYTES = 16
-REMEMBERED = 400_000
+REMEMBERED_WORDS, REMEMBERED_CHUNKS = 160_000, 4_000
+LEVEL = 6  # of compression
 
 # What the tokenizer's pattern finds in texts without ``ODD`` characters, whose letters and numbers are these.
 ODD = re.compile(r"[^\t\n\r\x20-\x7e\xa1-ɏ]")
@@ -40,6 +42,8 @@ WORDS = re.compile(
     rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[{NUMBERS}]+| ?[^\s{LETTERS}{NUMBERS}]+|\s+(?!\S)|\s+"
 )
 
+PLAIN = re.compile(rf" [{LETTERS}]+")
+
 
 def _gears() -> np.ndarray:
     """A fixed random number for each byte."""
@@ -109,6 +113,7 @@ class Encoder:
         self.pieces = id_bytes(self.tokenizer)
         self.lengths = np.array([len(piece) for piece in self.pieces], dtype=np.int64)
         self.words: dict[str, bytes] = {}
+        self.recurring: set[str] = set()
         self.known: dict[bytes, Coded] = {}
         self.gears = _gears()
 
@@ -116,32 +121,51 @@ class Encoder:
         """Each distinct word goes to the tokenizer once while it is remembered; parts with odd characters go whole."""
         texts = [part.decode() for part in parts]
         cut = [None if self._goes_whole(text) else WORDS.findall(text) for text in texts]
-        missing = list(set().union(*filter(None, cut)).difference(self.words))
-        for word, one in zip(missing, self.tokenizer.encode_batch_fast(missing, add_special_tokens=False), strict=True):
+        seen = set().union(*filter(None, cut))
+        missing = list(seen.difference(self.words))
+        self.recurring |= seen.difference(missing)
+        self._remember(missing)
+        each = list(map(self.words.__getitem__, chain.from_iterable(words or () for words in cut)))
+        ids = np.frombuffer(b"".join(each), np.uint32)
+        ends = np.zeros(len(each) + 1, np.int64)
+        np.cumsum(np.fromiter(map(len, each), np.int64, len(each)) >> 2, out=ends[1:])
+        begins = np.zeros(len(ids) + 1, bool)
+        begins[ends] = True
+        at = self._places(ids)
+        last = ends[np.cumsum([0, *(len(words or ()) for words in cut)])].tolist()
+        return [
+            self._coded_whole(text) if words is None else Coded(ids[low:high], at[low : high + 1] - at[low], begins[low : high + 1])
+            for text, words, low, high in zip(texts, cut, last, last[1:], strict=False)
+        ]
+
+    def _remember(self, words: list[str]) -> None:
+        """Words of a space and letters are cut apart again in a text of many of them; others are texts of their own."""
+        plain = [word for word in words if PLAIN.fullmatch(word)]
+        for start in range(0, len(plain), 1000):
+            part = plain[start : start + 1000]
+            one = self.tokenizer.encode("".join(part), add_special_tokens=False)
+            ids = np.array(one.ids, dtype=np.uint32).tobytes()
+            bounds = (4 * np.nonzero(np.diff(np.array([*one.word_ids, -1], dtype=np.int64), prepend=-1))[0]).tolist()
+            self.words.update(zip(part, (ids[low:high] for low, high in zip(bounds, bounds[1:], strict=False)), strict=True))
+        rest = [word for word in words if word not in self.words]
+        for word, one in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
             self.words[word] = np.array(one.ids, dtype=np.uint32).tobytes()
-        look, found = self.words.__getitem__, []
-        for text, words in zip(texts, cut, strict=True):
-            if words is None:
-                one = self.tokenizer.encode(text, add_special_tokens=False)
-                begins = np.diff(np.array([*one.word_ids, -1], dtype=np.int64), prepend=-1) != 0
-                found.append(self.from_ids(np.array(one.ids, dtype=np.uint32), begins))
-            else:
-                each = list(map(look, words))
-                ids = np.frombuffer(b"".join(each), np.uint32)
-                begins = np.ones(len(ids) + 1, bool)
-                begins[:-1] = False
-                begins[0] = True
-                begins[np.fromiter(map(len, each), np.int64, len(each)).cumsum() >> 2] = True
-                found.append(self.from_ids(ids, begins))
-        return found
+
+    def _coded_whole(self, text: str) -> Coded:
+        one = self.tokenizer.encode(text, add_special_tokens=False)
+        begins = np.diff(np.array([*one.word_ids, -1], dtype=np.int64), prepend=-1) != 0
+        return self.from_ids(np.array(one.ids, dtype=np.uint32), begins)
+
+    def _places(self, ids: np.ndarray) -> np.ndarray:
+        at = np.zeros(len(ids) + 1, np.int64)
+        self.lengths.take(ids).cumsum(out=at[1:])
+        return at
 
     def _goes_whole(self, text: str) -> bool:
         return ODD.search(text) is not None or any(token in text for token in self.special)
 
     def from_ids(self, ids: np.ndarray, begins: np.ndarray) -> Coded:
-        at = np.zeros(len(ids) + 1, np.int64)
-        self.lengths.take(ids).cumsum(out=at[1:])
-        return Coded(ids, at, begins)
+        return Coded(ids, self._places(ids), begins)
 
     def chunks(self, keys: list[bytes], parts: list[bytes]) -> list[Coded]:
         """Of each chunk, encoded unless it is known."""
@@ -150,11 +174,12 @@ class Encoder:
         return [self.known[key] for key in keys]
 
     def forget(self) -> None:
-        """Called between blocks, whose chunks the memory has to hold."""
-        if len(self.known) > REMEMBERED:
+        """Called between blocks, whose chunks the memory has to hold. Words that were met again stay longer."""
+        if len(self.known) > REMEMBERED_CHUNKS:
             self.known.clear()
-        if len(self.words) > REMEMBERED:
-            self.words.clear()
+        if len(self.words) > REMEMBERED_WORDS:
+            again = self.recurring if len(self.recurring) < REMEMBERED_WORDS // 2 else ()
+            self.words, self.recurring = {word: self.words[word] for word in again}, set()
 
     def joined(self, text: bytes, ends: list[int], chunks: list[Coded], windows: list[Coded]) -> np.ndarray:
         """The ids of a text from those of its chunks; ``windows`` are the first tries around its inner cuts."""
@@ -228,14 +253,21 @@ def id_bytes(tokenizer) -> list[bytes]:
     return pieces
 
 
-def in_this_process(path: str) -> Encoder:
-    """One encoder per worker process; it is kept with the tokenizers module, as this one travels with each task."""
+def _vocabulary(path: str) -> list[bytes]:
+    from tokenizers import Tokenizer
+
+    return id_bytes(Tokenizer.from_file(path))
+
+
+def in_this_process(path: str, make=Encoder):
+    """One encoder or vocabulary per worker process; it is kept with the tokenizers module, as this one travels with each task."""
     import tokenizers
 
     kept = tokenizers.__dict__.setdefault("_chunk_encoders", {})
-    if path not in kept:
-        kept[path] = Encoder(path)
-    return kept[path]
+    name = (path, make.__name__)
+    if name not in kept:
+        kept[name] = make(path)
+    return kept[name]
 
 
 def _key(chunk: bytes) -> bytes:
@@ -260,7 +292,7 @@ def _blocks(block_bytes: int):
         def block():
             sink = pa.BufferOutputStream()
             table = pa.Table.from_batches(held)
-            with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+            with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", LEVEL))) as writer:
                 writer.write_table(table)
             payload = pa.array([sink.getvalue().to_pybytes()], pa.binary())
             return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), payload], names=["block", "payload"])
@@ -312,6 +344,8 @@ def _owned(path: str, average: int):
         encoder = in_this_process(path)
         for batch in batches:
             for payload, wanted in zip(batch.column("payload"), batch.column("owned"), strict=True):
+                if not wanted.is_valid:
+                    continue
                 wanted, parts = set(wanted.as_py()), {}
                 for _, keys, own in _chunked(_texts(payload), average, encoder.gears):
                     parts.update((key, part) for key, part in zip(keys, own, strict=True) if key in wanted)
@@ -350,23 +384,62 @@ def _encoded(path: str, average: int):
 
 
 def texts_coded(encoder: Encoder, texts: list[bytes], average: int) -> list[np.ndarray]:
-    """Ids of whole texts; their chunks, and the windows around all cuts, go to the tokenizer together."""
+    """Ids of whole texts. All cuts are joined together; texts of which a first window doesn't do are joined one by one."""
     chunked = _chunked(texts, average, encoder.gears)
-    coded = iter(encoder.chunks([k for _, keys, _ in chunked for k in keys], [p for _, _, parts in chunked for p in parts]))
-    chunks = [[next(coded) for _ in keys] for _, keys, _ in chunked]
-    windows = []
-    for text, (ends, _, _), own in zip(texts, chunked, chunks, strict=True):
-        start = 0
-        for end, chunk in zip(ends[:-1], own[:-1], strict=True):
-            windows.append(text[last_sure_word(chunk, start, end) : window_end(text, end)])
-            start = end
-    tries = iter(encoder.coded(windows))
-    return [
-        encoder.joined(text, ends, own, [next(tries) for _ in own[:-1]]) for text, (ends, _, _), own in zip(texts, chunked, chunks, strict=True)
-    ]
-
-
-def encoded(docs: DataFrame, path: str, average: int = 512, block_bytes: int = 1 << 22) -> DataFrame:
+    chunks = encoder.chunks([k for _, keys, _ in chunked for k in keys], [p for _, _, parts in chunked for p in parts])
+    sizes = [len(ends) for ends, _, _ in chunked]
+    if not chunks:
+        return [np.zeros(0, np.uint32) for _ in texts]
+    whole = b"".join(texts)
+    text_end = np.repeat(np.cumsum([len(text) for text in texts]), sizes)
+    starts = np.concatenate([[0], np.cumsum([chunk.at[-1] for chunk in chunks])])
+    inner = np.nonzero(starts[1:] < text_end)[0]  # chunks that a cut follows
+    cut, after, text_end = starts[inner + 1], starts[inner + 2], text_end[inner]
+    tokens = np.concatenate([[0], np.cumsum([len(chunk.ids) for chunk in chunks])])
+    ids, at, word = _laid_out(chunks, starts[:-1])
+    words = at[word]
+    leave = words[np.searchsorted(words, cut - MARGIN, side="right") - 1]
+    reach = np.minimum(cut + 3 * MARGIN, text_end)
+    letters = np.append(np.frombuffer(whole, np.uint8), 0)
+    for _ in range(3):  # to the end of a character
+        reach += (reach < text_end) & (letters[reach] & 0xC0 == 0x80)
+    windows = encoder.coded([whole[low:high] for low, high in zip(leave.tolist(), reach.tolist(), strict=True)])
+    first = np.concatenate([[0], np.cumsum([len(window.ids) for window in windows])]).astype(np.int64)
+    own_ids, own_at, own_word = _laid_out(windows, leave)
+    own = np.repeat(np.arange(len(windows)), np.diff(first))
+    sure = np.where(reach == text_end, text_end, reach - MARGIN)
+    may = np.nonzero(own_word & (own_at >= cut[own]) & (own_at <= sure[own]) & (own_at < after[own]))[0]
+    may = may[words[np.minimum(np.searchsorted(words, own_at[may]), len(words) - 1)] == own_at[may]]
+    agreed, nearest = np.unique(own[may], return_index=True)
+    meet, until = np.full(len(inner), -1), np.zeros(len(inner), np.int64)
+    meet[agreed], until[agreed] = own_at[may[nearest]], may[nearest]
+    next_leave = np.append(leave[1:], len(whole))
+    done = (meet >= 0) & ((after == text_end) | (meet <= next_leave))
+    gone, back = np.searchsorted(at, leave).tolist(), np.searchsorted(at, meet).tolist()
+    first, until, found, number, join = first.tolist(), until.tolist(), [], 0, 0
+    for text, (ends, _, _), size in zip(texts, chunked, sizes, strict=True):
+        joins = range(join, join + max(size - 1, 0))
+        if not done[joins.start : joins.stop].all():
+            found.append(encoder.joined(text, ends, chunks[number : number + size], windows[joins.start : joins.stop]))
+        else:
+            parts, now = [], tokens[number]
+            for j in joins:
+                parts += [ids[now : gone[j]], own_ids[first[j] : until[j]]]
+                now = back[j]
+            found.append(np.concatenate([*parts, ids[now : tokens[number + size]]]))
+        number, join = number + size, joins.stop
+    return found
+
+
+def _laid_out(coded: list[Coded], starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All ids in a row, where they begin if their parts begin at ``starts``, and which of them begin a word."""
+    if not coded:
+        return np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, bool)
+    at = np.concatenate([one.at[:-1] for one in coded]) + np.repeat(starts, [len(one.ids) for one in coded])
+    return np.concatenate([one.ids for one in coded]), at, np.concatenate([one.word[:-1] for one in coded])
+
+
+def encoded(docs: DataFrame, path: str, average: int = 1024, block_bytes: int = 1 << 22) -> DataFrame:
     """``docs(doc_id, text)`` with ``ids``: little-endian unsigned 32-bit ids of every whole text by the tokenizer of ``path``.
 
     The ids are those the tokenizer gives the whole text without adding special tokens; a special token that stands in the
@@ -375,17 +448,18 @@ def encoded(docs: DataFrame, path: str, average: int = 512, block_bytes: int = 1
 
     Documents travel in compressed blocks of ``block_bytes`` of text, or one text. First only keys of chunks are
     counted, each once a block, so a chunk in a third of all documents has a row a block. The first block that holds a
-    shared chunk encodes it. A block gets the ids of its own distinct chunks, so no task holds more than a block and
+    shared chunk encodes it. All steps read one shuffle of the blocks. A block gets the ids of its own distinct chunks, so no task holds more than a block and
     its ids. Keys depend on content alone: a block that is read again after a lost executor has the same chunks, and
     whatever it isn't handed it encodes itself.
     """
-    parts = max(docs.rdd.getNumPartitions(), 1)
+    parts = max(docs.rdd.getNumPartitions(), docs.sparkSession.sparkContext.defaultParallelism)
     packed = docs.select("doc_id", "text").mapInArrow(_blocks(block_bytes), "block long NOT NULL, payload binary").repartition(parts, "block")
-    occurring = packed.mapInArrow(_keys(average), "block long NOT NULL, key binary")
+    occurring = packed.mapInArrow(_keys(average), "block long NOT NULL, key binary NOT NULL").repartition(parts, "key")
     owners = occurring.groupBy("key").agg(F.min("block").alias("owner"), F.count("*").alias("blocks")).where("blocks > 1")
-    owned = owners.groupBy(F.col("owner").alias("block")).agg(F.collect_list("key").alias("owned"))
-    once = packed.join(owned, "block").select("payload", "owned").mapInArrow(_owned(path, average), "key binary, ids binary, words binary")
-    handed = occurring.join(once, "key").groupBy("block").agg(F.collect_list(F.struct("key", "ids", "words")).alias("shared"))
+    owned = owners.withColumnRenamed("owner", "block").repartition(parts, "block").groupBy("block").agg(F.collect_list("key").alias("owned"))
+    once = packed.join(owned, "block", "left").select("payload", "owned").mapInArrow(_owned(path, average), "key binary NOT NULL, ids binary, words binary")
+    found = occurring.join(once, "key").repartition(parts, "block")
+    handed = found.groupBy("block").agg(F.collect_list(F.struct("key", "ids", "words")).alias("shared"))
     schema = ", ".join(f"{name} {docs.schema[name].dataType.simpleString()}" for name in ("doc_id", "text"))
     return packed.join(handed, "block", "left").select("payload", "shared").mapInArrow(_encoded(path, average), f"{schema}, ids binary")
 
@@ -395,7 +469,7 @@ def decoded(path: str, ids: Column) -> Column:
 
     @F.arrow_udf(StringType())
     def decode(values: pa.Array) -> pa.Array:
-        pieces = in_this_process(path).pieces
+        pieces = in_this_process(path, _vocabulary)
         return pa.array(
             [None if v is None else b"".join(map(pieces.__getitem__, np.frombuffer(v, "<u4").tolist())).decode(errors="replace") for v in values.to_pylist()],
             pa.string(),
