@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, fields, replace
 
 import numpy as np
 import pandas as pd
@@ -180,7 +180,7 @@ def _updates(held: Broadcast, rate: float, batch_tokens: int):
     """Changes of the weights after a descent on this partition's texts, in blocks of rows."""
 
     def descend(batches):
-        model = held.value
+        model = Model(*held.value)
         weights = model.by_class.copy(), model.by_word.copy()
         squares = [np.zeros(len(w), np.float32) for w in weights]
         touched = [np.zeros(len(w), np.float32) for w in weights]
@@ -289,7 +289,7 @@ def trained_on(docs: DataFrame, counts: DataFrame, known_words: int = 1 << 17, r
     context = docs.sparkSession.sparkContext
     tasks = max(docs.rdd.getNumPartitions() // share, context.defaultParallelism)  # each then has about a partition's texts
     for number in range(rounds):
-        held = context.broadcast(model)
+        held = context.broadcast(tuple(getattr(model, field.name) for field in fields(model)))  # plain values need no package
         updates = docs.where(part == number % share).select("text").coalesce(tasks).mapInArrow(
             _updates(held, rate, batch_tokens), "table int, block int, change binary, touched binary"
         )

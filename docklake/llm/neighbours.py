@@ -183,24 +183,24 @@ def _best_of(k: int):
     def best(_key, queries: pd.DataFrame, candidates: pd.DataFrame) -> pd.DataFrame:
         parts = []
         if len(queries) and len(candidates):
-            candidates = candidates.sort_values("vec_id", kind="stable")
-            ids = candidates["vec_id"].to_numpy()
+            candidates = candidates.sort_values(["vec_id", "row"], kind="stable")
+            ids, rows = candidates["vec_id"].to_numpy(), candidates["row"].to_numpy()
             c = np.stack(candidates["vector"].to_numpy()).astype(np.float64).T.copy()
             for start in range(0, len(queries), 128):
                 part = queries.iloc[start : start + 128]
-                own = part["vec_id"].to_numpy()
+                own, own_rows = part["vec_id"].to_numpy(), part["row"].to_numpy()
                 q = np.stack(part["vector"].to_numpy()).astype(np.float64)
                 score = q[:, :1] * c[0]
                 for d in range(1, len(c)):
                     score += q[:, d : d + 1] * c[d]
-                score[own[:, None] == ids[None, :]] = -np.inf
+                score[own_rows[:, None] == rows[None, :]] = -np.inf
                 n = min(k, len(ids))
                 bound = np.partition(score, len(ids) - n, axis=1)[:, len(ids) - n]
-                for row, query in enumerate(own):
+                for row, (query, query_row) in enumerate(zip(own, own_rows, strict=True)):
                     at = np.nonzero((score[row] >= bound[row]) & (score[row] > -np.inf))[0]
                     at = at[np.argsort(-score[row][at], kind="stable")[:n]]
-                    parts.append(pd.DataFrame({"query_id": query, "vec_id": ids[at], "score": score[row][at]}))
-        return pd.concat(parts) if parts else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+                    parts.append(pd.DataFrame({"query_row": query_row, "query_id": query, "vec_id": ids[at], "score": score[row][at]}))
+        return pd.concat(parts) if parts else pd.DataFrame({"query_row": [], "query_id": [], "vec_id": [], "score": []})
 
     return best
 
@@ -213,8 +213,9 @@ def nearest(
 
     Every row is indexed; the router is fitted on the ``sample_rows`` rows of smallest id hash. There are as many parts
     as make ``part_rows`` rows each, ``2 ** most_levels`` at most. Ties go to the smaller id. A query gets all
-    candidates if there are ``k`` or fewer. Rows with an unusable vector, another number of components than most, or a
-    null id take no part; of rows with one id the smallest vector counts. An empty table gives none.
+    candidates if there are ``k`` or fewer. Every row is a candidate of every other one, also rows of one id: only the
+    query's own row is left out. Rows with an unusable vector, another number of components than most, or a null id take
+    no part. An empty table gives none.
 
     A part is searched in blocks of ``block_rows`` candidates by as many queries, so that no task holds a whole part; a part
     with a third of all rows only has more blocks.
@@ -222,17 +223,17 @@ def nearest(
     given = vectors.where(F.col("vec_id").isNotNull() & usable(F.col("vector"))).select("vec_id", "vector")
     widths = given.groupBy(F.size("vector").alias("width")).count().orderBy(F.desc("count"), "width").first()
     width = widths["width"] if widths else 1
-    rows = stored(given.where(F.size("vector") == width).groupBy("vec_id").agg(F.min("vector").alias("vector")), "vectors")
+    rows = stored(given.where(F.size("vector") == width).withColumn("row", F.monotonically_increasing_id()), "vectors")
     total = rows.count()
     levels = int(np.clip(np.floor(np.log2(max(total, 1) / part_rows)), 0, most_levels))
     sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample_rows).select("vector").collect()
     router = fitted(np.array([row["vector"] for row in sample], dtype=np.float64).reshape(-1, width), levels)
 
     first = _routed(router, width, lambda p: p.argmax(axis=1)[:, None].astype(np.int32).tolist())
-    placed = stored(rows.select("vec_id", "vector", first("vector")[0].alias("part")), "placed")
+    placed = stored(rows.select("row", "vec_id", "vector", first("vector")[0].alias("part")), "placed")
     sizes = {row["part"]: row["count"] for row in placed.groupBy("part").count().collect()}  # a row per part
     probes = _routed(router, width, _probes(sizes, k + 1, confidence, fewest_probes))
-    asked = stored(rows.where(queries).select("vec_id", "vector", F.explode(probes("vector")).alias("part")), "asked")
+    asked = stored(rows.where(queries).select("row", "vec_id", "vector", F.explode(probes("vector")).alias("part")), "asked")
     asking = {row["part"]: row["count"] for row in asked.groupBy("part").count().collect()}
 
     def blocks(counts: dict[int, int]) -> Column:
@@ -241,14 +242,14 @@ def nearest(
 
     def spread(frame: DataFrame, own: str, own_counts: dict, other: str, other_counts: dict) -> DataFrame:
         """Each row in one block of its side, once for each block of the other side."""
-        return frame.withColumn(own, F.pmod(F.xxhash64("vec_id"), blocks(own_counts)).cast("int")).withColumn(
+        return frame.withColumn(own, F.pmod(F.xxhash64("row"), blocks(own_counts)).cast("int")).withColumn(
             other, F.explode(F.filter(F.sequence(F.lit(0), blocks(other_counts)), lambda x: x < blocks(other_counts)))
         )
 
     keys = ("part", "block", "chunk")
     left = spread(asked, "chunk", asking, "block", sizes).groupBy(*keys)
     right = spread(placed, "block", sizes, "chunk", asking).groupBy(*keys)
-    found = left.cogroup(right).applyInPandas(_best_of(k), "query_id long, vec_id long, score double")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    found = left.cogroup(right).applyInPandas(_best_of(k), "query_row long, query_id long, vec_id long, score double")
+    order = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

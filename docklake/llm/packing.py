@@ -1,7 +1,7 @@
 """Best-fit packing of tokenised documents into sequences, by hierarchical residual packing.
 
 Every partition packs its own pieces best-fit. Nearly full sequences are final. Underfull ones become items of the next
-round, in which fewer partitions pack what is left over of several, until one packs the rest.
+round, in which fewer partitions pack what is left over of several, as few at last as can hold it.
 """
 
 from __future__ import annotations
@@ -55,16 +55,13 @@ def best_fit(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, int]:
     return bins, count
 
 
-def _packed(columns: dict[str, pa.Array], owner: np.ndarray, sizes: np.ndarray, capacity: int, slack: int, most: int | None, first: int):
+def _packed(columns: dict[str, pa.Array], owner: np.ndarray, sizes: np.ndarray, capacity: int, slack: int, last: bool, first: int):
     """Batches of sequences: ``columns`` hold the members, ``owner`` the item of each, ``sizes`` the tokens of each item."""
     bins, count = best_fit(sizes, capacity)
     fill = np.bincount(bins, sizes, count).astype(np.int64)
     open_ = fill < capacity - slack
-    if most is None:
+    if last:
         open_[:] = False
-    elif np.count_nonzero(open_) > most:  # the emptiest go on, the others are final
-        rank = np.argsort(np.where(open_, fill, capacity + 1), kind="stable")
-        open_[rank[most:]] = False
     member_bin = bins[owner]
     order = np.argsort(member_bin, kind="stable")
     lengths = columns["length"].to_numpy()[order]
@@ -110,17 +107,17 @@ def _pieces_of(batches, tokenizer: str, capacity: int):
     return {name: pa.array(values, kind) for name, values, kind in zip(MEMBERS, (ids, numbers, starts, lengths, sums), KINDS, strict=True)}
 
 
-def _first_round(tokenizer: str, capacity: int, slack: int, most: int):
+def _first_round(tokenizer: str, capacity: int, slack: int):
     def pack(batches):
         columns = _pieces_of(batches, tokenizer, capacity)
         sizes = columns["length"].to_numpy()
         if len(sizes):
-            yield from _packed(columns, np.arange(len(sizes)), sizes, capacity, slack, most, _first_number(0))
+            yield from _packed(columns, np.arange(len(sizes)), sizes, capacity, slack, False, _first_number(0))
 
     return pack
 
 
-def _next_round(level: int, capacity: int, slack: int, most: int | None):
+def _next_round(level: int, capacity: int, slack: int, last: bool):
     def pack(batches):
         held = [batch for batch in batches if batch.num_rows]
         if not held:
@@ -131,13 +128,13 @@ def _next_round(level: int, capacity: int, slack: int, most: int | None):
         owner = np.repeat(np.arange(table.num_rows), counts)
         columns = {name: pc.list_flatten(values) for name, values in lists.items()}
         sizes = table.column("fill").to_numpy().astype(np.int64)
-        yield from _packed(columns, owner, sizes, capacity, slack, most, _first_number(level))
+        yield from _packed(columns, owner, sizes, capacity, slack, last, _first_number(level))
 
     return pack
 
 
 def packed(
-    docs: DataFrame, tokenizer: str, capacity: int = 4096, slack: int = 8, fan_in: int = 8, most_open: int = 20_000,
+    docs: DataFrame, tokenizer: str, capacity: int = 4096, slack: int = 8, fan_in: int = 8, task_items: int = 100_000,
 ) -> DataFrame:
     """One row per piece of a document: ``doc_id, piece, start, length, ids_crc32, sequence_id, offset``.
 
@@ -146,19 +143,19 @@ def packed(
     each row is packed. An empty table gives none.
 
     Texts do not leave their partition: only lengths and check sums do. A sequence within ``slack`` tokens of
-    ``capacity`` is final. A partition hands the next round its ``most_open`` emptiest sequences at most, the others are
-    final too, so a task never holds more than ``fan_in * most_open`` items. Each round is a table in the shared scratch
-    folder: a lost executor costs the tasks it ran.
+    ``capacity`` is final; every other one goes on as an item. A round has a task for ``fan_in`` of the round before, or as
+    many as hold ``task_items`` items each, dealt at random, if that is more. The last round is the one after which
+    fewer tasks would not do: of one task, or of tasks that each have a fair sample of all sizes. Each round is a table
+    in the shared scratch folder: a lost executor costs the tasks it ran.
     """
-    rounds = [stored(docs.select("doc_id", "text").mapInArrow(_first_round(tokenizer, capacity, slack, most_open), SCHEMA), "packed")]
-    width = len(rounds[0].inputFiles())
-    while True:
-        width = max(-(-width // fan_in), 1)
-        rest = rounds[-1].where("not final").repartition(width)
-        most = most_open if width > 1 else None
-        rounds.append(stored(rest.mapInArrow(_next_round(len(rounds), capacity, slack, most), SCHEMA), "packed"))
-        if width == 1:
-            break
+    rounds = [stored(docs.select("doc_id", "text").mapInArrow(_first_round(tokenizer, capacity, slack), SCHEMA), "packed")]
+    width, last = len(rounds[0].inputFiles()), False
+    while not last:
+        rest = rounds[-1].where("not final")
+        needed = max(-(-rest.count() // task_items), 1)
+        last = width <= needed * fan_in
+        width = needed if last else -(-width // fan_in)
+        rounds.append(stored(rest.repartition(width).mapInArrow(_next_round(len(rounds), capacity, slack, last), SCHEMA), "packed"))
     final = [frame.where("final") for frame in rounds[:-1]] + [rounds[-1]]
     sequences = reduce(DataFrame.unionByName, final)
     members = F.explode(F.arrays_zip(*MEMBERS, "offset")).alias("member")

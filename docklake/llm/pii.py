@@ -20,7 +20,9 @@ CLASSES = ((48, 10), (97, 26), (65, 26), (0xE0, 23), (0xC0, 23), (0xF8, 7), (0xD
 DATES_FROM, DATES_TO, DATE_BOUNDS = "1800-01-01", "2199-12-31", (189, 773)
 
 SECRET = r"(?=[A-Za-z0-9_\-]{16})(?<=(?i:token|secret|password|passwd|api_key|apikey)[ \t]{0,3}[=:][ \t]{0,3}[\"']?)[A-Za-z0-9_\-]+"
-MAIL = r"[\p{L}\p{N}._+\-]+@(?:[\p{L}\p{N}\-]+\.)+\p{L}{2,}"
+# The part before the @ is tried once, from where its run of characters starts; names of hosts are bounded as they are
+# on the net (63 characters, 126 labels). So no text takes more than linear time or a deep stack.
+MAIL = r"(?<![\p{L}\p{N}._+\-])[\p{L}\p{N}._+\-]++@(?:[\p{L}\p{N}\-]{1,63}+\.){1,126}\p{L}{2,63}"
 DATE = r"(?<![\d.\-/])(?:\d{4}-\d{2}-\d{2}|\d{2}\.\d{2}\.\d{4}|\d{2}/\d{2}/\d{4})(?![\d\-/]|\.\d)"
 ADDRESS = r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?!\d|\.\d)"
 PHONE = r"(?<!\d)(?:\+?\d{1,3}[ .\-]?)?(?:\(\d{3}\)[ .\-]?|\d{3}[ .\-])\d{3}[ .\-]\d{4}(?![\d\-])"

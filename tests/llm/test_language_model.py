@@ -1,5 +1,7 @@
+import pickle
 import zlib
 from collections import Counter
+from dataclasses import fields
 
 import numpy as np
 import pytest
@@ -76,3 +78,10 @@ def test_runs_are_summed():
     p, times = rng.normal(size=(50, 3)), np.array([1, 2, 8, 9, 30, 1, 5])
     at, starts = rng.integers(0, 50, times.sum()), np.concatenate([[0], times.cumsum()[:-1]])
     assert np.allclose(lm._summed(p, at, starts, times), np.add.reduceat(p[at], starts, axis=0))
+
+
+def test_broadcast_values_need_no_package():
+    """What tasks are sent is made of plain arrays, dicts and numbers."""
+    model = lm.Model({b"": 0}, *(np.zeros(1) for _ in range(5)))
+    sent = tuple(getattr(model, field.name) for field in fields(model))
+    assert b"docklake" not in pickle.dumps(sent) and lm.Model(*pickle.loads(pickle.dumps(sent))).number == {b"": 0}

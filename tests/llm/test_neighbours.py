@@ -8,11 +8,12 @@ SCHEMA = "vec_id long, vector array<float>, rank int"
 
 
 def _exact(rows, k):
-    usable = {i: np.array(v, dtype=np.float64) for i, v in rows if i is not None and v and None not in v and np.isfinite(v).all() and any(v)}
+    usable = [(i, np.array(v, dtype=np.float64)) for i, v in rows if i is not None and v and None not in v and np.isfinite(v).all() and any(v)]
     want = set()
-    for q in (i for i in usable if i % 20 == 0):
-        scored = sorted((-float((usable[q] * usable[i]).sum()), i) for i in usable if i != q)[:k]
-        want |= {(q, rank, i) for rank, (_, i) in enumerate(scored, 1)}
+    for at, (q, own) in enumerate(usable):
+        if q % 20 == 0:
+            scored = sorted((-float((own * v).sum()), i) for other, (i, v) in enumerate(usable) if other != at)[:k]
+            want |= {(q, rank, i) for rank, (_, i) in enumerate(scored, 1)}
     return want
 
 
@@ -28,6 +29,16 @@ def test_odd_vectors_ties_and_few_rows(spark):
     assert _found(spark, []) == set()
 
 
+def test_rows_of_one_id_are_all_candidates(spark):
+    rows = [(0, [1.0, 0.0]), (1, [0.5, 0.0]), (1, [9.0, 0.0]), (2, [0.2, 0.0]), (0, [2.0, 0.0])]
+    frame = spark.createDataFrame([(i, v, 0) for i, v in rows], SCHEMA)
+    found = sorted((r.query_id, r.rank, r.vec_id, r.score) for r in neighbours.nearest(frame, F.col("vec_id") % 20 == 0).collect())
+    want = [(0, rank, i, x * y) for y, others in ((1.0, [(1, 9.0), (0, 2.0), (1, 0.5), (2, 0.2)]), (2.0, [(1, 9.0), (0, 1.0), (1, 0.5), (2, 0.2)]))
+            for rank, (i, x) in enumerate(others, 1)]
+    assert [f[:3] for f in found] == sorted(w[:3] for w in want)
+    assert np.allclose(sorted(f[3] for f in found), sorted(w[3] for w in want))
+
+
 def test_blocks_and_parts_give_what_one_search_gives(spark):
     rng = np.random.default_rng(8)
     rows = [(i, rng.integers(-3, 4, 6).astype(float).tolist()) for i in range(700)] + [(1000 + i, [1.0] * 6) for i in range(300)]

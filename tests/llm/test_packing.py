@@ -1,4 +1,5 @@
 import zlib
+from functools import cache
 
 import numpy as np
 import public_tokenizers
@@ -16,6 +17,7 @@ WORDS = WordTokenizer(PATH)
 ALPHABET = "abXYZ01 '\t\nsdtlmre!*#éßÜİı²½ªµǅ\xad\xa0\x85\x1c\x0bŉ.,日Σς𐐀́"
 
 
+@cache
 def _ids(text):
     return np.array([*WHOLE.encode(text, add_special_tokens=False).ids, 1], dtype="<u4")
 
@@ -72,5 +74,14 @@ def test_rounds_pack_tightly_whatever_is_handed_on(spark):
     texts = [(i, "word " * int(n)) for i, n in enumerate(rng.integers(1, 90, 700))]
     docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(20)
     least = -(-sum(len(_ids(t)) for _, t in texts) // 64)
-    counts = [_check(packing.packed(docs, PATH, capacity=64, slack=1, fan_in=3, most_open=most).collect(), texts, 64) for most in (10_000, 2)]
-    assert least <= counts[0] <= 1.25 * least and counts[0] <= counts[1]
+    counts = [_check(packing.packed(docs, PATH, capacity=64, slack=1, fan_in=3, task_items=n).collect(), texts, 64) for n in (10_000, 60)]
+    assert least <= counts[0] <= 1.25 * least and counts[0] <= counts[1] <= 1.05 * counts[0]
+
+
+def test_fuller_sequences_go_on_however_many_there_are(spark):
+    """Most items are more than half full, so nearly all sequences stay open; no task sees all of them."""
+    rng = np.random.default_rng(5)
+    texts = [(i, "word " * int(n)) for i, n in enumerate(np.concatenate([rng.integers(33, 60, 2000), rng.integers(2, 25, 1000)]))]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(20)
+    found = packing.packed(docs, PATH, capacity=64, slack=1, fan_in=4, task_items=800).collect()
+    assert _check(found, texts, 64) <= 1.01 * packing.best_fit(np.array([len(_ids(t)) for _, t in texts]), 64)[1]

@@ -1,6 +1,7 @@
 import datetime
 import hashlib
 import re
+import time
 
 from helpers import documents
 
@@ -111,3 +112,14 @@ def test_secrets_of_letters_need_no_digit_in_the_text(spark):
     frame = spark.createDataFrame([(k, end.join([value, ""])) for k, value in enumerate(secrets) for end in ("", " 7")], "doc_id long, text string")
     made = {(r.doc_id, r.text.removesuffix(" 7")) for r in pii.pseudonymised(frame, KEY).collect()}
     assert len(made) == 3 and not {text for _, text in made} & set(secrets)
+
+
+def test_very_long_texts_take_linear_time_and_no_deep_stack(spark):
+    mail, made = "someone@example.org", _slow_text("someone@example", "mail") + ".org"
+    fillers = ["x" * 1_000_000 + " 7", "x@" + "a." * 100_000 + "1 ", "1 " * 50_000, "1-" * 50_000, "12345678 " * 20_000, "a@" * 100_000, "A1 " * 50_000, "a.b-" * 100_000 + "@ 1"]
+    texts = [f"{mail} {filler} {mail}" for filler in fillers]
+    started = time.time()
+    found = [r.text for r in pii.pseudonymised(spark.createDataFrame([(t,) for t in texts], "text string"), KEY).collect()]
+    assert time.time() - started < 60
+    assert [f.startswith(made + " ") and f.endswith(" " + made) for f in found] == [True] * len(fillers)
+    assert found[0] == texts[0].replace(mail, made)
