@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from docklake.catalog import adapter, sql
-from docklake.catalog.registry import named_query
+from docklake.catalog.registry import QUERIES, named_query
 from docklake.functions.text import point_text, updatetime_millis
 from docklake.operators import current_state, feed, keyed
 from docklake.operators.facts import facts
-from docklake.operators.ordered import span_bucket
+from docklake.operators.ordered import RANGE, in_ranges, span_bucket
 from docklake.session import scratch_dir
 from docklake.sinks.files import append, append_archive, archive_rows, message_rows, truncate
 from docklake.sources import xml
@@ -199,6 +199,13 @@ def monotone_filter(spark, sf_dir):
     return feed.monotone(raw, ARRIVAL_BUCKETS)
 
 
+@named_query("monotone_scan", QUERIES["monotone_filter"].sql)
+def monotone_scan(spark, sf_dir):
+    """The same by a prefix scan over ranges of arrival that the data decides on."""
+    cut = in_ranges(adapter.order_snapshots(spark, sf_dir), ["datasource"], "arrival", scratch_dir(spark, "ranges"))
+    return feed.monotone(cut, [RANGE]).drop(RANGE.name)
+
+
 @named_query(
     "refresh_interval",
     """WITH times AS (SELECT DISTINCT event_type AS datasource, CAST(floor(epoch(ts)) AS BIGINT) AS updatetime FROM events),

@@ -16,7 +16,7 @@ from docklake.schemas import BIG_TABLE_COLUMNS, FACT_COLUMNS
 from docklake.session import scratch_dir
 from docklake.sources import xml
 from docklake.sources.feeds import readable
-from docklake.streaming import jobs
+from docklake.streaming import jobs, late
 
 PARTS = 3
 
@@ -291,3 +291,41 @@ def stream_documents_to_wide(spark, sf_dir):
     return spark.read.parquet(f"{folder}/big").select(
         "station", F.unix_timestamp("timetag").alias("updatetime"), "available", "lent", "returned", "district", "neighborhood"
     )
+
+
+@named_query("stream_late_facts", f"WITH {sql.FACT} SELECT * FROM fact")
+def stream_late_facts(spark, sf_dir):
+    """Events arrive in a random order, so two thirds of them later than others of their station; the facts they follow
+    and the ones that follow them are put right."""
+    events = _events(spark, sf_dir).withColumn("place", F.pmod(F.xxhash64("event_id"), F.lit(10_000)))
+
+    def job(stream, folder):
+        obs = adapter.observations_of(stream)
+        return late.late_fact_batches(obs, f"{folder}/facts", f"{folder}/ends", f"{folder}/staging", adapter.TIE)
+
+    folder = run_in_slices(spark, events, "place", job)
+    return spark.read.parquet(f"{folder}/facts").select(*FACT_COLUMNS)
+
+
+def _arrival_sql(length, slide):
+    """Windows of arrival, which runs against the time of the events."""
+    arrived = f"""arrived AS (
+      SELECT * EXCLUDE (timetag), timetag AS seen, TIMESTAMP '2030-01-01' + (TIMESTAMP '2030-01-01' - timetag) AS timetag FROM obs)"""
+    inner = window_sql(length, slide).replace(sql.OBS, "").replace("FROM obs)", "FROM arrived)")
+    inner = inner.replace("SELECT obs.*", "SELECT a.*").replace("AS obs, range", "AS a, range")
+    inner = inner.replace("station, timetag, latitude", "station, seen AS timetag, latitude")
+    inner = inner.replace("ORDER BY timetag DESC, event_id DESC", "ORDER BY seen DESC, timetag DESC, latitude DESC, longitude DESC, status DESC, bikes DESC")
+    return f"WITH {sql.OBS}, {arrived}{inner} SELECT * FROM windows WHERE window_end <= (SELECT max(timetag) FROM arrived)"
+
+
+@named_query("stream_window_arrival", _arrival_sql(60, 90))
+def stream_window_arrival(spark, sf_dir):
+    """Windows of 60 s every 90 s by arrival; the events arrive backwards, the last one first."""
+    far = F.lit("2030-01-01").cast("timestamp_ntz")
+    obs = adapter.observations(spark, sf_dir).withColumn("arrival", far + (far - F.col("timetag")))
+
+    def job(stream, folder):
+        return jobs.arrival_window_batches(stream, [jobs.batch_directory(f"{folder}/out")], f"{folder}/open", 60, 90)
+
+    folder = run_in_slices(spark, obs, "arrival", job)
+    return spark.read.parquet(f"{folder}/out").drop("batch_id")

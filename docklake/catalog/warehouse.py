@@ -10,7 +10,7 @@ from docklake.functions.bands import district_bands
 from docklake.functions.calendar import day_part, day_sixth, day_string, month_week, snapshot_name
 from docklake.operators import keyed
 from docklake.operators.facts import facts, unique_observations
-from docklake.operators.ordered import day_bucket, with_previous
+from docklake.operators.ordered import RANGE, day_bucket, in_ranges, with_previous
 from docklake.plans.star import big_table, star_join, time_dimension
 from docklake.session import scratch_dir
 from docklake.schemas import FACT_COLUMNS
@@ -35,6 +35,19 @@ def previous_counts(spark, sf_dir):
     return moved.select("station", "timetag", "bikes", "previous")
 
 
+@named_query(
+    "previous_counts_scan",
+    f"WITH {sql.FACT} SELECT station, timetag, bikes, previous FROM moved",
+)
+def previous_counts_scan(spark, sf_dir):
+    """The same by a prefix scan over ranges that the data decides on, without any day."""
+    dated = adapter.observations(spark, sf_dir).withColumn("day", F.to_date("timetag"))
+    rows = unique_observations(dated, adapter.TIE).drop("day")
+    cut = in_ranges(rows, ["station"], "timetag", scratch_dir(spark, "ranges"))
+    moved = with_previous(cut, ["station"], "timetag", "bikes", "previous", [RANGE])
+    return moved.select("station", "timetag", "bikes", "previous")
+
+
 @named_query(
     "time_dim",
     f"WITH {sql.OBS} SELECT timetag, {sql.calendar('timetag')} FROM (SELECT DISTINCT timetag FROM obs)",

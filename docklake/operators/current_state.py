@@ -50,12 +50,13 @@ def merged_state(state: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def newest_per_window(
-    obs: DataFrame, length: int = 60, slide: int = 90, tie: tuple[str, ...] = ()
+    obs: DataFrame, length: int = 60, slide: int = 90, tie: tuple[str, ...] = (), time: str = "timetag"
 ) -> DataFrame:
     """The newest row of each station per window of ``length`` seconds, one every ``slide`` seconds.
-    Windows that slide further than they are long leave gaps, whose rows belong to no window."""
+    Windows that slide further than they are long leave gaps, whose rows belong to no window. ``time`` decides in which
+    windows a row is, ``timetag`` which one is the newest."""
     ranked = F.struct("timetag", *tie, "latitude", "longitude", "status", "bikes")
-    newest = in_windows(obs, length, slide).groupBy("window", "station").agg(F.max(ranked).alias("_row"))
+    newest = in_windows(obs, length, slide, time).groupBy("window", "station").agg(F.max(ranked).alias("_row"))
     return newest.select(
         _opening(length).alias("window_start"),
         F.col("window.end").alias("window_end"),
@@ -68,13 +69,13 @@ def newest_per_window(
     )
 
 
-def in_windows(obs: DataFrame, length: int, slide: int) -> DataFrame:
+def in_windows(obs: DataFrame, length: int, slide: int, time: str = "timetag") -> DataFrame:
     """Add ``window``. Spark wants slide <= length, so a longer slide becomes a tumbling window of
     which only rows of the last ``length`` seconds are kept."""
     if slide <= length:
-        return obs.withColumn("window", F.window("timetag", f"{length} seconds", f"{slide} seconds"))
-    tumbling = obs.withColumn("window", F.window("timetag", f"{slide} seconds"))
-    return tumbling.where(F.col("timetag") >= _opening(length))
+        return obs.withColumn("window", F.window(time, f"{length} seconds", f"{slide} seconds"))
+    tumbling = obs.withColumn("window", F.window(time, f"{slide} seconds"))
+    return tumbling.where(F.col(time) >= _opening(length))
 
 
 def _opening(length: int) -> Column:

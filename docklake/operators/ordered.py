@@ -35,6 +35,25 @@ def span_bucket(order: str, width: int, name: str = "slice") -> Bucket:
     return Bucket(name, f"{order} div {width}")
 
 
+RANGE = Bucket("_range", "_range")
+
+
+def in_ranges(df: DataFrame, keys: Sequence[str], order: str, path: str, ranges: int | None = None) -> DataFrame:
+    """``df`` stored at ``path`` with the number of the range of (keys, order) that each row is in, for the bucket ``RANGE``.
+
+    Where the ranges end comes from the data: quantiles that Spark samples, so that ranges hold about as many rows each,
+    whether one key has nearly all rows or all rows are of one day. Rows of one key and place in the order share a range,
+    and within a key a later row never has a smaller number. A carry over the bucket ``RANGE`` is then a prefix scan:
+    one summary a range and key, a scan over the summaries, and a pass inside each range. ``ranges`` defaults to the
+    shuffle partitions of the session; the numbers are stored, so a lost executor can't shift them.
+    """
+    spark = df.sparkSession
+    count = int(spark.conf.get("spark.sql.shuffle.partitions")) if ranges is None else ranges
+    cut = df.repartitionByRange(count, *keys, order).withColumn(RANGE.name, F.spark_partition_id())
+    cut.write.parquet(path)
+    return spark.read.schema(cut.schema).parquet(path)
+
+
 def with_previous(
     df: DataFrame,
     keys: Sequence[str],

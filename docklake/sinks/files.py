@@ -95,12 +95,12 @@ def upsert(
         delete_path(spark, work)
         delete_path(spark, marker)
         return
-    fresh = _staged(new, f"{work}/new")
+    fresh = staged(new, f"{work}/new")
     if path_exists(spark, path):
-        existing = _touched(spark.read.schema(fresh.schema).parquet(path), fresh, partition_by)
+        existing = touched(spark.read.schema(fresh.schema).parquet(path), fresh, partition_by)
     else:
         existing = fresh.limit(0)
-    merged = _staged(
+    merged = staged(
         merge_by_key(existing, fresh, keys, order) if merge is None else merge(existing, fresh), f"{work}/merged"
     )
     writer = merged.hint("rebalance", *partition_by).write.mode("overwrite")
@@ -128,19 +128,21 @@ def merge_newest(
     upsert(new, path, keys, staging, partition_by=partition_by, merge_id=merge_id, merge=merge)
 
 
-def _staged(rows: DataFrame, path: str) -> DataFrame:
+def staged(rows: DataFrame, path: str) -> DataFrame:
+    """``rows`` as a table at ``path``, which is kept if an earlier try has completed it."""
     spark = rows.sparkSession
     if not path_exists(spark, f"{path}/_SUCCESS"):
         rows.write.mode("overwrite").parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
 
 
-def _touched(existing: DataFrame, new: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+def touched(existing: DataFrame, new: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Rows of ``existing`` in the partitions that ``new`` has rows of."""
     if not partition_by:
         return existing
     # The range of each partition column prunes the listing at run time, the semi join makes it exact.
     keys = {c: _partition_value(new, c) for c in partition_by}
-    touched = new.select(*(value.alias(f"_{c}") for c, value in keys.items())).distinct()
+    parts = new.select(*(value.alias(f"_{c}") for c, value in keys.items())).distinct()
     inside, same = F.lit(True), F.lit(True)
     for c, value in keys.items():
         low, high, some_null = (
@@ -148,7 +150,7 @@ def _touched(existing: DataFrame, new: DataFrame, partition_by: Sequence[str]) -
         )
         inside = inside & (F.col(c).between(low, high) | (F.col(c).isNull() & some_null))
         same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
-    return existing.where(inside).join(touched, same, "left_semi")
+    return existing.where(inside).join(parts, same, "left_semi")
 
 
 def _partition_value(rows: DataFrame, column: str) -> Column:

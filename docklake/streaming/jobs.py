@@ -14,7 +14,9 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from docklake.functions.calendar import day_string, utc_from_millis
 from docklake.functions.text import point_text
-from docklake.operators.current_state import POINT, STATE_FIELDS, newest_per_station, newest_per_window, state_rows
+from docklake.operators.current_state import (
+    POINT, STATE_FIELDS, in_windows, newest_per_station, newest_per_window, state_rows,
+)
 from docklake.operators.facts import facts, last_counts
 from docklake.operators.feed import monotone
 from docklake.operators.keyed import latest_per_key
@@ -229,3 +231,31 @@ def window_batches(
             merge_newest(placed, state[0], POINT, state[1], ["timetag"], (), batch_id)
 
     return obs.writeStream.foreachBatch(process)
+
+
+def arrival_window_batches(
+    obs: DataFrame, sinks: Sequence[BatchSink], state_path: str, length: int = 60, slide: int = 90, arrival: str = "arrival"
+) -> DataStreamWriter:
+    """The newest row per station and window of arrival, whatever times the rows carry.
+
+    ``arrival`` is when the source saw a row; it doesn't fall from one micro-batch to the next. A micro-batch closes
+    the windows that end by its last arrival, and only those are given out, once. Windows that are still open wait in
+    the carried table with the newest row of each station, so nothing depends on a watermark. Of rows of one time the
+    last to arrive is the newest.
+    """
+    kinds = {field.name: field.dataType.simpleString() for field in obs.schema.fields}
+    fields = ("timetag", arrival, "latitude", "longitude", "status", "bikes")
+    rows_schema = ", ".join(f"{name} {kinds[name]}" for name in ("station", *fields))
+    schema = f"window_start {kinds[arrival]}, window_end {kinds[arrival]}, {rows_schema}"
+
+    def update(rows: DataFrame, before: DataFrame) -> tuple[DataFrame, DataFrame]:
+        windowed = in_windows(rows, length, slide, arrival).select(
+            (F.col("window.end") - F.expr(f"interval {length} seconds")).alias("window_start"),
+            F.col("window.end").alias("window_end"), "station", *fields,
+        )
+        newest = latest_per_key(before.unionByName(windowed), WINDOW_KEY, ["timetag", arrival])
+        last = rows.agg(F.max(arrival).alias("last")).first()["last"]
+        closed = F.col("window_end") <= F.lit(last)
+        return newest.where(closed).drop(arrival), newest.where(~closed)
+
+    return stateful_batches(obs, update, state_path, schema, sinks)

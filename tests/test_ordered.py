@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from docklake.operators.facts import facts
 from docklake.operators.feed import monotone, refresh_interval
-from docklake.operators.ordered import Bucket, span_bucket, with_previous, with_running_max
+from docklake.operators.ordered import RANGE, Bucket, in_ranges, span_bucket, with_previous, with_running_max
 
 ONE = [span_bucket("at", 10)]
 TWO = [span_bucket("at", 3, "fine"), Bucket("coarse", "fine div 4")]
@@ -116,3 +116,30 @@ def test_refresh_interval(spark):
     times = [("a", t) for t in (100, 100, 160, 220, 90_000)] + [("b", 7)]
     got = refresh_interval(spark.createDataFrame(times, "datasource string, updatetime bigint"))
     assert rows(got) == [("a", 60, 60, 89_780, 89_900 / 3, 3)]
+
+
+@pytest.mark.parametrize("ranges", [1, 7])
+def test_scan_over_ranges_of_the_data(spark, folder, ranges):
+    """One key has nine tenths of the rows, all of one day; nulls among the values are carried like others."""
+    made = spark.range(4000).select(
+        F.when(F.col("id") % 10 > 0, 1).otherwise(F.col("id") % 7 + 2).alias("station"),
+        F.expr("timestamp_ntz'2024-01-16 00:00:00' + make_dt_interval(0, 0, 0, pmod(id * 977, 4001))").alias("timetag"),
+        F.when(F.col("id") % 13 > 0, F.pmod(F.xxhash64("id"), F.lit(50))).alias("bikes"),
+    )
+    cut = in_ranges(made, ["station"], "timetag", f"{folder}/ranges", ranges)
+    sizes = [row["count"] for row in cut.groupBy(RANGE.name).count().collect()]
+    assert len(sizes) == ranges and max(sizes) <= 2 * 4000 / ranges
+    for function, plain in ((with_previous, with_previous), (with_running_max, with_running_max)):
+        found = function(cut, ["station"], "timetag", "bikes", "out", [RANGE]).drop(RANGE.name)
+        assert rows(found) == rows(plain(made, ["station"], "timetag", "bikes", "out", []))
+
+
+def test_no_window_of_a_scan_takes_a_whole_key(spark, folder):
+    made = spark.range(100).select(F.lit(1).alias("station"), F.col("id").alias("timetag"), F.col("id").alias("bikes"))
+    cut = in_ranges(made, ["station"], "timetag", f"{folder}/ranges", 4)
+    moved = with_previous(cut, ["station"], "timetag", "bikes", "previous", [RANGE])
+    plan = moved._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window [" in line]
+    assert len(windows) == 2 and "[station#" in windows[0]
+    assert "_range" in windows[0].split("windowspecdefinition(")[1].split(" ASC")[0]  # rows: by station and range
+    assert "_range" in windows[1].split(" ASC")[0].split("windowspecdefinition(")[1]  # summaries: ordered by range
