@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docklake.operators.facts import facts
+from docklake.operators.facts import facts, facts_between
+from docklake.plans.periods import Period, last_period
 from docklake.plans.star import big_table, located
 from docklake.sources.feeds import tag_snapshots
 from docklake.sources.tables import clean_station_dim
@@ -62,10 +63,14 @@ def observations_of(events: DataFrame, timetag: Column | None = None) -> DataFra
 
 
 def order_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return observations_of_orders(table(spark, sf_dir, "orders"))
+
+
+def observations_of_orders(orders: DataFrame) -> DataFrame:
     """Observations over many months: customers are stations, an order is a count of bikes on its day. Several orders of
     a customer on one day share their time, so the tie decides."""
     c = F.col
-    return table(spark, sf_dir, "orders").select(
+    return orders.select(
         c("o_custkey").alias("station"),
         c("o_orderdate").alias("timetag"),
         c("o_orderkey").alias("event_id"),
@@ -126,6 +131,21 @@ def wide_and_located(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataF
     return big_table(facts(obs, TIE), stations), located(obs, stations)
 
 
+def wide_in(spark: SparkSession, sf_dir: str, period: Period, name: str = "events") -> DataFrame:
+    """The wide table of one stretch of time, which bounds the scan of the observations."""
+    made, time = {"events": (observations_of, "ts"), "orders": (observations_of_orders, "o_orderdate")}[name]
+    source = table(spark, sf_dir, name)
+    inside, before = made(source.where(period.holds(time))), made(source.where(period.before(time)))
+    return big_table(facts_between(inside, before, TIE), customer_stations(spark, sf_dir))
+
+
+def wide_in_last(spark: SparkSession, sf_dir: str, level: str, name: str = "events") -> DataFrame:
+    """The wide table of the last member of a level of time, which one aggregate over known stations finds."""
+    obs = observations(spark, sf_dir) if name == "events" else order_observations(spark, sf_dir)
+    period = last_period(located(obs, customer_stations(spark, sf_dir)), level)
+    return wide_in(spark, sf_dir, period, name)
+
+
 def located_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return located(observations(spark, sf_dir), customer_stations(spark, sf_dir))
 

@@ -6,10 +6,11 @@ from pyspark.sql import functions as F
 
 from docklake.catalog import adapter, sql
 from docklake.catalog.registry import named_query
-from docklake.operators.cube import Axis, NamedSet
+from docklake.operators.cube import SKETCH_ERROR, Axis, NamedSet
 from docklake.operators.facts import facts
 from docklake.plans import saved
-from docklake.plans.cubes import FLAT_CUBE, LAST_HOUR, STATION_CUBE
+from docklake.plans.cubes import FLAT_CUBE, STATION_CUBE
+from docklake.plans.periods import Period, bounds, in_any, last_periods, span
 from docklake.plans.star import big_table, located
 from docklake.schemas import FACT_COLUMNS
 from docklake.session import scratch_dir
@@ -142,38 +143,33 @@ def last_hour_set(spark, sf_dir):
     WHERE (year, trimester, month, month_week) IN (SELECT (year, trimester, month, month_week) FROM weeks) GROUP BY part""",
 )
 def last_three_weeks(spark, sf_dir):
-    big, located = adapter.wide_and_located(spark, sf_dir)
-    rows = STATION_CUBE.in_set(big, NamedSet("last_three_weeks", "Time", "Week", 3), located)
+    weeks = last_periods(adapter.located_observations(spark, sf_dir), "Week", 3)
+    rows = adapter.wide_in(spark, sf_dir, span(weeks)).where(in_any(weeks))
     return STATION_CUBE.query(rows, [("DayParts", "DayPart")], ["total_traffic"])
 
 
-def _tables(spark, sf_dir, period):
-    big, located = adapter.wide_and_located(spark, sf_dir)
-    return big, period, located
-
-
 def _station_axis_sql(measure, column, period):
     return f"WITH {sql.BIG} SELECT {PATH}, {sql.pivoted(measure, column)} FROM big WHERE {sql.LAST[period]} GROUP BY {PATH}"
 
 
 @named_query("m1", _station_axis_sql("total_bikes_lent", "lent", "last_week"))
 def m1(spark, sf_dir):
-    return saved.lent_by_station(*_tables(spark, sf_dir, "last_week"))
+    return saved.lent_by_station(adapter.wide_in_last(spark, sf_dir, "Week"))
 
 
 @named_query("m2", _station_axis_sql("total_bikes_lent", "lent", "last_month"))
 def m2(spark, sf_dir):
-    return saved.lent_by_station(*_tables(spark, sf_dir, "last_month"))
+    return saved.lent_by_station(adapter.wide_in_last(spark, sf_dir, "Month"))
 
 
 @named_query("m3", _station_axis_sql("total_bikes_returned", "returned", "last_week"))
 def m3(spark, sf_dir):
-    return saved.returned_by_station(*_tables(spark, sf_dir, "last_week"))
+    return saved.returned_by_station(adapter.wide_in_last(spark, sf_dir, "Week"))
 
 
 @named_query("m4", _station_axis_sql("total_bikes_returned", "returned", "last_month"))
 def m4(spark, sf_dir):
-    return saved.returned_by_station(*_tables(spark, sf_dir, "last_month"))
+    return saved.returned_by_station(adapter.wide_in_last(spark, sf_dir, "Month"))
 
 
 @named_query(
@@ -182,7 +178,7 @@ def m4(spark, sf_dir):
       {sql.pivoted('total_bikes_lent', 'lent')} FROM big WHERE {sql.LAST['last_month']} GROUP BY district""",
 )
 def m5(spark, sf_dir):
-    return saved.movement_by_district(*_tables(spark, sf_dir, "last_month"))
+    return saved.movement_by_district(adapter.wide_in_last(spark, sf_dir, "Month"), None)
 
 
 @named_query(
@@ -201,12 +197,12 @@ def _where_sql(period):
 
 @named_query("m7", _where_sql("last_month"))
 def m7(spark, sf_dir):
-    return saved.where_to_place(*_tables(spark, sf_dir, "last_month"))
+    return saved.where_to_place(adapter.wide_in_last(spark, sf_dir, "Month"))
 
 
 @named_query("m8", _where_sql("last_week"))
 def m8(spark, sf_dir):
-    return saved.where_to_place(*_tables(spark, sf_dir, "last_week"))
+    return saved.where_to_place(adapter.wide_in_last(spark, sf_dir, "Week"))
 
 
 @named_query("stored_where_to_place", _where_sql("last_week"))
@@ -219,15 +215,18 @@ def stored_where_to_place(spark, sf_dir):
     return saved.where_to_place(saved.last_month_of(stored), "last_week")
 
 
-# The station of these two reports is the one seen last; its path is read from the wide table.
+# The station of these two reports is the one seen last; its path comes with the time it was seen, from one aggregate.
 AT_LAST_STATION = f"({PATH}) IS NOT DISTINCT FROM (SELECT ({PATH}) FROM big ORDER BY timetag DESC, station DESC LIMIT 1)"
 
 
-def last_seen_path(located):
-    """The path of the station seen last, as scalars of the query that uses them."""
+def last_seen(spark, sf_dir):
+    """The path of the station seen last, and the last hour."""
     path = STATION_CUBE.path("StationDistrict", "StationId")
-    last = located.agg(F.max_by(F.struct(*path), F.struct("timetag", "station")).alias("_path")).select("_path.*")
-    return [last.select(c).scalar() for c in path]
+    seen = adapter.located_observations(spark, sf_dir).agg(
+        F.max_by(F.struct(*path), F.struct("timetag", "station")).alias("path"), F.max("timetag").alias("timetag")
+    )
+    row = seen.select("path", *(side.alias(name) for side, name in zip(bounds(F.col("timetag"), "Hour"), ("start", "end")))).first()
+    return list(row["path"] or [None] * len(path)), Period(row["start"], row["end"])
 
 
 @named_query(
@@ -236,8 +235,8 @@ def last_seen_path(located):
     WHERE {AT_LAST_STATION} AND {sql.LAST['last_hour']} GROUP BY {MINUTE_PATH}""",
 )
 def m9(spark, sf_dir):
-    big, located = adapter.wide_and_located(spark, sf_dir)
-    return saved.station_last_hour(big, last_seen_path(located), located)
+    path, hour = last_seen(spark, sf_dir)
+    return saved.station_last_hour(adapter.wide_in(spark, sf_dir, hour), path, sliced=True)
 
 
 @named_query(
@@ -253,8 +252,8 @@ def m10(spark, sf_dir):
     f"WITH {sql.BIG} SELECT {HOUR_PATH}, {USAGE_SQL} FROM big WHERE {AT_LAST_STATION} GROUP BY {HOUR_PATH}",
 )
 def m11(spark, sf_dir):
-    big, located = adapter.wide_and_located(spark, sf_dir)
-    return saved.station_by_hour(big, last_seen_path(located))
+    path, _ = last_seen(spark, sf_dir)
+    return saved.station_by_hour(adapter.wide_table(spark, sf_dir), path)
 
 
 @named_query(
@@ -262,8 +261,7 @@ def m11(spark, sf_dir):
     f"WITH {sql.BIG} SELECT {MINUTE_PATH}, {USAGE_SQL} FROM big WHERE {sql.LAST['last_hour']} GROUP BY {MINUTE_PATH}",
 )
 def usage_last_hour(spark, sf_dir):
-    big, last, located = _tables(spark, sf_dir, LAST_HOUR)
-    rows = STATION_CUBE.in_set(big, last, located)
+    rows = adapter.wide_in_last(spark, sf_dir, "Hour")
     return STATION_CUBE.query(rows, [("Time", "Minute")], saved.USAGE)
 
 
@@ -294,7 +292,7 @@ def facts_with_ties(spark, sf_dir):
 
 @named_query("m2_many_months", sql.over_months(_station_axis_sql("total_bikes_lent", "lent", "last_month")))
 def m2_many_months(spark, sf_dir):
-    return saved.lent_by_station(*_over_months(spark, sf_dir, "last_month"))
+    return saved.lent_by_station(adapter.wide_in_last(spark, sf_dir, "Month", "orders"))
 
 
 @named_query(
@@ -303,12 +301,12 @@ def m2_many_months(spark, sf_dir):
       {sql.pivoted('total_bikes_lent', 'lent')} FROM big WHERE {sql.LAST['last_month']} GROUP BY district"""),
 )
 def m5_many_months(spark, sf_dir):
-    return saved.movement_by_district(*_over_months(spark, sf_dir, "last_month"))
+    return saved.movement_by_district(adapter.wide_in_last(spark, sf_dir, "Month", "orders"), None)
 
 
 @named_query("m7_many_months", sql.over_months(_where_sql("last_month")))
 def m7_many_months(spark, sf_dir):
-    return saved.where_to_place(*_over_months(spark, sf_dir, "last_month"))
+    return saved.where_to_place(adapter.wide_in_last(spark, sf_dir, "Month", "orders"))
 
 
 @named_query(
@@ -366,6 +364,29 @@ def last_two_neighborhoods(spark, sf_dir):
     return _last_neighborhoods(spark, sf_dir, 2)
 
 
+@named_query(
+    "rollup_distinct_sketch",
+    f"""WITH {sql.BIG} SELECT district, neighborhood, CAST(2 - grouping(district) - grouping(neighborhood) AS INTEGER) AS depth,
+      count(DISTINCT station) AS total_station_count, true AS sketch_is_near
+    FROM big GROUP BY ROLLUP (district, neighborhood)""",
+)
+def rollup_distinct_sketch(spark, sf_dir):
+    """Stations counted once at every level, exactly and from stored sketches of the finest members, which lie within
+    three standard errors of it."""
+    path = scratch_dir(spark, "sketches")
+    big = adapter.wide_table(spark, sf_dir)
+    STATION_CUBE.sketches(big, "StationDistrict", "Neighborhood", "total_station_count").write.parquet(path)
+    near = STATION_CUBE.rollup_sketches(spark.read.parquet(path), "StationDistrict", "Neighborhood", "total_station_count")
+    exact = STATION_CUBE.rollup(big, "StationDistrict", "Neighborhood", ["total_station_count"])
+    keys = ["district", "neighborhood", "depth"]
+    alike = [exact[key].eqNullSafe(near[key]) for key in keys]
+    error = F.abs(near["total_station_count"] - exact["total_station_count"])
+    bound = 3 * SKETCH_ERROR * exact["total_station_count"]
+    return exact.join(near, alike, "left").select(
+        *(exact[key] for key in keys), exact["total_station_count"], F.coalesce(error <= bound, F.lit(False)).alias("sketch_is_near")
+    )
+
+
 FLAT = """flat AS (
   SELECT l_returnflag AS host, l_linestatus AS domain, l_linenumber AS feature, CAST(l_shipdate AS DATE) AS date,
          CAST(l_quantity AS DECIMAL(12,2)) AS core, CAST(l_discount AS DECIMAL(12,2)) AS db,

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from docklake.catalog import adapter, sql
@@ -13,6 +16,7 @@ from docklake.operators.ordered import RANGE, in_ranges, span_bucket
 from docklake.session import scratch_dir
 from docklake.sinks.files import append, append_archive, archive_rows, message_rows, truncate
 from docklake.sources import xml
+from docklake.sources.archive import archived_between
 from docklake.sources.feeds import readable
 
 WHOLE = "SELECT * FROM pieces WHERE value <= 100"
@@ -49,6 +53,53 @@ def parse_defaults(spark, sf_dir):
     )
 
 
+ALL_STATIONS = f"""{sql.RAW},
+whole_station AS (
+  SELECT event_id AS arrival, updatetime, CAST(user_id AS INTEGER) AS station, CAST('41.' || digits AS DOUBLE) AS latitude,
+    CAST('2.' || digits AS DOUBLE) AS longitude, 'Street ' || event_type AS street, whole AS height,
+    CAST(event_id AS INTEGER) AS street_number, number || ',' || event_id || ',-1' AS nearby,
+    CASE WHEN event_type = 'error' THEN 'CLS' ELSE 'OPN' END AS status, CAST(k AS INTEGER) AS slots, whole AS bikes
+  FROM ({WHOLE})),
+sparse_station AS (
+  SELECT event_id AS arrival, updatetime, CASE WHEN event_type <> 'view' THEN CAST(-user_id AS INTEGER) END AS station,
+    CAST('41.' || digits AS DOUBLE) AS latitude, CAST('41.' || digits AS DOUBLE) AS longitude, '' AS street, 0 AS height,
+    -1 AS street_number, '-1' AS nearby, 'OPN' AS status, 0 AS slots, 0 AS bikes
+  FROM ({WHOLE}))"""
+
+
+def _as_text(rows):
+    return rows.withColumn("nearby", F.array_join(F.transform("nearby", lambda n: n.cast("string")), ","))
+
+
+@named_query(
+    "parse_all",
+    f"""WITH {ALL_STATIONS}
+    SELECT *, 'station' AS outcome FROM whole_station UNION ALL
+    SELECT *, CASE WHEN station IS NULL THEN 'station without id or place' ELSE 'station' END FROM sparse_station UNION ALL
+    SELECT arrival, NULL, NULL, NULL, NULL, NULL, 0, -1, NULL, NULL, 0, 0, 'document without time' FROM raw WHERE timestamp_ms IS NULL""",
+)
+def parse_all(spark, sf_dir):
+    """Every station of every document, rejected ones and unreadable documents among them, from one parse of each."""
+    return _as_text(xml.outcomes(adapter.raw_snapshots(spark, sf_dir), "arrival").drop("timetag"))
+
+
+@named_query(
+    "parse_outcomes",
+    f"""WITH {ALL_STATIONS} SELECT
+      CAST((SELECT count(*) FROM whole_station) + (SELECT count(*) FROM sparse_station WHERE station IS NOT NULL) AS BIGINT) AS stations,
+      (SELECT count(*) FROM sparse_station WHERE station IS NULL) AS no_place,
+      (SELECT count(*) FROM raw WHERE timestamp_ms IS NULL) AS no_time,
+      CAST((SELECT count(*) FROM whole_station) * 2 + (SELECT count(*) FROM raw WHERE timestamp_ms IS NULL) AS BIGINT) AS stored""",
+)
+def parse_outcomes(spark, sf_dir):
+    """The counts by cause that come with storing the outcomes, beside the number of rows stored."""
+    path, counts = scratch_dir(spark, "outcomes"), Observation("outcomes")
+    rows = xml.outcomes(adapter.raw_snapshots(spark, sf_dir), "arrival")
+    xml.counted_outcomes(rows, counts).write.partitionBy("outcome").parquet(path)
+    stored = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("stored"))
+    return stored.select(*(F.lit(counts.get[name]).cast("bigint").alias(name) for name in ("stations", "no_place", "no_time")), "stored")
+
+
 @named_query(
     "nearby_explode",
     f"""WITH {sql.RAW} SELECT near, count(*) AS mentions FROM (
@@ -172,6 +223,33 @@ def archive_appended(spark, sf_dir):
     return _archive_counts(spark.read.parquet(path))
 
 
+# Noon to noon, so that two days are read in part.
+ARCHIVE_FROM, ARCHIVE_TO = datetime(2024, 1, 9, 12), datetime(2024, 1, 20, 12)
+
+
+@named_query(
+    "archive_round_trip",
+    f"""WITH {sql.RAW} SELECT event_type AS datasource, strftime(make_timestamp(updatetime * 1000000), '%Y-%m-%d') AS day,
+      count(*) AS snapshots, CAST(count(*) + count(*) FILTER (WHERE event_type <> 'view') AS BIGINT) AS stations,
+      CAST(sum(whole) AS BIGINT) AS bikes, min(make_timestamp(updatetime * 1000000)) AS first_time,
+      min(strftime(make_timestamp(updatetime * 1000000), '%Y-%m-%d_%H.%M.%S_UTC')) AS first_name
+    FROM ({WHOLE}) WHERE make_timestamp(updatetime * 1000000) >= TIMESTAMP '{ARCHIVE_FROM}'
+      AND make_timestamp(updatetime * 1000000) < TIMESTAMP '{ARCHIVE_TO}' GROUP BY ALL""",
+)
+def archive_round_trip(spark, sf_dir):
+    """Snapshots archived by day; those between two times are listed by folder, dated by their names and parsed."""
+    path = scratch_dir(spark, "archive")
+    append_archive(readable(adapter.raw_snapshots(spark, sf_dir)), path)
+    schema = "timestamp_ms bigint, key string, arrival bigint, content string, snapshot_name string, datasource string, day string"
+    between = archived_between(spark, path, ARCHIVE_FROM, ARCHIVE_TO, schema=schema)
+    carried = ("datasource", "day", "arrival", "snapshot_time", "snapshot_name")
+    stations = xml.observations(between, *carried)
+    return stations.groupBy("datasource", "day").agg(
+        F.count_distinct("arrival").alias("snapshots"), F.count(F.lit(1)).alias("stations"), F.sum("bikes").alias("bikes"),
+        F.min("snapshot_time").alias("first_time"), F.min("snapshot_name").alias("first_name"),
+    )
+
+
 @named_query(
     "dedup_recent",
     """SELECT datasource, timestamp_ms, min(arrival) AS arrival FROM (

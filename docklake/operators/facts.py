@@ -52,3 +52,9 @@ def last_counts(obs: DataFrame, tie: Sequence[str] = ()) -> DataFrame:
     """The count and time each station ends on."""
     last = F.max(F.struct("timetag", *tie, "bikes")).alias("_row")
     return obs.groupBy("station").agg(last).select("station", "_row.bikes", "_row.timetag")
+
+
+def facts_between(inside: DataFrame, before: DataFrame, tie: Sequence[str] = ()) -> DataFrame:
+    """Facts of the observations ``inside`` a stretch of time. The first of a station compares with its last count
+    ``before``, of which only one row a station is kept: neither lies in the other's scan."""
+    return facts(inside, tie, initial=last_counts(before, tie).select("station", "bikes"))

@@ -1,6 +1,7 @@
 """The saved usage reports over the wide table.
 
-Each takes the wide table, stored or computed. "Last" slicers compare with the last member found in
+Each takes the wide table, stored or computed. A table that is computed for a period already (``plans.periods``) needs
+no slicer, its ``period`` is None. "Last" slicers compare with the last member found in
 ``within``, by default the wide table itself. Of a stored wide table only the last month is then
 read; ``last_month_of`` it as ``within`` also finds the last week and hour there. A computed wide
 table is cheaper with ``plans.star.located`` as ``within``.
@@ -38,25 +39,29 @@ def stored_months(spark: SparkSession, path: str) -> DataFrame:
     return spark.createDataFrame(values, kinds)
 
 
-def lent_by_station(big: DataFrame, period: str, within: DataFrame | None = None) -> DataFrame:
+def _rows(big: DataFrame, period: str | None, within: DataFrame | None) -> DataFrame:
+    return big if period is None else STATION_CUBE.in_set(big, period, within)
+
+
+def lent_by_station(big: DataFrame, period: str | None = None, within: DataFrame | None = None) -> DataFrame:
     """Bikes lent per station and day sixth in the ``last_week`` or ``last_month``, most lent first."""
     return _moved_by_station(big, period, "total_bikes_lent", within)
 
 
-def returned_by_station(big: DataFrame, period: str, within: DataFrame | None = None) -> DataFrame:
+def returned_by_station(big: DataFrame, period: str | None = None, within: DataFrame | None = None) -> DataFrame:
     return _moved_by_station(big, period, "total_bikes_returned", within)
 
 
-def _moved_by_station(big: DataFrame, period: str, measure: str, within: DataFrame | None) -> DataFrame:
-    rows = STATION_CUBE.in_set(big, period, within)
+def _moved_by_station(big: DataFrame, period: str | None, measure: str, within: DataFrame | None) -> DataFrame:
+    rows = _rows(big, period, within)
     return STATION_CUBE.query(rows, STATIONS, [measure], DAY_SIXTH_AXIS, [(measure, "desc")])
 
 
 def movement_by_district(
-    big: DataFrame, period: str = "last_month", within: DataFrame | None = None
+    big: DataFrame, period: str | None = "last_month", within: DataFrame | None = None
 ) -> DataFrame:
     """Returned and lent per district and day sixth, most returned first."""
-    rows = STATION_CUBE.in_set(big, period, within)
+    rows = _rows(big, period, within)
     measures = ["total_bikes_returned", "total_bikes_lent"]
     return STATION_CUBE.query(rows, DISTRICTS, measures, DAY_SIXTH_AXIS, [(measures[0], "desc")])
 
@@ -67,20 +72,20 @@ def movement_by_size(big: DataFrame) -> DataFrame:
     return STATION_CUBE.query(big, rows, ["average_lent", "average_returned"], order=[("average_lent", "asc")])
 
 
-def where_to_place(big: DataFrame, period: str, within: DataFrame | None = None) -> DataFrame:
+def where_to_place(big: DataFrame, period: str | None = None, within: DataFrame | None = None) -> DataFrame:
     """Districts short of bikes: fewest available first, then most traffic."""
-    rows = STATION_CUBE.in_set(big, period, within)
+    rows = _rows(big, period, within)
     measures = ["average_bikes_available", "total_traffic"]
     order = [("average_bikes_available", "asc"), ("total_traffic", "desc")]
     return STATION_CUBE.query(rows, DISTRICTS, measures, order=order)
 
 
 def station_last_hour(
-    big: DataFrame, station_path: Sequence[Any], within: DataFrame | None = None
+    big: DataFrame, station_path: Sequence[Any], within: DataFrame | None = None, sliced: bool = False
 ) -> DataFrame:
-    """One station by minute of the last hour; the hour is the last of the whole table."""
+    """One station by minute of the last hour; the hour is the last of the whole table, unless that is ``sliced`` already."""
     at_station = STATION_CUBE.at_member(big, "StationDistrict", "StationId", station_path)
-    rows = STATION_CUBE.in_set(at_station, LAST_HOUR, big if within is None else within)
+    rows = at_station if sliced else STATION_CUBE.in_set(at_station, LAST_HOUR, big if within is None else within)
     return STATION_CUBE.query(rows, [("Time", "Minute")], USAGE)
 
 

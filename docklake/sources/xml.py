@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from docklake.functions import text
@@ -80,6 +80,31 @@ def rejected_stations(raw: DataFrame, *carry: str, content: str = "content") ->
     return typed_stations(rows, *carry).where(~_usable())
 
 
+# What can become of a document: each of its stations is one of the first two, a document without a readable time the third.
+STATION, NO_PLACE, NO_TIME = "station", "station without id or place", "document without time"
+
+
+def outcomes(raw: DataFrame, *carry: str, content: str = "content") -> DataFrame:
+    """All that a parse yields, in one pass: typed stations tagged by ``outcome``, rejected ones and documents among them.
+
+    A job that stores stations, rejects and times takes each from this frame, so that every document is parsed once.
+    A document without stations has no rows unless it is rejected; the fields of a rejected document are null.
+    """
+    parsed = with_document(raw, content)
+    # One array a document: its stations, or a single null for a document that can't be read.
+    stations = F.when(_snapshot_seconds().isNotNull(), F.col("document.station")).otherwise(F.array(F.lit(None)))
+    rows = parsed.select(*carry, _snapshot_seconds().alias("updatetime"), F.explode(stations).alias("station"))
+    typed = typed_stations(rows.select(*carry, "updatetime", "station.*"), *carry)
+    outcome = F.when(F.col("updatetime").isNull(), NO_TIME).when(_usable(), STATION).otherwise(NO_PLACE)
+    return typed.withColumn("outcome", outcome)
+
+
+def counted_outcomes(rows: DataFrame, name: str | Observation) -> DataFrame:
+    """``outcomes`` that counts them as it is written or read: the counts by cause come with the job that stores the rows."""
+    count = lambda which: F.count_if(F.col("outcome") == which)
+    return rows.observe(name, count(STATION).alias("stations"), count(NO_PLACE).alias("no_place"), count(NO_TIME).alias("no_time"))
+
+
 def snapshot_times(raw: DataFrame, content: str = "content") -> DataFrame:
     """The ``updatetime`` of each accepted document."""
     return accepted(with_document(raw, content)).select(_snapshot_seconds().alias("updatetime"))

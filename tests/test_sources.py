@@ -1,9 +1,16 @@
+from datetime import datetime, timezone
+from pathlib import Path
+
 import pytest
 from conftest import rows
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
-from docklake.sources import feeds, tables, xml
 from docklake.functions.text import snapshot_file_time
+from docklake.schemas import RAW_SNAPSHOT
+from docklake.sinks.files import append_archive
+from docklake.sources import feeds, tables, xml
+from docklake.sources.archive import archived_between
 
 STATION = """ <station><id>{id}</id><lat>{lat}</lat><long>{long}</long><street><![CDATA[{street}]]></street>
   <height>{height}</height><streetNumber>{number}</streetNumber><nearbyStationList>{near}</nearbyStationList>
@@ -129,3 +136,33 @@ def test_station_csv_keeps_the_last_row_and_reads_null_text(spark, tmp_path):
         (27, 2.164415, 41.396881, 49, None, None, "08037", "Provença 322", None, None, None),
         (300, 2.2, 41.4, 21, "Gràcia", "El Coll", "08014", "Gran Via 2", 1.5, 2, 3.0),
     ]
+
+
+def test_only_the_days_between_are_opened(spark, folder):
+    def snapshot(day, hour, source="bikes"):
+        at = datetime(2014, 5, day, hour, tzinfo=timezone.utc)
+        return source, int(at.timestamp() * 1000), f"{source}{day}{hour}", "<x/>"
+
+    raw = spark.createDataFrame([snapshot(d, h, s) for d in (1, 2, 3, 4) for h in (1, 13) for s in ("bikes", "a/b")], RAW_SNAPSHOT)
+    append_archive(raw, f"{folder}/archive")
+    for day in ("2014-05-01", "2014-05-04"):  # whoever lists or reads these days fails
+        Path(folder, "archive", "datasource=bikes", f"day={day}", "broken.parquet").write_text("no table")
+    start, end = datetime(2014, 5, 2, 12), datetime(2014, 5, 4)
+    found = archived_between(spark, f"{folder}/archive", start, end)
+    assert rows(found.select("datasource", F.date_format("snapshot_time", "dd HH"))) == sorted(
+        [(s, t) for s in ("a/b", "bikes") for t in ("02 13", "03 01", "03 13")], key=repr
+    )
+    assert [r.key for r in archived_between(spark, f"{folder}/archive", start, datetime(2014, 5, 3), ["bikes"]).collect()] == ["bikes213"]
+    assert archived_between(spark, f"{folder}/nowhere", start, end).collect() == []
+
+
+def test_outcomes_of_one_parse(spark):
+    unplaced = STATION.format(id="x", lat="41.4", long="2.1", street="", height="", number="", near="", status="OPN", slots=1, bikes=1)
+    placed = station(9, "41.4", "2.1", "Lepant", 1, 2, "3", "OPN", 5, 6)
+    raw = contents(spark, document(7, placed, unplaced), BROKEN, document(8))
+    counts = Observation()
+    found = xml.counted_outcomes(xml.outcomes(raw, "doc"), counts)
+    assert rows(found.select("doc", "updatetime", "station", "outcome")) == sorted(
+        [(0, 7, 9, xml.STATION), (0, 7, None, xml.NO_PLACE), (1, None, None, xml.NO_TIME)], key=repr
+    )
+    assert counts.get == {"stations": 1, "no_place": 1, "no_time": 1}
