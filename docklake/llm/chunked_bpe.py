@@ -31,7 +31,7 @@ from docklake.llm.common import utf8
 MARGIN = 16  # bytes; no less than the longest special token and than the two characters that decide how a word ends
 HASHED = 32  # bytes the rolling hash sees
 KEY_BYTES = 16
-REMEMBERED_WORDS, REMEMBERED_CHUNKS = 160_000, 4_000
+REMEMBERED_WORDS, REMEMBERED_CHUNKS = 100_000, 2_000
 LEVEL = 6  # of compression
 
 # What the tokenizer's pattern finds in texts without ``ODD`` characters, whose letters and numbers are these.
@@ -362,7 +362,7 @@ def _owned(path: str, average: int):
     return encode
 
 
-def _encoded(path: str, average: int):
+def _encoded(path: str, average: int, decode: bool):
     """Ids of the documents of a block, with the ids of the chunks that come from elsewhere."""
 
     def encode(batches):
@@ -372,12 +372,14 @@ def _encoded(path: str, average: int):
                 for one in shared.as_py() or ():
                     ids = np.frombuffer(one["ids"], "<u4")
                     encoder.known[one["key"]] = encoder.from_ids(ids, np.unpackbits(np.frombuffer(one["words"], np.uint8), count=len(ids) + 1).view(bool))
-                table = _documents(payload)
-                for part in table.to_batches():
-                    for start in range(0, part.num_rows, 256):
-                        rows = part.slice(start, 256)
-                        ids = [one.astype("<u4").tobytes() for one in texts_coded(encoder, utf8(rows.column("text")), average)]
-                        yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(ids, pa.binary())], names=[*rows.schema.names, "ids"])
+                for part in _documents(payload).to_batches():
+                    for start in range(0, part.num_rows, 64):
+                        rows = part.slice(start, 64)
+                        ids = texts_coded(encoder, utf8(rows.column("text")), average)
+                        columns = {"doc_id": rows.column("doc_id"), "ids": pa.array([one.astype("<u4").tobytes() for one in ids], pa.binary())}
+                        if decode:
+                            columns["decoded"] = pa.array([text_of(one, encoder.pieces) for one in ids], pa.string())
+                        yield pa.RecordBatch.from_pydict(columns)
                 encoder.forget()
 
     return encode
@@ -439,12 +441,16 @@ def _laid_out(coded: list[Coded], starts: np.ndarray) -> tuple[np.ndarray, np.nd
     return np.concatenate([one.ids for one in coded]), at, np.concatenate([one.word[:-1] for one in coded])
 
 
-def encoded(docs: DataFrame, path: str, average: int = 1024, block_bytes: int = 1 << 22) -> DataFrame:
-    """``docs(doc_id, text)`` with ``ids``: little-endian unsigned 32-bit ids of every whole text by the tokenizer of ``path``.
+def text_of(ids: np.ndarray, pieces: list[bytes]) -> str:
+    return b"".join(map(pieces.__getitem__, ids.tolist())).decode(errors="replace")
+
+
+def encoded(docs: DataFrame, path: str, average: int = 1024, block_bytes: int = 1 << 22, decode: bool = False) -> DataFrame:
+    """``doc_id, ids`` of ``docs(doc_id, text)``: little-endian unsigned 32-bit ids of every whole text by the tokenizer of ``path``.
 
     The ids are those the tokenizer gives the whole text without adding special tokens; a special token that stands in the
     text is one id. Null texts count as empty and have none; repeated rows and null ids stay; an empty table gives none.
-    Other columns of ``docs`` are left out.
+    Other columns of ``docs`` are left out. With ``decode`` the ids are turned back in the same pass, as ``decoded``.
 
     Documents travel in compressed blocks of ``block_bytes`` of text, or one text. First only keys of chunks are
     counted, each once a block, so a chunk in a third of all documents has a row a block. The first block that holds a
@@ -460,8 +466,8 @@ def encoded(docs: DataFrame, path: str, average: int = 1024, block_bytes: int =
     once = packed.join(owned, "block", "left").select("payload", "owned").mapInArrow(_owned(path, average), "key binary NOT NULL, ids binary, words binary")
     found = occurring.join(once, "key").repartition(parts, "block")
     handed = found.groupBy("block").agg(F.collect_list(F.struct("key", "ids", "words")).alias("shared"))
-    schema = ", ".join(f"{name} {docs.schema[name].dataType.simpleString()}" for name in ("doc_id", "text"))
-    return packed.join(handed, "block", "left").select("payload", "shared").mapInArrow(_encoded(path, average), f"{schema}, ids binary")
+    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, ids binary" + ", decoded string" * decode
+    return packed.join(handed, "block", "left").select("payload", "shared").mapInArrow(_encoded(path, average, decode), schema)
 
 
 def decoded(path: str, ids: Column) -> Column:
@@ -471,8 +477,7 @@ def decoded(path: str, ids: Column) -> Column:
     def decode(values: pa.Array) -> pa.Array:
         pieces = in_this_process(path, _vocabulary)
         return pa.array(
-            [None if v is None else b"".join(map(pieces.__getitem__, np.frombuffer(v, "<u4").tolist())).decode(errors="replace") for v in values.to_pylist()],
-            pa.string(),
+            [None if v is None else text_of(np.frombuffer(v, "<u4"), pieces) for v in values.to_pylist()], pa.string()
         )
 
     return decode(ids)

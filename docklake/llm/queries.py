@@ -107,11 +107,10 @@ def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_chunked_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document as ids and back, as check sums."""
     path = public_tokenizers.path("byte_bpe_50k.json")
-    coded = chunked_bpe.encoded(_table(spark, sf_dir, "documents"), path)
-    text = F.encode(chunked_bpe.decoded(path, F.col("ids")), "utf-8")
+    coded = chunked_bpe.encoded(_table(spark, sf_dir, "documents"), path, decode=True)
     return coded.select(
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2(text, 256).alias("decoded_sha256"),
+        F.sha2(F.encode("decoded", "utf-8"), 256).alias("decoded_sha256"),
     )
 
 

@@ -51,17 +51,16 @@ def test_documents_as_the_tokenizer_has_them(spark):
     passages = [" ".join(random.choices(["alpha", "beta's", "日本", "12", "<|endoftext|>", "\n\n", "x"], k=300)) for _ in range(4)]
     rows = DOCUMENTS + [(50 + i, "".join(random.sample(passages, 3)) + str(i), "s", None) for i in range(30)] + [(99, "z" * 100_000, None, None)]
     docs = documents(spark, rows).repartition(3)
-    coded = bpe.encoded(docs, PATH, average=128, block_bytes=8000)
-    found = coded.select("doc_id", "text", "ids", bpe.decoded(PATH, F.col("ids")).alias("back")).collect()
-    assert Counter((r.doc_id, r.text) for r in found) == Counter((r.doc_id, r.text) for r in docs.collect())
+    coded = bpe.encoded(docs, PATH, average=128, block_bytes=8000, decode=True)
+    found = coded.select("doc_id", "ids", "decoded", bpe.decoded(PATH, F.col("ids")).alias("back")).collect()
     tokenizer = Tokenizer.from_file(PATH)
-    for row in found:
-        assert np.frombuffer(row.ids, "<u4").tolist() == tokenizer.encode(row.text or "", add_special_tokens=False).ids
-        assert row.back == (row.text or "")
+    want = Counter((r.doc_id, r.text or "", tuple(tokenizer.encode(r.text or "", add_special_tokens=False).ids)) for r in docs.collect())
+    assert Counter((r.doc_id, r.decoded, tuple(np.frombuffer(r.ids, "<u4").tolist())) for r in found) == want
+    assert all(r.back == r.decoded for r in found)
     assert bpe.encoded(docs.limit(0), PATH).collect() == []
 
 
-def test_shared_chunks_are_handed_over(spark, monkeypatch):
+def test_shared_chunks_are_handed_over(spark):
     """A block whose chunks all come from elsewhere has them encoded for it."""
     text = " ".join(str(i * 7919) for i in range(3000))
     docs = documents(spark, [(i, text, None, None) for i in range(6)]).repartition(6)
