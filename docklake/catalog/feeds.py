@@ -17,7 +17,7 @@ from docklake.session import scratch_dir
 from docklake.sinks.files import append, append_archive, archive_rows, message_rows, truncate
 from docklake.sources import xml
 from docklake.sources.archive import archived_between
-from docklake.sources.feeds import readable
+from docklake.sources.feeds import message_columns, readable, tag_snapshots
 
 WHOLE = "SELECT * FROM pieces WHERE value <= 100"
 
@@ -195,6 +195,35 @@ def kafka_rows(spark, sf_dir):
     return message_rows(readable(adapter.raw_snapshots(spark, sf_dir)))
 
 
+@named_query(
+    "message_round_trip",
+    f"""WITH {sql.RAW} SELECT datasource AS topic, datasource || timestamp_ms AS key, timestamp_ms, count(*) AS messages
+    FROM raw WHERE timestamp_ms IS NOT NULL GROUP BY ALL""",
+)
+def message_round_trip(spark, sf_dir):
+    """Messages as a topic holds them, in bytes and with columns of its own, read and dated again."""
+    sent = message_rows(readable(adapter.raw_snapshots(spark, sf_dir)))
+    held = sent.select(
+        "topic", F.col("key").cast("binary").alias("key"), F.col("value").cast("binary").alias("value"),
+        F.lit(0).alias("partition"), F.monotonically_increasing_id().alias("offset"), F.current_timestamp().alias("timestamp"),
+    )
+    read = message_columns(held).withColumn("timestamp_ms", updatetime_millis(F.col("content")))
+    return read.groupBy("topic", "key", "timestamp_ms").agg(F.count(F.lit(1)).alias("messages"))
+
+
+@named_query(
+    "random_keys",
+    "SELECT event_type AS datasource, count(*) AS snapshots, count(*) AS keys FROM events GROUP BY event_type",
+)
+def random_keys(spark, sf_dir):
+    """Snapshots tagged with a random key each: no two are alike, not even of one content."""
+    contents = adapter.snapshot_contents(adapter.table(spark, sf_dir, "events"))
+    tagged = tag_snapshots(contents, "any", "updatetime_random_key")
+    return tagged.groupBy(F.col("feed").alias("datasource")).agg(
+        F.count(F.lit(1)).alias("snapshots"), F.count_distinct("key").alias("keys")
+    )
+
+
 ARCHIVE_SQL = f"""WITH {sql.RAW} SELECT datasource, strftime(make_timestamp(timestamp_ms * 1000), '%Y-%m-%d') AS day,
   count(*) * {{times}} AS snapshots,
   min(strftime(make_timestamp(timestamp_ms * 1000), '%Y-%m-%d_%H.%M.%S_UTC')) AS first_name

@@ -64,6 +64,21 @@ def stream_delta(spark, sf_dir):
     return spark.read.parquet(f"{folder}/out").select(*FACT_COLUMNS)
 
 
+@named_query("stream_delta_empty_slice", f"WITH {sql.FACT} SELECT * FROM fact")
+def stream_delta_empty_slice(spark, sf_dir):
+    """The middle slice has no rows; the counts move on over it."""
+    events = _events(spark, sf_dir)
+    count = events.agg(F.max("event_id")).first()[0] or 0
+    apart = events.withColumn("place", F.col("event_id") + F.when(F.col("event_id") * 2 >= count, 2 * count).otherwise(0))
+
+    def job(stream, folder):
+        sink = jobs.batch_directory(f"{folder}/out")
+        return jobs.fact_batches(adapter.observations_of(stream), [sink], f"{folder}/counts", adapter.TIE)
+
+    folder = run_in_slices(spark, apart, "place", job)
+    return spark.read.parquet(f"{folder}/out").select(*FACT_COLUMNS)
+
+
 @named_query("stream_big_table", f"WITH {sql.BIG} SELECT * FROM big")
 def stream_big_table(spark, sf_dir):
     stations = adapter.customer_stations(spark, sf_dir)

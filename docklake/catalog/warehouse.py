@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from docklake.catalog import adapter, sql
 from docklake.catalog.registry import named_query
 from docklake.functions.bands import district_bands
-from docklake.functions.calendar import day_part, day_sixth, day_string, month_week, snapshot_name
+from docklake.functions.calendar import current_year_text, day_part, day_sixth, day_string, month_week, snapshot_name
 from docklake.operators import keyed
 from docklake.operators.facts import facts, unique_observations
 from docklake.operators.ordered import RANGE, day_bucket, in_ranges, with_previous
@@ -251,3 +251,14 @@ def truncated_fact(spark, sf_dir):
     truncate(spark, path)
     left = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("left_over"))
     return left.select(F.lit(stored).cast("bigint").alias("stored"), "left_over")
+
+
+@named_query(
+    "numbers_and_year",
+    """SELECT c_custkey AS id, CAST(c_nationkey AS VARCHAR) AS number, strftime(current_date, '%Y') AS year FROM customer""",
+)
+def numbers_and_year(spark, sf_dir):
+    c = F.col
+    return adapter.table(spark, sf_dir, "customer").select(
+        c("c_custkey").alias("id"), c("c_nationkey").cast("string").alias("number"), current_year_text().alias("year")
+    )

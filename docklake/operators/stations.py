@@ -130,8 +130,9 @@ def geocoded(stations: DataFrame, results: DataFrame) -> DataFrame:
 
 
 def apply_synonyms(stations: DataFrame, synonyms: DataFrame, column: str) -> DataFrame:
-    """Replace spellings of ``column`` by (spelling, name); others stay."""
-    names = synonyms.select(F.col("spelling").alias(column), F.col("name").alias("_name"))
+    """Replace spellings of ``column`` by (spelling, name); others stay. Of several names of a spelling the first by
+    alphabet counts, so no station is repeated."""
+    names = synonyms.groupBy(F.col("spelling").alias(column)).agg(F.min("name").alias("_name"))
     merged = stations.join(names, column, "left")
     return merged.withColumn(column, F.coalesce("_name", column)).select(*stations.columns)
 
@@ -153,3 +154,17 @@ def station_dimension(stations: DataFrame, statistics: DataFrame) -> DataFrame:
         "population",
         "size",
     )
+
+
+def built_dimension(
+    sites: DataFrame, answers: DataFrame, candidates: DataFrame, districts: DataFrame, pages: DataFrame
+) -> DataFrame:
+    """The station dimension from its sources, as a refresh of it runs.
+
+    ``sites`` (id, longitude, latitude, height, street, street_number) get district, neighborhood and postal code from
+    geocoder ``answers`` (id, rank, sublocality, neighborhood, formatted), what is missing from nearby places
+    (``candidates``: id, rank, place) and the ``districts`` (district, neighborhoods) they name, and figures from
+    district ``pages`` (district, rank, size_text, population_text). A site keeps its row without any of those.
+    """
+    located = resolve_geography(geocoded(sites, answers), candidates, districts)
+    return station_dimension(located, district_statistics(page_statistics(pages)))

@@ -87,7 +87,12 @@ def message_stream(
     )
     for name, value in options.items():
         reader = reader.option(name.replace("__", "."), value)
-    return reader.load().select(
+    return message_columns(reader.load())
+
+
+def message_columns(messages: DataFrame) -> DataFrame:
+    """What is used of the columns a topic's reader gives: (topic, key, value as bytes, timestamp, ...)."""
+    return messages.select(
         "topic",
         F.col("key").cast("string").alias("key"),
         F.col("value").cast("string").alias("content"),
