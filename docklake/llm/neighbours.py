@@ -104,7 +104,7 @@ class Router:
 def trained_router(vectors: np.ndarray, target: np.ndarray, hidden: int = 128, epochs: int = 40, rate: float = 3e-3) -> Router:
     """Fitted by Adam to ``target``, the share of each part among a vector and its neighbours."""
     rng = np.random.default_rng(7)
-    scale = 1.0 / (np.sqrt((vectors**2).mean()) + 1e-30)
+    scale = 1.0 / (np.sqrt((vectors**2).mean()) + 1e-30) if vectors.size else 1.0
     x = vectors * scale
     width, parts = vectors.shape[1], target.shape[1]
     values = [rng.normal(size=(width, hidden)) * np.sqrt(2 / width), np.zeros(hidden), rng.normal(size=(hidden, parts)) * np.sqrt(1 / hidden), np.zeros(parts)]
