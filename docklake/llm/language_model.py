@@ -3,8 +3,8 @@
 A word's probability is that of its class after the words before, times its own within the class. The frequent words
 form classes by frequency, all others classes by their ending, in which smoothed counts decide. Features are the word
 before, the one before that (a skip), both together and a constant; each has a hashed row of weights. The weights are
-trained by distributed gradient updates: every partition of a round descends on its own documents, and what it changed
-is averaged row by row.
+trained by distributed gradient updates: all tokens are counted by context once, every task of a round descends on its own
+contexts, each weighted by how often it occurs, and what it changed is averaged row by row.
 """
 
 from __future__ import annotations
@@ -21,12 +21,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docklake.llm.common import LOWERED, stored, utf8
+from docklake.session import delete_path, scratch_dir
 
 END = b""  # no word is empty
 CLASS_WORDS, HEAD_CLASSES, TAIL_CLASSES = 64, 32, 64
 CLASSES = HEAD_CLASSES + TAIL_CLASSES
 VOCABULARY = CLASS_WORDS * HEAD_CLASSES
 BEFORE_FIRST = VOCABULARY + TAIL_CLASSES
+CODES = BEFORE_FIRST + 1
 CLASS_ROWS, WORD_ROWS = 1 << 15, 1 << 14
 BLOCK = 64  # rows of weights that travel together
 
@@ -84,14 +86,25 @@ class Model:
             codes[at] = VOCABULARY + tail_class(words[at])
         return numbers, codes
 
-    def log_probabilities(self, codes: np.ndarray, before: np.ndarray, skipped: np.ndarray) -> np.ndarray:
-        """log10 of each code after the codes before it: of words of the vocabulary, or of tail classes."""
+    def log_probabilities(self, codes: np.ndarray, before: np.ndarray, skipped: np.ndarray, seen: np.ndarray | None = None) -> np.ndarray:
+        """log10 of each code after the codes before it: of words of the vocabulary, or of tail classes.
+
+        ``seen`` (``CODES * CODES`` floats, at first NaN) remembers the class normalisers of contexts from call to call.
+        """
         out = np.empty(len(codes))
         for start in range(0, len(codes), 4096):
             part = slice(start, start + 4096)
             code, rows = codes[part], class_rows(before[part], skipped[part])
             cls = classes_of(code)
-            out[part] = _log_softmax(self.by_class, rows, cls)
+            if seen is None:
+                out[part] = _log_softmax(self.by_class, rows, cls)
+            else:
+                context = before[part] * CODES + skipped[part]
+                new, first = np.unique(context[np.isnan(seen[context])], return_index=True)
+                if len(new):
+                    at = np.nonzero(np.isnan(seen[context]))[0][first]
+                    seen[new] = _log_normaliser(_logits(self.by_class, [own[at] for own in rows]))
+                out[part] = sum(self.by_class[own, cls].astype(np.float64) for own in rows) - seen[context]
             head = np.nonzero(code < VOCABULARY)[0]
             rows = word_rows(cls[head], before[part][head], skipped[part][head])
             out[start + head] += _log_softmax(self.by_word, rows, code[head] % CLASS_WORDS)
@@ -130,11 +143,16 @@ def _logits(weights: np.ndarray, rows: list[np.ndarray]) -> np.ndarray:
     return total
 
 
+def _log_normaliser(logits: np.ndarray) -> np.ndarray:
+    most = logits.max(axis=1)
+    logits -= most[:, None]
+    return most + np.log(np.exp(logits, out=logits).sum(axis=1, dtype=np.float64))
+
+
 def _log_softmax(weights: np.ndarray, rows: list[np.ndarray], target: np.ndarray) -> np.ndarray:
     logits = _logits(weights, rows)
-    logits -= logits.max(axis=1, keepdims=True)
     chosen = logits[np.arange(len(target)), target].astype(np.float64)
-    return chosen - np.log(np.exp(logits, out=logits).sum(axis=1, dtype=np.float64))
+    return chosen - _log_normaliser(logits)
 
 
 def _summed(p: np.ndarray, at: np.ndarray, starts: np.ndarray, times: np.ndarray) -> np.ndarray:
@@ -150,25 +168,38 @@ def _summed(p: np.ndarray, at: np.ndarray, starts: np.ndarray, times: np.ndarray
     return total
 
 
-def _descend(weights: np.ndarray, squares: np.ndarray, touched: np.ndarray, rows: list[np.ndarray], target: np.ndarray, rate: float) -> None:
-    """One step of Adagrad, with one rate for each row, on a small batch."""
-    if not len(target):
-        return
-    logits = _logits(weights, rows)
+def _descend(table: Table, rows: list[np.ndarray], owner: np.ndarray, target: np.ndarray, n: np.ndarray, rate: float, prior: float) -> None:
+    """One step on a batch of contexts: context ``owner`` was followed ``n`` times by ``target``.
+
+    The gradient of each weight is divided by the tokens that it has answered for so far in this round, so that frequent and
+    rare contexts take steps of one size; ``prior`` tokens more keep rare ones near where they were.
+    """
+    size, width = len(rows[0]), table.weights.shape[1]
+    logits = _logits(table.weights, rows)
     logits -= logits.max(axis=1, keepdims=True)
     p = np.exp(logits, out=logits)
-    p /= p.sum(axis=1, keepdims=True)
-    p[np.arange(len(target)), target] -= 1.0
+    times = np.bincount(owner, n, size).astype(np.float32)
+    p *= (times / p.sum(axis=1))[:, None]
+    found = np.bincount(owner * width + target, n, size * width).astype(np.float32).reshape(size, width)
+    both = np.concatenate([p - found, np.maximum(p, found)], axis=1)
     flat = np.concatenate(rows)
-    order = np.argsort(flat.astype(np.uint16) if len(weights) <= 1 << 16 else flat, kind="stable")  # 16 bits sort by radix
+    order = np.argsort(flat.astype(np.uint16) if len(table.weights) <= 1 << 16 else flat, kind="stable")  # 16 bits sort by radix
     flat = flat[order]
     starts = np.nonzero(np.diff(flat, prepend=-1))[0]
-    own, times = flat[starts], np.diff(np.append(starts, len(flat)))
-    slope = _summed(p, order % len(target), starts, times)
-    squares[own] += np.einsum("ij,ij->i", slope, slope) / slope.shape[1]
-    slope *= (rate / np.sqrt(squares[own] + 1e-2)).astype(np.float32)[:, None]
-    weights[own] -= slope
-    touched[own] += times
+    own, lengths = flat[starts], np.diff(np.append(starts, len(flat)))
+    total = _summed(both, order % size, starts, lengths)
+    table.answered[own] += total[:, width:]
+    table.weights[own] -= np.float32(rate) * total[:, :width] / (table.answered[own] + np.float32(prior))
+    table.touched[own] += np.add.reduceat(times[order % size], starts)
+
+
+@dataclass
+class Table:
+    """Weights in training."""
+
+    weights: np.ndarray
+    answered: np.ndarray  # tokens each weight expected or got in this round, the more of both batch by batch
+    touched: np.ndarray  # tokens of each row
 
 
 def _context(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -176,39 +207,92 @@ def _context(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([edge, codes[:-1]]), np.concatenate([edge, edge, codes[:-2]])[: len(codes)]
 
 
-def _updates(held: Broadcast, rate: float, batch_tokens: int):
-    """Changes of the weights after a descent on this partition's texts, in blocks of rows."""
+def _triples(held: Broadcast):
+    """How often each code follows each context in this partition, 4 M tokens at a time."""
 
-    def descend(batches):
-        model = Model(*held.value)
-        weights = model.by_class.copy(), model.by_word.copy()
-        squares = [np.zeros(len(w), np.float32) for w in weights]
-        touched = [np.zeros(len(w), np.float32) for w in weights]
-        mixed = np.random.default_rng(TaskContext.get().partitionId())
+    def rows(keys: list[np.ndarray]):
+        own, times = np.unique(np.concatenate(keys), return_counts=True)
+        for start in range(0, len(own), 1 << 16):
+            context, code = np.divmod(own[start : start + (1 << 16)], CODES)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(context.astype(np.int32)), pa.array(code.astype(np.int32)), pa.array(times[start : start + (1 << 16)])],
+                names=["context", "code", "n"],
+            )
+
+    def count(batches):
+        model, keys, size = Model(*held.value), [], 0
         for batch in batches:
             for first in range(0, batch.num_rows, 64):
                 coded = [model.encoded(words_of(text))[1] for text in utf8(batch.column(0).slice(first, 64))]
                 contexts = [_context(codes) for codes in coded]
-                order = mixed.permutation(sum(map(len, coded)))  # neighbours in a batch are of different texts
-                codes = np.concatenate(coded)[order]
-                before, skipped = (np.concatenate(x)[order] for x in zip(*contexts, strict=True))
-                classes, head = classes_of(codes), np.nonzero(codes < VOCABULARY)[0]
-                own, own_head = class_rows(before, skipped), word_rows(classes[head], before[head], skipped[head])
-                for start in range(0, len(codes), batch_tokens):
-                    part = slice(start, start + batch_tokens)
-                    _descend(weights[0], squares[0], touched[0], [rows[part] for rows in own], classes[part], rate)
-                    part = slice(*np.searchsorted(head, (start, start + batch_tokens)))
-                    _descend(weights[1], squares[1], touched[1], [rows[part] for rows in own_head], codes[head[part]] % CLASS_WORDS, rate)
-        for table, (now, old) in enumerate(zip(weights, (model.by_class, model.by_word), strict=True)):
-            used = np.nonzero(touched[table].reshape(-1, BLOCK).any(axis=1))[0]
-            change = (now - old).astype(np.float16).reshape(-1, BLOCK, now.shape[1])
+                before, skipped = (np.concatenate(x) for x in zip(*contexts, strict=True))
+                keys.append((before * CODES + skipped) * CODES + np.concatenate(coded))
+                size += len(keys[-1])
+                if size > 1 << 22:
+                    yield from rows(keys)
+                    keys, size = [], 0
+        if keys:
+            yield from rows(keys)
+
+    return count
+
+
+def _chunks(batches, size: int = 1 << 20):
+    """Mixed and grouped ``context, code, n``: contexts in an order unlike that of their numbers, codes ascending in each."""
+
+    def grouped(held):
+        context, code, n = (np.concatenate([part[k] for part in held]) for k in range(3))
+        order = np.argsort((context * 0x9E3779B1 % (1 << 23)) * CODES + code)  # an odd factor keeps numbers below 2 ** 23 apart
+        return context[order], code[order], n[order]
+
+    held, rows = [], 0
+    for batch in batches:
+        held.append([batch.column(k).to_numpy().astype(np.int64) for k in range(3)])
+        rows += batch.num_rows
+        if rows >= size:
+            yield grouped(held)
+            held, rows = [], 0
+    if rows:
+        yield grouped(held)
+
+
+def _steps(group: np.ndarray, batch: int):
+    """Batches of ``batch`` runs of equal values: the entries, the first one of each run, and each entry's run in the batch."""
+    starts = np.nonzero(np.diff(group, prepend=-1))[0]
+    ends = np.append(starts, len(group))
+    run = np.repeat(np.arange(len(starts)), np.diff(ends))
+    for first in range(0, len(starts), batch):
+        own = starts[first : first + batch]
+        part = slice(own[0], ends[min(first + batch, len(starts))])
+        yield part, own, run[part] - first
+
+
+def _updates(held: Broadcast, rate: float, prior: float, batch_tokens: int):
+    """Changes of the weights after a descent on this task's contexts, in blocks of rows."""
+
+    def descend(batches):
+        model = Model(*held.value)
+        tables = [Table(w.copy(), np.zeros_like(w), np.zeros(len(w), np.float32)) for w in (model.by_class, model.by_word)]
+        for context, code, n in _chunks(batches):
+            classes = classes_of(code)
+            for part, first, owner in _steps(context, batch_tokens):
+                _descend(tables[0], class_rows(*np.divmod(context[first], CODES)), owner, classes[part], n[part], rate, prior)
+            head = code < VOCABULARY
+            context, code, classes, n = context[head], code[head], classes[head], n[head]
+            for part, first, owner in _steps(context * CLASSES + classes, batch_tokens):
+                rows = word_rows(classes[first], *np.divmod(context[first], CODES))
+                _descend(tables[1], rows, owner, code[part] % CLASS_WORDS, n[part], rate, prior)
+        for number, (table, old) in enumerate(zip(tables, (model.by_class, model.by_word), strict=True)):
+            touched = table.touched.reshape(-1, BLOCK)
+            used = np.nonzero(touched.any(axis=1))[0]
+            change = (table.weights - old).astype(np.float16).reshape(-1, BLOCK, old.shape[1])
             for start in range(0, len(used), 16):
                 blocks = used[start : start + 16]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.full(len(blocks), table, np.int32)), pa.array(blocks.astype(np.int32)),
+                        pa.array(np.full(len(blocks), number, np.int32)), pa.array(blocks.astype(np.int32)),
                         pa.array([change[b].tobytes() for b in blocks], pa.binary()),
-                        pa.array([touched[table].reshape(-1, BLOCK)[b].tobytes() for b in blocks], pa.binary()),
+                        pa.array([touched[b].tobytes() for b in blocks], pa.binary()),
                     ],
                     names=["table", "block", "change", "touched"],
                 )
@@ -275,32 +359,43 @@ def _started(counts: DataFrame, least: int) -> Model:
     )
 
 
-def trained_on(docs: DataFrame, counts: DataFrame, known_words: int = 1 << 17, rounds: int = 6, share: int = 6, rate: float = 0.06, batch_tokens: int = 256) -> Model:
+def trained_on(
+    docs: DataFrame, counts: DataFrame, known_words: int = 1 << 17, rounds: int = 4, share: int = 1, rate: float = 0.5, prior: float = 1.0,
+    batch_tokens: int = 512,
+) -> Model:
     """The model of ``docs(doc_id, text)``, whose ``counts`` cover all of them.
 
-    Each of ``rounds`` gradient rounds descends on 1 of ``share`` parts of the documents, by a hash of the id, in turn. There
-    are as many rounds as parts at least, so every document is learned from. Rounds read ``docs`` itself, no copy. A partition's change of the weights comes in blocks of 64 rows, and
-    the driver gets the averaged blocks: as many as the model has, whatever the number of documents.
+    The tokens of all documents are counted by (context, code) in one pass and one shuffle of combined counts. Each of
+    ``rounds`` gradient rounds then descends on 1 of ``share`` parts of the contexts, by a hash, in turn; with the default, on
+    all of them. There are as many rounds as parts at least, so every document is learned from. A step takes the tokens of
+    ``batch_tokens`` distinct contexts. A round has as many tasks as the cluster has cores; what they send, and the one copy
+    of the weights that the driver gets, don't grow with the documents.
     """
     if rounds < share:
         raise ValueError(f"{rounds} rounds leave out {share - rounds} of {share} parts of the documents")
+    spark = docs.sparkSession
+    context, path = spark.sparkContext, scratch_dir(spark, "triples")
     model = _started(counts, _least_count(counts, known_words))
-    part = F.pmod(F.xxhash64("doc_id"), F.lit(share))
-    context = docs.sparkSession.sparkContext
-    tasks = max(docs.rdd.getNumPartitions() // share, context.defaultParallelism)  # each then has about a partition's texts
-    for number in range(rounds):
+    part = F.pmod(F.xxhash64("context"), F.lit(share))
+    for number in range(-1, rounds):
         held = context.broadcast(tuple(getattr(model, field.name) for field in fields(model)))  # plain values need no package
-        updates = docs.where(part == number % share).select("text").coalesce(tasks).mapInArrow(
-            _updates(held, rate, batch_tokens), "table int, block int, change binary, touched binary"
-        )
-        averaged = updates.groupBy("table", "block").applyInPandas(_averaged, "table int, block int, change binary").collect()
-        tables = model.by_class.copy(), model.by_word.copy()
-        for row in averaged:
-            width = tables[row["table"]].shape[1]
-            at = slice(row["block"] * BLOCK, (row["block"] + 1) * BLOCK)
-            tables[row["table"]][at] += np.frombuffer(row["change"], np.float32).reshape(BLOCK, width)
-        model = replace(model, by_class=tables[0], by_word=tables[1])
+        if number < 0:
+            triples = docs.select("text").mapInArrow(_triples(held), "context int, code int, n long")
+            triples.repartition("context").groupBy("context", "code").agg(F.sum("n").alias("n")).write.parquet(path)
+        else:
+            own = spark.read.schema("context int, code int, n long").parquet(path).where(part == number % share)
+            updates = own.coalesce(context.defaultParallelism).mapInArrow(
+                _updates(held, rate, prior, batch_tokens), "table int, block int, change binary, touched binary"
+            )
+            averaged = updates.groupBy("table", "block").applyInPandas(_averaged, "table int, block int, change binary").collect()
+            tables = model.by_class.copy(), model.by_word.copy()
+            for row in averaged:
+                width = tables[row["table"]].shape[1]
+                at = slice(row["block"] * BLOCK, (row["block"] + 1) * BLOCK)
+                tables[row["table"]][at] += np.frombuffer(row["change"], np.float32).reshape(BLOCK, width)
+            model = replace(model, by_class=tables[0], by_word=tables[1])
         held.destroy()  # else each round leaves a copy of the weights on the disk of every executor
+    delete_path(spark, path)
     return model
 
 
@@ -313,18 +408,19 @@ def _scored(model: Model, total: float):
 
     def score(batches):
         number = TaskContext.get().partitionId() << 33
+        seen = np.full(CODES * CODES, np.nan, np.float32)
         for batch in batches:
             for start in range(0, batch.num_rows, 64):
                 part = batch.slice(start, 64)
                 texts = [words_of(text) for text in utf8(part.column("text"))]
                 rows = np.arange(number, number + len(texts))
                 number += len(texts)
-                yield from _scored_texts(model, total, rows, part, texts)
+                yield from _scored_texts(model, total, rows, part, texts, seen)
 
     return score
 
 
-def _scored_texts(model: Model, total: float, rows: np.ndarray, part: pa.RecordBatch, texts: list[list[bytes]]):
+def _scored_texts(model: Model, total: float, rows: np.ndarray, part: pa.RecordBatch, texts: list[list[bytes]], seen: np.ndarray):
     encoded = [model.encoded(words) for words in texts]
     contexts = [_context(codes) for _, codes in encoded]
     sizes = np.array([len(codes) for _, codes in encoded])
@@ -333,7 +429,7 @@ def _scored_texts(model: Model, total: float, rows: np.ndarray, part: pa.RecordB
     owner = np.repeat(np.arange(len(texts)), sizes)
     held = numbers >= 0
     count = np.where(held, model.log_count[numbers], 0.0)
-    log_p = model.log_probabilities(codes, before, skipped)
+    log_p = model.log_probabilities(codes, before, skipped, seen)
     rare = codes >= VOCABULARY
     log_p[rare] += count[rare] - model.class_total[codes[rare] - VOCABULARY]
     sums = lambda values: np.bincount(owner, values, len(texts))
