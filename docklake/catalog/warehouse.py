@@ -14,6 +14,7 @@ from docklake.operators.ordered import RANGE, day_bucket, in_ranges, with_previo
 from docklake.plans.star import big_table, star_join, time_dimension
 from docklake.session import scratch_dir
 from docklake.schemas import FACT_COLUMNS
+from docklake.sinks import buckets
 from docklake.sinks.files import truncate, upsert, write_big_table
 
 CUT = "2024-01-16"
@@ -243,6 +244,35 @@ def big_table_stored(spark, sf_dir):
     return stored.agg(F.count(F.lit(1)).alias("facts"), F.sum("lent").alias("lent"))
 
 
+def _in_buckets(spark, sf_dir):
+    """Facts and the stations they look up, in the same buckets: one for each 5,000 facts, so that small tables have several too."""
+    path = scratch_dir(spark, "buckets")
+    name = path.rpartition("-")[2]
+    rows = adapter.fact_rows(spark, sf_dir)
+    plan = buckets.planned(rows, "station", path, 5_000)
+    stations = adapter.customer_stations(spark, sf_dir).withColumnRenamed("id", "station")
+    return plan, plan.write(rows, f"facts_{name}", "timetag"), plan.write_lookup(stations, f"stations_{name}")
+
+
+@named_query("big_table_bucketed", f"WITH {sql.BIG} SELECT * FROM big")
+def big_table_bucketed(spark, sf_dir):
+    _, facts_table, stations = _in_buckets(spark, sf_dir)
+    return big_table(facts_table, stations, on=buckets.SLOT)
+
+
+@named_query(
+    "busiest_station_bucketed",
+    f"""WITH {sql.FACT} SELECT * FROM fact
+    WHERE station = (SELECT station FROM fact GROUP BY station ORDER BY count(*) DESC, station LIMIT 1)""",
+)
+def busiest_station_bucketed(spark, sf_dir):
+    """All facts of the station that has most, read from its buckets alone."""
+    plan, facts_table, _ = _in_buckets(spark, sf_dir)
+    counts = facts_table.groupBy("station").agg(F.count(F.lit(1)).alias("n"))
+    busiest = counts.orderBy(F.desc("n"), "station").first()
+    return plan.rows_of(facts_table, busiest["station"] if busiest else -1).select(*FACT_COLUMNS)
+
+
 @named_query("truncated_fact", f"WITH {sql.FACT} SELECT count(*) AS stored, CAST(0 AS BIGINT) AS left_over FROM fact")
 def truncated_fact(spark, sf_dir):
     path = scratch_dir(spark, "facts")

@@ -23,13 +23,15 @@ def _dimension(stations: DataFrame) -> DataFrame:
 
 
 def big_table(
-    facts: DataFrame, stations: DataFrame, week_rule: str = "us", label_mode: str = "compatible"
+    facts: DataFrame, stations: DataFrame, week_rule: str = "us", label_mode: str = "compatible", on: str = "station"
 ) -> DataFrame:
     """The wide table of facts and a station dimension with unique ids. Facts of unknown stations
     are left out; their counts have already moved on. The join carries no broadcast hint: Spark
-    broadcasts the dimension while its size allows and otherwise splits busy stations at run time."""
+    broadcasts the dimension while its size allows and otherwise splits busy stations at run time. Tables
+    in the same buckets are joined ``on`` their slots instead, without moving the facts."""
     day = F.col("day") if "day" in facts.columns else None
-    wide = facts.join(_dimension(stations), "station").withColumns(
+    dimension = _dimension(stations) if on == "station" else stations.select(on, *DIM_FIELDS)
+    wide = facts.join(dimension, on).withColumns(
         {
             "traffic": F.col("lent") + F.col("returned"),
             **district_bands(F.col("pop_density"), F.col("population"), F.col("size"), label_mode),
