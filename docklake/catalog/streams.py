@@ -16,7 +16,7 @@ from docklake.schemas import BIG_TABLE_COLUMNS, FACT_COLUMNS
 from docklake.session import scratch_dir
 from docklake.sources import xml
 from docklake.sources.feeds import readable
-from docklake.streaming import jobs, late
+from docklake.streaming import jobs, late, stateful
 
 PARTS = 3
 
@@ -344,3 +344,25 @@ def stream_window_arrival(spark, sf_dir):
 
     folder = run_in_slices(spark, obs, "arrival", job)
     return spark.read.parquet(f"{folder}/out").drop("batch_id")
+
+
+@named_query("stream_stateful_facts", f"WITH {sql.FACT} SELECT * FROM fact")
+def stream_stateful_facts(spark, sf_dir):
+    """Facts by state per station."""
+    def job(events, folder):
+        return _parquet(stateful.stateful_facts(adapter.observations_of(events), adapter.TIE), folder)
+
+    with stateful.state_on_disk(spark):
+        folder = run_in_slices(spark, _events(spark, sf_dir), "event_id", job)
+    return spark.read.parquet(f"{folder}/out").select(*FACT_COLUMNS)
+
+
+@named_query("stream_stateful_monotone", NEWER)
+def stream_stateful_monotone(spark, sf_dir):
+    """Newer snapshots by state per datasource."""
+    def job(raw, folder):
+        return _parquet(stateful.stateful_monotone(raw), folder)
+
+    with stateful.state_on_disk(spark):
+        folder = run_in_slices(spark, adapter.order_snapshots(spark, sf_dir), "arrival", job)
+    return spark.read.parquet(f"{folder}/out").select("datasource", "timestamp_ms", "arrival")

@@ -50,7 +50,8 @@ def test_stream_equals_batch(spark, folder, kind):
             return jobs.fact_batches(stream, [jobs.batch_directory(f"{folder}/out")], f"{folder}/state")
         return stateful.stateful_facts(stream).writeStream.format("parquet").option("path", f"{folder}/out")
 
-    feed_batches(spark, folder, OBS, IN_ORDER, job)
+    with stateful.state_on_disk(spark):
+        feed_batches(spark, folder, OBS, IN_ORDER, job)
     whole = spark.createDataFrame([o for batch in IN_ORDER for o in batch], OBS)
     assert moves(spark.read.parquet(f"{folder}/out")) == moves(facts(whole))
 
@@ -104,7 +105,8 @@ def test_stream_of_newer_snapshots(spark, folder, kind):
             return jobs.monotone_batches(stream, [jobs.batch_directory(f"{folder}/out")], f"{folder}/state", [])
         return stateful.stateful_monotone(stream).writeStream.format("parquet").option("path", f"{folder}/out")
 
-    feed_batches(spark, folder, SNAPSHOT, ARRIVALS, job)
+    with stateful.state_on_disk(spark):
+        feed_batches(spark, folder, SNAPSHOT, ARRIVALS, job)
     got = spark.read.parquet(f"{folder}/out").select("datasource", "timestamp_ms", "arrival")
     assert rows(got.orderBy("arrival"), "in order") == [("a", 5, 0), ("b", 1, 2), ("a", 9, 5), ("b", 2, 6), ("a", 10, 8)]
 
