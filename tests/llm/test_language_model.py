@@ -4,6 +4,7 @@ from collections import Counter
 from dataclasses import fields
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import documents
 
@@ -85,3 +86,63 @@ def test_broadcast_values_need_no_package():
     model = lm.Model({b"": 0}, *(np.zeros(1) for _ in range(5)))
     sent = tuple(getattr(model, field.name) for field in fields(model))
     assert b"docklake" not in pickle.dumps(sent) and lm.Model(*pickle.loads(pickle.dumps(sent))).number == {b"": 0}
+
+
+def _trained(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, " ".join(f"w{int(x)}" for x in rng.zipf(1.3, 60) % 3000)) for i in range(150)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    return rows, lm.trained_on(docs, lm.word_counts(docs), known_words=2500, rounds=1)
+
+
+def test_scores_by_a_plain_softmax(spark):
+    """Every probability anew from the weights, one token at a time; remembered normalisers don't change it."""
+    rows, model = _trained(spark)
+    seen = np.full(lm.CODES * lm.CODES, np.nan, np.float32)
+    for _, text in rows[:10]:
+        _, codes = model.encoded(lm.words_of(text.encode()))
+        before, skipped = lm._context(codes)
+        plain = []
+        for code, b, s in zip(codes, before, skipped, strict=True):
+            cls = int(lm.classes_of(np.array([code]))[0])
+            logits = sum(model.by_class[row[0]].astype(float) for row in lm.class_rows(np.array([b]), np.array([s])))
+            p = np.exp(logits[cls]) / np.exp(logits).sum()
+            if code < lm.VOCABULARY:
+                own = sum(model.by_word[row[0]].astype(float) for row in lm.word_rows(np.array([cls]), np.array([b]), np.array([s])))
+                p *= np.exp(own[code % lm.CLASS_WORDS]) / np.exp(own).sum()
+            plain.append(np.log10(p))
+        assert np.allclose(model.log_probabilities(codes, before, skipped), plain, atol=1e-5)
+        for _ in range(2):
+            assert np.allclose(model.log_probabilities(codes, before, skipped, seen), plain, atol=1e-5)
+
+
+def test_contexts_are_counted_whole(spark):
+    """Triples of all texts against a plain count, and every one of them in a step, once."""
+    rows, model = _trained(spark)
+    want = Counter()
+    for _, text in rows:
+        codes = model.encoded(lm.words_of(text.encode()))[1]
+        want.update(zip((int(x) for x in lm._context(codes)[0]), (int(x) for x in lm._context(codes)[1]), codes.tolist(), strict=True))
+
+    class Held:
+        value = tuple(getattr(model, field.name) for field in fields(model))
+
+    texts = pa.RecordBatch.from_arrays([pa.array([text for _, text in rows])], names=["text"])
+    batches = list(lm._triples(Held)([texts]))
+    found = Counter()
+    for context, code, n in lm._chunks(batches):
+        for part, first, owner in lm._steps(context, 64):
+            assert np.array_equal(context[first][owner], context[part]) and len(first) <= 64
+            for c, word, times in zip(context[part].tolist(), code[part].tolist(), n[part].tolist(), strict=True):
+                found[(*divmod(c, lm.CODES), word)] += times
+    assert found == want
+
+
+def test_a_step_follows_the_gradient():
+    """One context, followed 6 times by 0 and 2 times by 2, against the formula."""
+    table = lm.Table(np.zeros((4, 3), np.float32), np.zeros((4, 3), np.float32), np.zeros(4, np.float32))
+    lm._descend(table, [np.array([1]), np.array([3])], np.array([0, 0]), np.array([0, 2]), np.array([6, 2]), 0.5, 1.0)
+    expected, seen = np.full(3, 8 / 3), np.array([6.0, 0.0, 2.0])
+    step = -0.5 * (expected - seen) / (np.maximum(expected, seen) + 1.0)
+    assert np.allclose(table.weights[[1, 3]], step, atol=1e-6) and not table.weights[[0, 2]].any()
+    assert table.touched.tolist() == [0, 8, 0, 8]
