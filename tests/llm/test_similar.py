@@ -110,7 +110,7 @@ def test_plans_keep_the_chance_and_cost_less_for_fewer(spark):
 def test_fingerprint_by_counting_bits():
     hashes = similar.shingles(b"Some words of a TEXT and some words of a text again", 5)
     mask, want = 2**64 - 1, bytearray()
-    for block in range(similar.BLOCKS):
+    for block in range(similar.WORDS):
         value = 0
         mixed = []
         for h in hashes.tolist():
