@@ -125,6 +125,19 @@ def test_fingerprint_by_counting_bits():
     assert len(hashes) == 7
 
 
+@pytest.mark.parametrize("size", [1, 7, 50])
+def test_stretches_change_nothing(monkeypatch, size):
+    texts = [b"", b" ", b"one", b"a  b\tc\nd E", b" A b c d e f \x0b g h ", b"word " * 30, " ".join(f"w{i}é" for i in range(99)).encode()]
+    want = [(similar.shingles(t, 5).tolist(), similar.content(t)) for t in texts]
+    monkeypatch.setattr(similar, "STRETCH", size)
+    assert [(similar.shingles(t, 5).tolist()) for t in texts] == [w[0] for w in want]
+    for text, (hashes, _) in zip(texts, want, strict=True):
+        words = text.lower().split()
+        grams = {b" ".join(words[i : i + 5]) for i in range(max(len(words) - 4, 1))} if words else set()
+        assert len(hashes) == len(grams)
+        assert similar.content(text) == similar.content(b" ".join(words))
+
+
 def test_odd_rows(spark):
     docs = documents(spark)
     kept = similar.one_of_each(docs)
