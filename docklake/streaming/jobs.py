@@ -22,6 +22,7 @@ from docklake.operators.feed import monotone
 from docklake.operators.keyed import latest_per_key
 from docklake.operators.ordered import Bucket, span_bucket, with_previous
 from docklake.plans.star import big_table, time_dimension
+from docklake.session import delete_path, scratch_dir
 from docklake.sinks.files import merge_newest, upsert
 from docklake.sources.feeds import readable
 from docklake.streaming.carried import CarriedTable
@@ -94,20 +95,23 @@ def stateful_batches(
 ) -> DataStreamWriter:
     """Run ``update(rows, before) -> (output, after)`` on every micro-batch. Both states are keyed
     frames of ``state_schema``, kept below ``state_path``; ``after`` is complete, so a key stays
-    until the update leaves it out. All of it is DataFrame work, spread over the cluster."""
+    until the update leaves it out. All of it is DataFrame work, spread over the cluster. What a
+    micro-batch holds is stored for its own time, not cached: a cached partition is as large as a whole file of well
+    compressed documents unpacked, and a stored table is read by columns and in bounded pieces."""
     carried = CarriedTable(state_path, state_schema)
 
     def process(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        rows = batch.persist()
+        spark, held = batch.sparkSession, scratch_dir(batch.sparkSession, "micro-batch")
         try:
-            output, after = update(rows, carried.before(batch.sparkSession, batch_id))
+            batch.write.parquet(held)
+            output, after = update(spark.read.schema(batch.schema).parquet(held), carried.before(spark, batch_id))
             for sink in sinks:
                 sink(output, batch_id)
             carried.store(after, batch_id)
         finally:
-            rows.unpersist()
+            delete_path(spark, held)
 
     return stream.writeStream.foreachBatch(process)
 

@@ -225,3 +225,19 @@ def test_a_repeated_batch_leaves_the_same_rows(spark, folder):
     for _ in range(2):
         sink(spark.createDataFrame([(1,)], "k int"), 0)
     assert rows(spark.read.parquet(f"{folder}/out").select("k")) == [(1,)]
+
+
+def test_a_micro_batch_is_stored_for_its_own_time_and_not_cached(spark, folder, monkeypatch):
+    held, seen = f"{folder}/held", []
+    monkeypatch.setattr(jobs, "scratch_dir", lambda _spark, _label: held)
+
+    def update(rows_in, before):
+        seen.append((rows_in.storageLevel.useMemory, all(held in file for file in rows_in.inputFiles())))
+        return rows_in, before
+
+    def job(stream):
+        return jobs.stateful_batches(stream, update, f"{folder}/state", "datasource string", [jobs.batch_directory(f"{folder}/out")])
+
+    feed_batches(spark, folder, SNAPSHOT, ARRIVALS, job)
+    assert seen and set(seen) == {(False, True)} and not Path(held).exists()
+    assert spark.read.parquet(f"{folder}/out").count() == sum(map(len, ARRIVALS))
