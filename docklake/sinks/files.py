@@ -112,6 +112,41 @@ def upsert(
     delete_path(spark, marker)
 
 
+def insert_new(
+    new: DataFrame, path: str, keys: Sequence[str], staging: str, partition_by: Sequence[str] = (), merge_id: str | int | None = None
+) -> None:
+    """``upsert`` with the same result for rows that seldom change once they are stored.
+
+    Of the stored rows only keys and a hash of the rest are compared. Rows of unknown keys are appended, rows stored as they
+    are stay where they are; only a key that comes with other values has its partition rewritten. A job that is lost on the
+    way and run again adds what is missing, and running it twice changes nothing. An empty text in a partition
+    column is null, as its folder gives it back.
+    """
+    spark = new.sparkSession
+    new = new.withColumns({c: _partition_value(new, c) for c in partition_by})
+    if merge_id is not None and any(path_exists(spark, f"{staging}/{merge_id}{end}") for end in ("", ".done")):
+        upsert(new, path, keys, staging, partition_by=partition_by, merge_id=merge_id)  # goes on with one that was lost
+    rest = [c for c in new.columns if c not in keys]
+    digest = lambda row: F.xxhash64(*(x for c in rest for x in (row(c), row(c).isNull())))
+    both = new.withColumn("_stored", F.lit(None).cast("bigint"))
+    if path_exists(spark, path):
+        existing = touched(spark.read.schema(new.schema).parquet(path), new, partition_by)
+        both = both.unionByName(existing.select(*keys, digest(F.col).alias("_stored")), allowMissingColumns=True)
+    last = F.max(F.when(F.col("_stored").isNull(), F.struct(*rest))).alias("_row")
+    rows = both.groupBy(*keys).agg(last, F.max("_stored").alias("_stored")).where(F.col("_row").isNotNull())
+    other = F.col("_stored").isNull() | (F.col("_stored") != digest(lambda c: F.col("_row")[c]))
+    work = f"{staging}/{uuid.uuid4().hex}"
+    rows.where(other).select(*keys, "_row.*", "_stored").write.parquet(work)
+    found = spark.read.schema(both.schema).parquet(work)
+    changed = found.where(F.col("_stored").isNotNull()).drop("_stored")
+    if not changed.isEmpty():
+        upsert(changed, path, keys, staging, partition_by=partition_by, merge_id=merge_id)
+    missing = found.where(F.col("_stored").isNull()).drop("_stored")
+    if not (missing.isEmpty() and path_exists(spark, path)):
+        missing.hint("rebalance", *partition_by).write.mode("append").partitionBy(*partition_by).parquet(path)
+    delete_path(spark, work)
+
+
 def _mark(spark: SparkSession, marker: str) -> None:
     spark.range(0).write.mode("overwrite").parquet(marker)
 

@@ -23,7 +23,7 @@ from docklake.operators.keyed import latest_per_key
 from docklake.operators.ordered import Bucket, span_bucket, with_previous
 from docklake.plans.star import big_table, time_dimension
 from docklake.session import delete_path, scratch_dir
-from docklake.sinks.files import merge_newest, upsert
+from docklake.sinks.files import insert_new, merge_newest, upsert
 from docklake.sources.feeds import readable
 from docklake.streaming.carried import CarriedTable
 
@@ -78,11 +78,11 @@ RAW_KEY = ("datasource", "timestamp_ms", "key")
 
 
 def raw_store_sink(path: str, staging: str) -> BatchSink:
-    """Raw snapshots kept once by (datasource, time, key), below datasource and UTC day."""
+    """Raw snapshots kept once by (datasource, time, key), below datasource and UTC day. Stored ones are not moved."""
 
     def write(rows: DataFrame, batch_id: int) -> None:
         dated = readable(rows).select(*RAW_KEY, "content", day_string(utc_from_millis(F.col("timestamp_ms"))).alias("day"))
-        upsert(dated, path, RAW_KEY, staging, partition_by=["datasource", "day"], merge_id=batch_id)
+        insert_new(dated, path, RAW_KEY, staging, partition_by=["datasource", "day"], merge_id=batch_id)
 
     return write
 

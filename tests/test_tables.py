@@ -216,3 +216,47 @@ def test_synonyms(spark):
     sites = spark.createDataFrame([(1, "Sants - Montjuïc"), (2, "Gràcia"), (3, None)], "id int, district string")
     names = spark.createDataFrame([("Sants - Montjuïc", "Sants-Montjuïc")], "spelling string, name string")
     assert rows(stations.apply_synonyms(sites, names, "district")) == [(1, "Sants-Montjuïc"), (2, "Gràcia"), (3, None)]
+
+
+def test_insert_new_gives_what_upsert_gives(spark, folder):
+    def stored(put, name, **how):
+        found = []
+        for data in ([(1, "a", 1), (2, "b", 1), (5, None, 1)], [(2, "b", 2), (3, "b", 2), (3, "b", 1), (5, None, 1)], [(2, "b", 2), (4, None, 3), (5, "c", 1)]):
+            for _ in range(2):
+                put(frame(spark, data), f"{folder}/{name}", ["k", "part"], f"{folder}/s-{name}", partition_by=["part"], merge_id=len(found))
+                found.append(rows(spark.read.schema("k int, part string, v int").parquet(f"{folder}/{name}")))
+        return found
+
+    assert stored(files.insert_new, "new") == stored(files.upsert, "old")
+
+
+def test_insert_new_moves_no_stored_row(spark, folder, tmp_path):
+    """Rows that are stored stay in their files; the new ones of their partition come beside them."""
+    path = f"{folder}/t"
+
+    def put(data, **how):
+        files.insert_new(frame(spark, data), path, ["k"], f"{folder}/s", partition_by=["part"], **how)
+        return {p.name for p in (tmp_path / "t").rglob("*.parquet")}
+
+    first = put([(1, "a", 1), (2, "b", 1)])
+    assert put([(1, "a", 1), (2, "b", 1)]) == first
+    assert first < put([(1, "a", 1), (3, "a", 1)])
+    assert rows(spark.read.parquet(path).select("k", "v")) == [(1, 1), (2, 1), (3, 1)]
+    assert not list((tmp_path / "s").iterdir())
+
+
+def test_insert_new_finishes_a_lost_merge(spark, folder, monkeypatch):
+    path, staging = f"{folder}/t", f"{folder}/s"
+    files.insert_new(frame(spark, [(1, "a", 1), (2, "a", 1)]), path, ["k"], staging, partition_by=["part"])
+    new = frame(spark, [(2, "a", 2), (3, "b", 1)])
+
+    def die(_spark, _path):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(files, "_mark", die)
+    with pytest.raises(RuntimeError):
+        files.insert_new(new, path, ["k"], staging, partition_by=["part"], merge_id=3)
+    monkeypatch.undo()
+    spark.createDataFrame([], "k int, v int, part string").write.mode("overwrite").partitionBy("part").parquet(path)
+    files.insert_new(new, path, ["k"], staging, partition_by=["part"], merge_id=3)
+    assert rows(spark.read.parquet(path).select("k", "part", "v")) == [(1, "a", 1), (2, "a", 2), (3, "b", 1)]
