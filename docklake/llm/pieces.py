@@ -13,7 +13,7 @@ import heapq
 import math
 import re
 import zlib
-from itertools import chain
+from itertools import chain, filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +25,7 @@ SPACE = "▁"
 # No piece crosses from letters to others, or from others to a space.
 CHUNK = re.compile(r" *(?:[^\W\d_]+|(?:[^\w ]|[\d_])+)| +")
 HASH_BASE = 0x9E3779B97F4A7C15
-KEPT_NODES = 900_000  # of the lattices of words that are remembered
+KEPT_NODES = 1_650_000  # of the lattices of words that are remembered
 
 
 class Pieces:
@@ -39,7 +39,7 @@ class Pieces:
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         self.byte: dict[int, int] = {}
-        self.text: list[str | bytes] = []
+        self.text: list[bytes] = []
         known: dict[str, int] = {}
         for number in range(model.vocab_size()):
             piece = model.id_to_piece(number)
@@ -47,10 +47,10 @@ class Pieces:
                 self.byte[int(piece[3:5], 16)] = number
                 self.text.append(bytes([int(piece[3:5], 16)]))
             elif model.is_control(number) or model.is_unknown(number):
-                self.text.append("")
+                self.text.append(b"")
             else:
                 known[piece] = number
-                self.text.append(piece)
+                self.text.append(piece.encode())
         weight = 1.0 / (np.arange(1, len(known) + 2) + 2.7)
         log_p = np.log(weight / weight.sum())
         self.log_byte = float(log_p[-1])  # of one byte of a character that is no piece
@@ -112,8 +112,11 @@ class Pieces:
         behind = np.zeros(len(code) + 1)  # log of the mass of all paths from a node to the end of its chunk
         left = end_of - np.arange(len(code))
         ends = stop == end_of[start]
-        order = np.lexsort((start, left[start]))
-        bounds = np.searchsorted(left[start][order], np.arange(1, int(left.max(initial=0)) + 2))
+        nodes = np.argsort(left * len(code) + np.arange(len(code)))
+        rank = np.empty(len(code), np.int64)
+        rank[nodes] = np.arange(len(code))
+        order = np.argsort(rank[start] * len(start) + np.arange(len(start)))
+        bounds = np.searchsorted(left[start[order]], np.arange(1, int(left.max(initial=0)) + 2))
         for low, high in zip(bounds[:-1], bounds[1:], strict=True):
             own = order[low:high]
             x = log_p[own] + np.where(ends[own], 0.0, behind[stop[own]])
@@ -124,7 +127,7 @@ class Pieces:
             total = np.add.reduceat(np.exp(x - np.repeat(top, np.diff(np.append(first, len(x))))), first)
             behind[nodes] = top + np.log(total)
         log_p = log_p + np.where(ends, 0.0, behind[stop]) - behind[start]
-        order = np.lexsort((-log_p, start))
+        order = _by_node(start, log_p)
         start, stop, piece, log_p, ends = (x[order] for x in (start, stop, piece, log_p, ends))
         first = np.searchsorted(start, np.arange(len(code) + 1))
         upto = np.concatenate([[0.0], np.exp(log_p).cumsum()])
@@ -150,14 +153,16 @@ class Pieces:
             self.nodes, self.edges = self.kept
         split = [CHUNK.findall(" " + text) if text else [] for text in texts]
         roots = self.root
-        used = {chunk: None for chunks in split for chunk in chunks}
-        missing = [chunk for chunk in used if chunk not in roots]
+        used = dict.fromkeys(chain.from_iterable(split))
+        missing = list(filterfalse(roots.__contains__, used))
         if missing:
             before = self.nodes, self.edges
             added = self._add(missing)
             if self.nodes > KEPT_NODES:
                 self.kept = before
-                look = {**added, **{chunk: roots[chunk] for chunk in used if chunk in roots}}.__getitem__
+                used.update(added)
+                used.update((chunk, roots[chunk]) for chunk in filter(roots.__contains__, used))
+                look = used.__getitem__
             else:
                 roots.update(added)
                 look = roots.__getitem__
@@ -177,11 +182,22 @@ class Pieces:
 
     def decoded(self, ids: list[int]) -> str:
         """The text of the ids; bytes that form no character become replacement characters."""
-        raw = b"".join(piece if isinstance(piece := self.text[i], bytes) else piece.encode() for i in ids)
-        text = raw.decode(errors="replace").replace(SPACE, " ")
+        text = b"".join(map(self.text.__getitem__, ids)).decode(errors="replace").replace(SPACE, " ")
         return text[1:] if text.startswith(" ") else text
 
 
+def _by_node(start: np.ndarray, log_p: np.ndarray) -> np.ndarray:
+    """``np.lexsort((-log_p, start))``, mostly by one whole number for both."""
+    key = (start.astype(np.uint64) << np.uint64(32)) | np.maximum(-log_p, 0.0).astype(np.float32).view(np.uint32)
+    order = np.argsort(key)
+    tie = np.diff(key[order]) == 0
+    if tie.any():
+        place = np.nonzero(np.append(tie, False) | np.append(False, tie))[0]
+        own = np.sort(order[place])
+        order[place] = own[np.lexsort((-log_p[own], start[own]))]
+    return order
+
+
 def _uniform(seed: np.ndarray, draw: int | np.ndarray, place: np.ndarray | int) -> np.ndarray:
     """Numbers strictly between zero and one that depend on the three arguments only."""
     x = seed + np.asarray(place, dtype=np.uint64).reshape(-1) * np.uint64(0x9E3779B97F4A7C15) + np.asarray(draw, dtype=np.uint64).reshape(-1) * np.uint64(0xD1B54A32D192ED03)
@@ -249,7 +265,8 @@ def sampled(pieces: Pieces, texts: list[str], seeds: np.ndarray, k: int) -> list
                 edges, places, _ = paths[d][parent]
                 node = pieces.source[edges[at]]
                 left = np.arange(pieces.first[node], pieces.first[node + 1])
-                left = left[~np.isin(left, without)]
+                for out in without:
+                    left = left[left != out]
                 share = np.exp(log_p[left]).cumsum()
                 u = float(_uniform(seeds[d : d + 1], 3 * number + 1, at + 1)[0])
                 chosen = min(int(np.searchsorted(share, u * share[-1], side="right")), len(left) - 1)
@@ -337,9 +354,10 @@ def in_this_process(path: str) -> Pieces:
     return kept[path]
 
 
-def segmentations(docs: DataFrame, model: str, k: int = 2, seed: int = 0, with_ids: bool = True) -> DataFrame:
+def segmentations(docs: DataFrame, model: str, k: int = 2, seed: int = 0, with_ids: bool = True, check: bool = False) -> DataFrame:
     """Up to ``k`` rows per row of ``docs(doc_id, text)``: ``doc_id, sample, n_pieces, ids_crc32, log_probability,
-    log_inclusion`` and, if asked for, ``ids``.
+    log_inclusion`` and, if asked for, ``ids``. With ``check`` every segmentation is decoded, and ``decoded_equal`` says
+    whether that gives the text.
 
     Segmentations are distinct and drawn without replacement; draws depend on ``seed``, the id and the text
     only, so repeated rows get equal samples. A null text counts as empty and has one segmentation, the empty one. Null
@@ -348,6 +366,7 @@ def segmentations(docs: DataFrame, model: str, k: int = 2, seed: int = 0, with_i
     """
     kinds = [("doc_id", pa.int64()), ("sample", pa.int32()), ("n_pieces", pa.int64()), ("ids_crc32", pa.int64()), ("log_probability", pa.float64()), ("log_inclusion", pa.float64())]
     kinds += [("ids", pa.list_(pa.int32()))] if with_ids else []
+    kinds += [("decoded_equal", pa.bool_())] if check else []
 
     def draw(batches):
         pieces = in_this_process(model)
@@ -357,17 +376,19 @@ def segmentations(docs: DataFrame, model: str, k: int = 2, seed: int = 0, with_i
                 seeds = part.column("seed").to_numpy().view(np.uint64)
                 texts = [text or "" for text in part.column("text").to_pylist()]
                 columns: list[list] = [[] for _ in kinds]
-                for doc_id, samples in zip(part.column("doc_id").to_pylist(), sampled(pieces, texts, seeds, k), strict=True):
+                for doc_id, text, samples in zip(part.column("doc_id").to_pylist(), texts, sampled(pieces, texts, seeds, k), strict=True):
                     for number, (ids, p, inclusion) in enumerate(samples):
-                        values = doc_id, number, len(ids), zlib.crc32(ids.astype("<u4").tobytes()), p, inclusion, ids.astype(np.int32)
-                        for column, value in zip(columns, values, strict=False):
+                        values = [doc_id, number, len(ids), zlib.crc32(ids.astype("<u4").tobytes()), p, inclusion]
+                        values += [ids.astype(np.int32)] if with_ids else []
+                        values += [pieces.decoded(ids.tolist()) == text] if check else []
+                        for column, value in zip(columns, values, strict=True):
                             column.append(value)
                 arrays = [pa.array(column, kind) for column, (_, kind) in zip(columns, kinds, strict=True)]
                 yield pa.RecordBatch.from_arrays(arrays, names=[name for name, _ in kinds])
 
     schema = "doc_id long, sample int, n_pieces long, ids_crc32 long, log_probability double, log_inclusion double"
     rows = docs.select("doc_id", "text", F.xxhash64("doc_id", F.lit(seed)).alias("seed"))
-    return rows.mapInArrow(draw, schema + (", ids array<int>" if with_ids else ""))
+    return rows.mapInArrow(draw, schema + (", ids array<int>" if with_ids else "") + (", decoded_equal boolean" if check else ""))
 
 
 def decoded(ids: Column, model: str) -> Column:

@@ -67,9 +67,9 @@ def op4_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two sampled segmentations of every document: length, check sum and scores."""
+    """Two sampled segmentations of every document: ids, length, check sum, scores and whether the ids decode to the text."""
     docs = _table(spark, sf_dir, "documents")
-    return pieces.segmentations(docs, public_tokenizers.path("piece_bpe_32k.model"), k=2, with_ids=False)
+    return pieces.segmentations(docs, public_tokenizers.path("piece_bpe_32k.model"), k=2, check=True)
 
 
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ import public_tokenizers
 import pytest
 from helpers import documents
 
-from docklake.llm import pieces
+from docklake.llm import pieces, queries
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -76,3 +76,19 @@ def test_odd_rows(spark):
     assert all(r.back == texts[r.doc_id] and r.n_pieces == len(r.ids) for r in rows)
     assert Counter(r.doc_id for r in rows) == {1: 4, 2: 1, 3: 1, None: 2, 4: 2, 5: 2, 6: 2, 7: 2}
     assert pieces.segmentations(docs.limit(0), PATH).collect() == []
+
+
+def test_the_query_gives_the_ids_and_decodes_them(spark, model, tmp_path):
+    docs = documents(spark)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    found = queries.op5_pieces(spark, str(tmp_path)).collect()
+    texts = {(r.doc_id, r.text or "") for r in docs.collect()}
+    assert len(found) == 16 and all(r.decoded_equal and len(r.ids) == r.n_pieces for r in found)
+    assert {(r.doc_id, model.decoded(r.ids)) for r in found} == texts
+    assert len({(r.doc_id, r.sample, tuple(r.ids)) for r in found if r.doc_id in (4, 5, 6, 7)}) == 8
+
+
+def test_edges_by_node_and_probability():
+    rng = np.random.default_rng(5)
+    start, log_p = rng.integers(0, 300, 5000), -rng.random(5000).round(2) + 1e-12 * rng.integers(0, 3, 5000)
+    assert pieces._by_node(start, log_p).tolist() == np.lexsort((-log_p, start)).tolist()
