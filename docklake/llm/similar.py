@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
-from functools import lru_cache, reduce
+from functools import lru_cache
 from math import comb, cos, log, pi, sqrt
 
 import numpy as np
@@ -129,7 +129,7 @@ def agreement(similarity: float) -> tuple[float, ...]:
     b = rho * a + sqrt(1 - rho * rho) * rng.standard_normal(a.shape)
     marks = []
     for lean in (a, b):
-        first = np.argsort(-np.abs(lean), axis=1)[:, :DECIDED]
+        first = np.concatenate([np.argsort(-np.abs(part), axis=1)[:, :DECIDED] for part in np.split(lean, 20)])
         marks.append(2 * first + (np.take_along_axis(lean, first, 1) > 0))
     return tuple(
         float((np.sort(marks[0][:, :k], 1) == np.sort(marks[1][:, :k], 1)).all(axis=1).mean()) for k in range(1, DECIDED + 1)
@@ -225,38 +225,86 @@ def _near(x0: Column, x1: Column, y0: Column, y1: Column, bound: int) -> Column:
     return F.bit_count(x0.bitwiseXOR(y0)) + F.bit_count(x1.bitwiseXOR(y1)) <= bound
 
 
-def candidates(signs: DataFrame, bound: int, bucket_limit: int = 64) -> DataFrame:
+BUCKET_LIMIT = 64  # rows of a spot that are compared pair by pair at once
+CHUNK = 2048  # rows of a crowded spot that are compared with as many others in one task
+
+
+def candidates(signs: DataFrame, bound: int, bucket_limit: int = BUCKET_LIMIT) -> DataFrame:
     """Pairs ``(a, b)`` of ``signs(row, w0, w1, spot)`` that share a spot and whose words differ in ``bound`` bits at most.
 
-    All pairs of a spot of up to ``bucket_limit`` rows are looked at. In a larger spot all rows meet its first one; those
-    near it are candidates with it, the others meet again among themselves until none are left, so a group of near
-    copies of any size costs one pair a row and no task holds it.
+    All pairs of a spot of up to ``bucket_limit`` rows are looked at. In a larger spot all rows meet its first one, which
+    connects most of a group of near copies at a pair a row; ``crowded_pairs`` compares the others.
+    """
+    sizes = signs.groupBy("spot").agg(F.count("*").alias("n"), F.min(F.struct("row", "w0", "w1")).alias("first")).where("n > 1")
+    small = signs.join(sizes.where(F.col("n") <= bucket_limit).select("spot"), "spot", "left_semi")
+    small = small.groupBy("spot").agg(F.collect_list(F.struct("row", "w0", "w1")).alias("members"))
+    partners = F.transform("members", lambda x: F.transform(
+        F.filter("members", lambda y: (y["row"] > x["row"]) & _near(x["w0"], x["w1"], y["w0"], y["w1"], bound)),
+        lambda y: F.struct(x["row"].alias("a"), y["row"].alias("b")),
+    ))
+    pairs = small.select(F.explode(F.flatten(partners)).alias("pair")).select("pair.a", "pair.b")
+    met = signs.join(sizes.where(F.col("n") > bucket_limit).select("spot", "first"), "spot").where(F.col("row") != F.col("first.row"))
+    met = met.where(_near(F.col("w0"), F.col("w1"), F.col("first.w0"), F.col("first.w1"), bound))
+    return pairs.unionByName(met.select(F.col("first.row").alias("a"), F.col("row").alias("b"))).distinct()
+
+
+def _compared(bounds: Bounds):
+    """Of two chunks of a spot the pairs of rows of different groups that may be similar: one of many that surely connect
+    the same groups, all doubtful ones that those leave apart."""
+
+    def compare(key: tuple, rows: pa.Table) -> pa.Table:
+        own, other = key[1].as_py(), key[2].as_py()
+        number, chunk = rows.column("row").to_numpy(), rows.column("chunk").to_numpy()
+        prints = np.frombuffer(b"".join(rows.column("print").to_pylist()), np.uint64).reshape(-1, WORDS)
+        group = rows.column("group").to_numpy().copy()
+        here, there = np.nonzero(chunk == own)[0], np.nonzero(chunk == other)[0]
+        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        for place, x in enumerate(here):
+            y = there[place + 1 :] if own == other else there
+            y = y[np.bitwise_count(prints[y, :2] ^ prints[x, :2]).sum(axis=1, dtype=np.int32) <= bounds.words]
+            y = y[group[y] != group[x]]
+            apart = np.bitwise_count(prints[y] ^ prints[x]).sum(axis=1, dtype=np.int32)
+            y, apart = y[apart <= bounds.most], apart[apart <= bounds.most]
+            if not len(y):
+                continue
+            joined, first = np.unique(group[y[apart <= bounds.sure]], return_index=True)
+            sure = np.nonzero(apart <= bounds.sure)[0][first]
+            group[np.isin(group, joined)] = group[x]
+            kept = np.concatenate([sure, np.nonzero(apart > bounds.sure)[0]])
+            found.append((np.full(len(kept), x), y[kept], apart[kept]))
+        a, b, apart = (np.concatenate(x) if found else np.empty(0, np.int64) for x in (zip(*found, strict=True) if found else ((),) * 3))
+        kept = (apart <= bounds.sure) | (group[a] != group[b])
+        a, b, apart = number[a[kept]], number[b[kept]], apart[kept]
+        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b), "apart": apart.astype(np.int32)})
+
+    return compare
+
+
+def crowded_pairs(signs: DataFrame, prints: DataFrame, groups: DataFrame, bounds: Bounds, bucket_limit: int = BUCKET_LIMIT, chunk_size: int = CHUNK) -> DataFrame:
+    """Pairs ``(a, b, apart)`` that connect what is near in spots of more than ``bucket_limit`` rows and not yet in one of
+    ``groups(node, root)``.
+
+    Every pair of a spot is compared unless its rows are connected. A spot is dealt into chunks, and each two of them meet in a
+    group of their own, so tasks stay small; the work grows with the square of a spot that holds many groups.
     """
-    found, rest = [], signs
-    while True:
-        sizes = rest.groupBy("spot").agg(F.count("*").alias("n"), F.min("row").alias("first")).where("n > 1")
-        placed = rest.join(sizes, "spot")
-        small = placed.where(F.col("n") <= bucket_limit).groupBy("spot").agg(F.collect_list(F.struct("row", "w0", "w1")).alias("members"))
-        partners = F.transform("members", lambda x: F.transform(
-            F.filter("members", lambda y: (y["row"] > x["row"]) & _near(x["w0"], x["w1"], y["w0"], y["w1"], bound)),
-            lambda y: F.struct(x["row"].alias("a"), y["row"].alias("b")),
-        ))
-        found.append(small.select(F.explode(F.flatten(partners)).alias("pair")).select("pair.a", "pair.b"))
-        large = stored(placed.where(F.col("n") > bucket_limit).drop("n"), "crowded")
-        lead = large.where(F.col("row") == F.col("first")).select("spot", F.col("w0").alias("v0"), F.col("w1").alias("v1"))
-        met = large.where(F.col("row") != F.col("first")).join(lead, "spot")
-        met = stored(met.withColumn("near", _near(F.col("w0"), F.col("w1"), F.col("v0"), F.col("v1"), bound)), "met")
-        found.append(met.where("near").select(F.col("first").alias("a"), F.col("row").alias("b")))
-        rest = met.where(~F.col("near")).select("row", "w0", "w1", "spot")
-        if rest.isEmpty():
-            return reduce(DataFrame.unionByName, found).distinct()
-
-
-def links(texts: DataFrame, prints: DataFrame, width: int, similarity: float, missed: float, sample_size: int = 1024) -> DataFrame:
+    grouped = signs.select("row", "spot").join(groups.select(F.col("node").alias("row"), "root"), "row", "left")
+    grouped = grouped.select("row", "spot", F.coalesce("root", "row").alias("group"))
+    sizes = grouped.groupBy("spot").agg(F.count("*").alias("n"), F.min("group").alias("low"), F.max("group").alias("high"))
+    open_ = sizes.where((F.col("n") > bucket_limit) & (F.col("low") != F.col("high")))
+    parts = open_.select("spot", F.ceil(F.col("n") / chunk_size).cast("int").alias("parts"))
+    dealt = grouped.join(parts, "spot").withColumn("chunk", F.pmod(F.xxhash64("row"), "parts").cast("int"))
+    dealt = dealt.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    dealt = dealt.join(prints.select("row", "print"), "row").select(
+        "spot", F.least("chunk", "with").alias("own"), F.greatest("chunk", "with").alias("other"), "row", "chunk", "group", "print"
+    )
+    return dealt.groupBy("spot", "own", "other").applyInArrow(_compared(bounds), "a long, b long, apart int").distinct()
+
+
+def links(texts: DataFrame, prints: DataFrame, width: int, similarity: float, missed: float, sample_size: int = 1024, bucket_limit: int = BUCKET_LIMIT) -> DataFrame:
     """Edges ``(a, b)`` between rows of ``prints(row, print, decided)`` that connect what is similar; ``texts(row, text)``.
 
     Pairs that fingerprints alone decide come first; a doubtful pair is compared by its texts only if those have not
-    connected it already.
+    connected it already. Then the pairs of crowded spots that are still apart are compared in the same way.
     """
     bounds = Bounds.of(similarity)
     chosen = prints.orderBy(F.xxhash64("row"), "row").limit(sample_size).select("decided", "print").collect()
@@ -265,22 +313,33 @@ def links(texts: DataFrame, prints: DataFrame, width: int, similarity: float, mi
     apart = sum(np.bitwise_count(word[:, None] ^ word[None, :]) for word in own.T) > bounds.words
     plan = planned(prints.count(), sample, apart, similarity, missed)
     words = [F.conv(F.hex(F.substring("print", start, 8)), 16, -10).cast("long").alias(name) for start, name in ((1, "w0"), (9, "w1"))]
-    signs = prints.select("row", *words, F.explode(_spots(plan)("decided")).alias("spot"))
-    pairs = candidates(signs, bounds.words)
+    signs = stored(prints.select("row", *words, F.explode(_spots(plan)("decided")).alias("spot")), "spots")
+    pairs = candidates(signs, bounds.words, bucket_limit)
     own, other = (prints.select(F.col("row").alias(side), F.col("print").alias(f"print_{side}")) for side in "ab")
     measured = pairs.join(own, "a").join(other, "b").select("a", "b", _apart("print_a", "print_b").alias("apart"))
     measured = stored(measured.where(F.col("apart") <= bounds.most), "similar-pairs")
     sure = measured.where(F.col("apart") <= bounds.sure).select("a", "b")
-    roots = stored(components(sure), "sure-groups")
     doubtful = measured.where(F.col("apart") > bounds.sure)
+    first = stored(sure.unionByName(_proven(texts, doubtful, stored(components(sure), "sure-groups"), width, similarity)), "first-links")
+    groups = stored(components(first), "first-groups")
+    later = stored(crowded_pairs(signs, prints, groups, bounds, bucket_limit), "crowded-pairs")
+    if later.isEmpty():
+        return first
+    sure = later.where(F.col("apart") <= bounds.sure).select("a", "b")
+    doubtful = later.where(F.col("apart") > bounds.sure)
+    proven = _proven(texts, doubtful, stored(components(first.unionByName(sure)), "sure-groups"), width, similarity)
+    return first.unionByName(sure).unionByName(proven)
+
+
+def _proven(texts: DataFrame, doubtful: DataFrame, groups: DataFrame, width: int, similarity: float) -> DataFrame:
+    """Those of the pairs ``doubtful(a, b)`` between different ``groups(node, root)`` whose texts are similar."""
     for side in "ab":
-        doubtful = doubtful.join(roots.select(F.col("node").alias(side), F.col("root").alias(f"root_{side}")), side, "left")
+        doubtful = doubtful.join(groups.select(F.col("node").alias(side), F.col("root").alias(f"root_{side}")), side, "left")
     apart = F.coalesce("root_a", "a") != F.coalesce("root_b", "b")
     doubtful = stored(doubtful.where(apart).select("a", "b"), "doubtful-pairs")
     for side in "ab":
         doubtful = doubtful.join(texts.select(F.col("row").alias(side), F.col("text").alias(f"text_{side}")), side)
-    proven = doubtful.where(_jaccard(width)("text_a", "text_b") >= similarity).select("a", "b")
-    return sure.unionByName(proven)
+    return doubtful.where(_jaccard(width)("text_a", "text_b") >= similarity).select("a", "b")
 
 
 def one_of_each(docs: DataFrame, id_column: str = "doc_id", width: int = 5, similarity: float = 0.8, missed: float = 0.01) -> DataFrame:

@@ -145,3 +145,39 @@ def test_odd_rows(spark):
     assert similar.one_of_each(docs.limit(0)).collect() == []
     longer = spark.createDataFrame([(9, LONG + " end"), (8, LONG), (3, "x")], "doc_id long, text string")
     assert sorted(r.doc_id for r in similar.one_of_each(longer).collect()) == [3, 8]
+
+
+def test_crowded_spots_lose_no_pair_beside_their_first_row(spark, monkeypatch):
+    """All texts meet in one spot; what is near its first row without being similar to it, or similar only to such, is joined."""
+    rng = np.random.default_rng(8)
+    base = [f"w{n}" for n in rng.integers(0, 20_000, 300)]
+    chain, texts = list(base), [" ".join(base)]
+    for step in range(90):  # each one is similar to the one before, few to the first
+        chain[(step * 7) % 300] = f"x{step}"
+        texts.append(" ".join(chain))
+    _, _, want = _groups(texts)
+    assert set(want) == {0}
+    monkeypatch.setattr(similar, "planned", lambda *_: [(0, 1)])
+    monkeypatch.setattr(similar, "_spots", lambda _plan: lambda _decided: F.array(F.lit(1).cast("long")))
+    frame = spark.createDataFrame(list(enumerate(texts)), "row long, text string").repartition(3)
+    root = {r.node: r.root for r in components(similar.links(frame, _prints(frame), 5, 0.8, 0.01, bucket_limit=4)).collect()}
+    assert [root.get(i, i) for i in range(len(texts))] == want
+
+
+@pytest.mark.parametrize("size", [7, 2048])
+def test_crowded_pairs_by_brute_force(spark, size):
+    texts = _families(9, 4, 30)
+    frame = spark.createDataFrame(list(enumerate(texts)), "row long, text string")
+    prints = _prints(frame)
+    signs = prints.select("row", F.lit(1).cast("long").alias("spot"))
+    bounds = similar.Bounds.of(0.8)
+    groups = spark.createDataFrame([(i, 0) for i in range(0, 120, 3)], "node long, root long")
+    pairs = similar.crowded_pairs(signs, prints, groups, bounds, 4, size).collect()
+    bits = [np.frombuffer(r.print, np.uint64) for r in prints.orderBy("row").collect()]
+    apart = {(i, j): int(np.bitwise_count(bits[i] ^ bits[j]).sum()) for j in range(120) for i in range(j)}
+    near = {p for p, n in apart.items() if n <= bounds.most and np.bitwise_count(bits[p[0]][:2] ^ bits[p[1]][:2]).sum() <= bounds.words}
+    assert {(r.a, r.b) for r in pairs} <= near and all(apart[r.a, r.b] == r.apart and not (r.a % 3 == r.b % 3 == 0) for r in pairs)
+    known = [(0, i) for i in range(3, 120, 3)]
+    got = spark.createDataFrame(known + [(r.a, r.b) for r in pairs], "a long, b long")
+    all_ = spark.createDataFrame(known + sorted(near), "a long, b long")
+    assert sorted(components(got).collect()) == sorted(components(all_).collect())
