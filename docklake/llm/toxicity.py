@@ -242,7 +242,9 @@ def score(model: Model, text: str = "text") -> Column:
 
     @F.arrow_udf(DoubleType())
     def scored(texts: pa.Array) -> pa.Array:
-        evidence = np.array([model.evidence(value) for value in texts.to_pylist()], dtype=float).reshape(-1, len(EVIDENCE))
+        values = (value for start in range(0, len(texts), 256) for value in texts.slice(start, 256).to_pylist())  # few are held twice
+        evidence = np.array([model.evidence(value) for value in values], dtype=float).reshape(-1, len(EVIDENCE))
+        pa.default_memory_pool().release_unused()
         return pa.array(model.probabilities(evidence))
 
     return scored(F.col(text))
