@@ -13,7 +13,7 @@ import heapq
 import math
 import re
 import zlib
-from itertools import chain, filterfalse
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +28,18 @@ HASH_BASE = 0x9E3779B97F4A7C15
 KEPT_NODES = 1_650_000  # of the lattices of words that are remembered
 
 
+class Roots(dict):
+    """First nodes by chunk. A chunk that is not there is noted in ``met`` and gets the negative of its number for now."""
+
+    def __init__(self):
+        self.met: list[str] = []
+
+    def __missing__(self, chunk: str) -> int:
+        self.met.append(chunk)
+        self[chunk] = -len(self.met)
+        return self[chunk]
+
+
 class Pieces:
     """Pieces of a file with probabilities by Zipf's law from their rank, and lattices of the words seen so far.
 
@@ -57,7 +69,7 @@ class Pieces:
         self.known = {piece: (number, float(p)) for (piece, number), p in zip(known.items(), log_p, strict=False)}
         self.one_byte = np.array([self.byte.get(b, 0) for b in range(128)])
         self.beginnings = self._beginnings()
-        self.root: dict[str, int] = {}
+        self.root = Roots()
         self.nodes = self.edges = 0
         size = 1 << 16
         self.first = np.zeros(size, np.int32)
@@ -153,23 +165,22 @@ class Pieces:
             self.nodes, self.edges = self.kept
         split = [CHUNK.findall(" " + text) if text else [] for text in texts]
         roots = self.root
-        used = dict.fromkeys(chain.from_iterable(split))
-        missing = list(filterfalse(roots.__contains__, used))
-        if missing:
+        counts = np.array([len(chunks) for chunks in split], dtype=np.int64)
+        found = np.fromiter(map(roots.__getitem__, chain.from_iterable(split)), np.int64, int(counts.sum()))
+        if missing := roots.met:
             before = self.nodes, self.edges
             added = self._add(missing)
+            nodes = np.fromiter(added.values(), np.int64, len(added))
             if self.nodes > KEPT_NODES:
                 self.kept = before
-                used.update(added)
-                used.update((chunk, roots[chunk]) for chunk in filter(roots.__contains__, used))
-                look = used.__getitem__
+                for chunk in missing:
+                    del roots[chunk]
             else:
                 roots.update(added)
-                look = roots.__getitem__
-        else:
-            look = roots.__getitem__
-        counts = np.array([len(chunks) for chunks in split], dtype=np.int64)
-        return np.fromiter(map(look, chain.from_iterable(split)), np.int64, int(counts.sum())), counts
+            new = found < 0
+            found[new] = nodes[-1 - found[new]]
+            roots.met = []
+        return found, counts
 
     def ids(self, edges: np.ndarray) -> np.ndarray:
         pieces = self.piece[edges]
