@@ -34,8 +34,8 @@ def _slices(batch: pa.RecordBatch, rows: int):
 
 
 def _expressions(batches):
-    """Per 256 texts: in how many toxic and ordinary texts each beginning, word and pair of words occurs."""
-    for batch in (part for whole in batches for part in _slices(whole, 256)):
+    """Per 64 texts: in how many toxic and ordinary texts each beginning, word and pair of words occurs."""
+    for batch in (part for whole in batches for part in _slices(whole, 64)):
         seen: tuple[Counter, Counter] = (Counter(), Counter())
         for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist(), strict=True):
             words = _words(text)
@@ -240,11 +240,9 @@ def _evidence(model: Model):
 def score(model: Model, text: str = "text") -> Column:
     """The probability of label 1 of every text; a null text counts as empty."""
 
-    @F.arrow_udf(DoubleType())
-    def scored(texts: pa.Array) -> pa.Array:
-        values = (value for start in range(0, len(texts), 256) for value in texts.slice(start, 256).to_pylist())  # few are held twice
-        evidence = np.array([model.evidence(value) for value in values], dtype=float).reshape(-1, len(EVIDENCE))
-        pa.default_memory_pool().release_unused()
-        return pa.array(model.probabilities(evidence))
+    # Rows come a hundred at a time; an Arrow batch would hold all texts of a task in the JVM and again in Python.
+    @F.udf(DoubleType(), useArrow=False)
+    def scored(own: str | None) -> float:
+        return float(model.probabilities(np.array(model.evidence(own))))
 
     return scored(F.col(text))

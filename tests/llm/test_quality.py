@@ -1,10 +1,11 @@
 import os
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import documents, labels
 
-from docklake.llm import boosting, quality, queries
+from docklake.llm import boosting, common, quality, queries
 from pyspark.sql import functions as F
 
 SF = "/root/testdata/sf0.01"
@@ -58,3 +59,10 @@ def test_held_out_accuracy(spark):
     rows = queries.op1_quality(spark, SF).join(truth, "doc_id").where("held_out").collect()
     assert len(rows) > 50
     assert np.mean([row.predicted == row.quality for row in rows]) > 0.97
+
+
+def test_statistics_hold_few_texts_twice(monkeypatch):
+    texts, sizes = pa.array(["a b", None, ""] * 300), []
+    monkeypatch.setattr(quality, "utf8", lambda part: sizes.append(len(part)) or common.utf8(part))
+    assert quality._features(texts).tolist() == [quality.statistics(text) for text in common.utf8(texts)]
+    assert max(sizes) <= 256 and quality._features(texts.slice(0, 0)).shape == (0, len(quality.STATISTICS))

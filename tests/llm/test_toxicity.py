@@ -41,6 +41,15 @@ def test_odd_rows_get_scores(spark):
     assert {row.s for row in docs.select(toxicity.score(untaught).alias("s")).collect()} == {0.5}
 
 
+def test_a_score_holds_no_arrow_batch_of_texts(spark, capsys):
+    docs, marks = _corpus(spark)
+    model = toxicity.trained_on(docs, marks, "toxic", F.col("doc_id") < 400)
+    scored = docs.select("text", toxicity.score(model).alias("s"))
+    scored.explain()
+    assert "ArrowEvalPython" not in capsys.readouterr().out
+    assert all(np.isclose(row.s, model.probabilities(np.array([model.evidence(row.text)]))[0]) for row in scored.collect())
+
+
 @pytest.mark.skipif(not os.path.isdir(SF), reason="the driver tables are not here")
 def test_held_out_accuracy(spark):
     truth = spark.read.parquet(f"{SF}/labels.parquet")
