@@ -24,10 +24,31 @@ from pyspark.sql.types import StringType
 SPACE = "▁"
 # No piece crosses from letters to others, or from others to a space.
 CHUNK = re.compile(r" *(?:[^\W\d_]+|(?:[^\w ]|[\d_])+)| +")
+LETTER, FAR = re.compile(r"[^\W\d_]"), re.compile("[\U00010000-\U0010ffff]")
 HASH_BASE = 0x9E3779B97F4A7C15
+PLACE_BASE, DRAW_BASE = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1B54A32D192ED03)
 KEPT_NODES = 1_650_000  # of the lattices of words that are remembered
 
 
+def _spelled_out(chunk: str = " *(?:[{}]+|[{}]+)| +") -> re.Pattern:
+    """``CHUNK`` for texts without characters above U+FFFF: with all characters listed, which is looked up in a table."""
+    spans: tuple[list, list] = ([], [])
+    for char in filter(" ".__ne__, map(chr, range(1 << 16))):
+        own = spans[LETTER.match(char) is None]
+        if own and ord(own[-1][1]) == ord(char) - 1:
+            own[-1][1] = char
+        else:
+            own.append([char, char])
+    return re.compile(chunk.format(*("".join(f"\\u{ord(first):04x}-\\u{ord(last):04x}" for first, last in own) for own in spans)))
+
+
+NEAR_CHUNK = _spelled_out()
+
+
+def _chunks(text: str) -> list[str]:
+    return (NEAR_CHUNK if text.isascii() or FAR.search(text) is None else CHUNK).findall(" " + text) if text else []
+
+
 class Roots(dict):
     """First nodes by chunk. A chunk that is not there is noted in ``met`` and gets the negative of its number for now."""
 
@@ -68,6 +89,7 @@ class Pieces:
         self.log_byte = float(log_p[-1])  # of one byte of a character that is no piece
         self.known = {piece: (number, float(p)) for (piece, number), p in zip(known.items(), log_p, strict=False)}
         self.one_byte = np.array([self.byte.get(b, 0) for b in range(128)])
+        self.spaced = pa.array([text.replace(SPACE.encode(), b" ") for text in self.text], pa.large_binary())
         self.beginnings = self._beginnings()
         self.root = Roots()
         self.nodes = self.edges = 0
@@ -163,7 +185,7 @@ class Pieces:
         """
         if self.nodes > KEPT_NODES:
             self.nodes, self.edges = self.kept
-        split = [CHUNK.findall(" " + text) if text else [] for text in texts]
+        split = [_chunks(text) for text in texts]
         roots = self.root
         counts = np.array([len(chunks) for chunks in split], dtype=np.int64)
         found = np.fromiter(map(roots.__getitem__, chain.from_iterable(split)), np.int64, int(counts.sum()))
@@ -196,6 +218,23 @@ class Pieces:
         text = b"".join(map(self.text.__getitem__, ids)).decode(errors="replace").replace(SPACE, " ")
         return text[1:] if text.startswith(" ") else text
 
+    def give(self, ids: np.ndarray, last: np.ndarray, texts: list[str]) -> list[bool]:
+        """Whether each stretch of ``ids`` decodes to its text; ``last`` holds where the stretches end.
+
+        The bytes of all ids are put together at once. Equal ones need no more; others are decoded on their own.
+        """
+        joined = self.spaced.take(pa.array(ids))
+        _, offsets, data = joined.buffers()
+        ends = np.frombuffer(offsets, np.int64)[np.concatenate([[0], last])].tolist()
+        result, known, coded = [], None, None
+        for n, text in enumerate(texts):
+            if text is not known:
+                known, coded = text, pa.py_buffer(b" " + text.encode())
+            size = ends[n + 1] - ends[n]
+            same = size == coded.size and SPACE not in text and data.slice(ends[n], size).equals(coded)
+            result.append(same or self.decoded(ids[last[n - 1] if n else 0 : last[n]].tolist()) == text)
+        return result
+
 
 def _by_node(start: np.ndarray, log_p: np.ndarray) -> np.ndarray:
     """``np.lexsort((-log_p, start))``, mostly by one whole number for both."""
@@ -211,10 +250,21 @@ def _by_node(start: np.ndarray, log_p: np.ndarray) -> np.ndarray:
 
 def _uniform(seed: np.ndarray, draw: int | np.ndarray, place: np.ndarray | int) -> np.ndarray:
     """Numbers strictly between zero and one that depend on the three arguments only."""
-    x = seed + np.asarray(place, dtype=np.uint64).reshape(-1) * np.uint64(0x9E3779B97F4A7C15) + np.asarray(draw, dtype=np.uint64).reshape(-1) * np.uint64(0xD1B54A32D192ED03)
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return ((x ^ (x >> np.uint64(31))) >> np.uint64(12)).astype(np.float64) / 2.0**52 + 2.0**-53
+    return _mixed(seed + np.asarray(place, dtype=np.uint64).reshape(-1) * PLACE_BASE + np.asarray(draw, dtype=np.uint64).reshape(-1) * DRAW_BASE)
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """The uniform numbers of whole ones, which are overwritten."""
+    x ^= x >> np.uint64(30)
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    x >>= np.uint64(12)
+    uniform = x.astype(np.float64)
+    uniform *= 2.0**-52
+    uniform += 2.0**-53
+    return uniform
 
 
 def _below(mass: np.ndarray, bound: np.ndarray, uniform: np.ndarray) -> np.ndarray:
@@ -328,24 +378,27 @@ def sampled(pieces: Pieces, texts: list[str], seeds: np.ndarray, k: int) -> list
 
 def _walked(pieces: Pieces, place: np.ndarray, state: np.ndarray, seed: np.ndarray, number: np.ndarray, draw: int) -> tuple[np.ndarray, np.ndarray]:
     """A random path to the end of each chunk, from the node ``state``: chunks and edges in the order of the text."""
-    places, edges, step = [], [], 0
-    while len(place):
-        u = _uniform(seed[place], draw, number[place] * (1 << 20) + step)
-        edge = pieces.first[state].copy()
+    at, found, steps = np.arange(len(place)), [], np.zeros(len(place), np.int64)
+    # The number of a step is ``_uniform(seed[place], draw, number[place] * (1 << 20) + step)``.
+    mixed = seed[place] + (number[place].astype(np.uint64) << np.uint64(20)) * PLACE_BASE + np.full(1, draw, np.uint64) * DRAW_BASE
+    while len(at):
+        u = _mixed(mixed.copy())
+        edge = pieces.first[state]
         later = np.nonzero(u >= pieces.upto[edge])[0]
         while len(later):
             edge[later] += 1
             later = later[u[later] >= pieces.upto[edge[later]]]
-        places.append(place)
-        edges.append(edge)
+        found.append((at, edge))
+        steps[at] = len(found)
         state = pieces.following[edge]
-        going = state >= 0
-        place, state, step = place[going], state[going], step + 1
-    if not places:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    place, edge = np.concatenate(places), np.concatenate(edges)
-    order = np.argsort(place, kind="stable")
-    return place[order], edge[order]
+        going = np.nonzero(state >= 0)[0]
+        at, state, mixed = at[going], state[going], mixed[going]
+        mixed += PLACE_BASE
+    begin = steps.cumsum() - steps
+    edges = np.empty(int(steps.sum()), np.int32)
+    for step, (own, edge) in enumerate(found):
+        edges[begin[own] + step] = edge
+    return np.repeat(place, steps), edges
 
 
 def _log_inclusion(x: float) -> float:
@@ -386,15 +439,17 @@ def segmentations(docs: DataFrame, model: str, k: int = 2, seed: int = 0, with_i
                 part = batch.slice(start, 256)
                 seeds = part.column("seed").to_numpy().view(np.uint64)
                 texts = [text or "" for text in part.column("text").to_pylist()]
-                columns: list[list] = [[] for _ in kinds]
-                for doc_id, text, samples in zip(part.column("doc_id").to_pylist(), texts, sampled(pieces, texts, seeds, k), strict=True):
-                    for number, (ids, p, inclusion) in enumerate(samples):
-                        values = [doc_id, number, len(ids), zlib.crc32(ids.astype("<u4").tobytes()), p, inclusion]
-                        values += [ids.astype(np.int32)] if with_ids else []
-                        values += [pieces.decoded(ids.tolist()) == text] if check else []
-                        for column, value in zip(columns, values, strict=True):
-                            column.append(value)
-                arrays = [pa.array(column, kind) for column, (_, kind) in zip(columns, kinds, strict=True)]
+                drawn = sampled(pieces, texts, seeds, k)
+                rows = [(at, n, *own) for at, samples in enumerate(drawn) for n, own in enumerate(samples)]
+                ids = [row[2].astype(np.int32, copy=False) for row in rows]
+                flat, last = np.concatenate([np.empty(0, np.int32), *ids]), np.cumsum([len(own) for own in ids], dtype=np.int64)
+                values = [
+                    part.column("doc_id").take(pa.array([row[0] for row in rows], pa.int64())).cast(pa.int64()), [row[1] for row in rows], [len(own) for own in ids],
+                    [zlib.crc32(own) for own in ids], [row[3] for row in rows], [row[4] for row in rows],
+                ]
+                values += [pa.ListArray.from_arrays(pa.array(np.concatenate([[0], last]), pa.int32()), pa.array(flat))] if with_ids else []
+                values += [pieces.give(flat, last, [texts[row[0]] for row in rows])] if check else []
+                arrays = [value if isinstance(value, pa.Array) else pa.array(value, kind) for value, (_, kind) in zip(values, kinds, strict=True)]
                 yield pa.RecordBatch.from_arrays(arrays, names=[name for name, _ in kinds])
 
     schema = "doc_id long, sample int, n_pieces long, ids_crc32 long, log_probability double, log_inclusion double"

@@ -92,3 +92,18 @@ def test_edges_by_node_and_probability():
     rng = np.random.default_rng(5)
     start, log_p = rng.integers(0, 300, 5000), -rng.random(5000).round(2) + 1e-12 * rng.integers(0, 3, 5000)
     assert pieces._by_node(start, log_p).tolist() == np.lexsort((-log_p, start)).tolist()
+
+
+def test_a_wrong_segmentation_does_not_give_the_text(model):
+    texts = ["Hello wörld  ﬁ 日本 x\n\n  y²., ", "", "😀é\x00", "Hello wörld", "a \u2581 b"]
+    own = [pieces.sampled(model, [text], np.array([9], np.uint64), 1)[0][0][0].astype(np.int32) for text in texts]
+    own[3] = own[3][:-1]
+    last = np.cumsum([len(ids) for ids in own])
+    want = [model.decoded(ids.tolist()) == text for ids, text in zip(own, texts, strict=True)]
+    assert model.give(np.concatenate(own), last, texts) == want == [True, True, True, False, False]
+
+
+def test_chunks_by_listed_characters():
+    texts = ["", " ", "a  b1_c²  ½x. ,é日本 \n\t y ", "a😀b 𝒜c 1 ", "".join(map(chr, [*range(0xD800), *range(0xE000, 0x10000)]))]
+    assert [pieces._chunks(text) for text in texts] == [pieces.CHUNK.findall(" " + text) if text else [] for text in texts]
+    assert pieces._chunks(texts[4]) == pieces.NEAR_CHUNK.findall(" " + texts[4])
