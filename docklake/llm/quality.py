@@ -82,8 +82,9 @@ def trained_on(docs: DataFrame, labels: DataFrame, label: str, allowed: Column,
 def score(model: Trees, text: str = "text") -> Column:
     """The probability of label 1 of every text; a null text counts as empty."""
 
-    @F.arrow_udf(DoubleType())
-    def scored(texts: pa.Array) -> pa.Array:
-        return pa.array(model.scores(_features(texts)))
+    # Rows come a hundred at a time; an Arrow batch would hold all texts of a task in the JVM and again in Python.
+    @F.udf(DoubleType(), useArrow=False)
+    def scored(own: bytes | None) -> float:
+        return float(model.scores(np.array([statistics(bytes(own or b""))], dtype=float))[0])
 
-    return scored(F.col(text))
+    return scored(F.col(text).cast("binary"))

@@ -14,6 +14,7 @@ import re
 from dataclasses import dataclass
 from functools import lru_cache
 from math import comb, cos, log, pi, sqrt
+from struct import unpack
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, DoubleType, IntegerType, LongType, StructField, StructType
 
-from docklake.llm.common import LOWERED, free_name, stored, utf8
+from docklake.llm.common import LOWERED, free_name, stored
 from docklake.llm.components import components
 
 BITS = 64
@@ -88,31 +89,20 @@ def decided_bits(hashes: np.ndarray) -> tuple[bytes, bytes]:
     return print_, (2 * first + (np.take_along_axis(lean, first, 1) > 0)).astype(np.uint8).tobytes()
 
 
-def _in_slices(texts: pa.Array):
-    """The UTF-8 bytes of each text; few of them are held twice."""
-    return (text for start in range(0, len(texts), 128) for text in utf8(texts.slice(start, 128)))
-
-
+# What reads whole texts is a plain function of a row, so rows come a hundred at a time; an Arrow batch would hold all texts of
+# a task outside the heap of the JVM, which keeps much of that memory, and again in Python.
 def _sketched(width: int):
     kind = StructType([
         StructField("content_a", LongType()), StructField("content_b", LongType()),
         StructField("print", BinaryType()), StructField("decided", BinaryType()),
     ])
 
-    @F.arrow_udf(kind)
-    def sketch(texts: pa.Array) -> pa.Array:
-        contents, prints, decided = [], [], []
-        for text in _in_slices(texts):
-            contents.append(content(text))
-            print_, marks = decided_bits(shingles(text, width))
-            prints.append(print_)
-            decided.append(marks)
-        halves = np.frombuffer(b"".join(contents), np.int64).reshape(-1, 2)
-        columns = [pa.array(halves[:, 0].copy()), pa.array(halves[:, 1].copy()), pa.array(prints, pa.binary()), pa.array(decided, pa.binary())]
-        pa.default_memory_pool().release_unused()
-        return pa.StructArray.from_arrays(columns, names=kind.names)
+    @F.udf(kind, useArrow=False)
+    def sketch(text: bytes | None) -> tuple:
+        own = bytes(text or b"")
+        return (*unpack("<qq", content(own)), *decided_bits(shingles(own, width)))
 
-    return sketch
+    return lambda text: sketch(F.col(text).cast("binary"))
 
 
 def _angle(similarity: float) -> float:
@@ -190,17 +180,23 @@ def _apart(a: pa.Array, b: pa.Array) -> pa.Array:
     return pa.array(np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int32))
 
 
+def _measured(pairs: DataFrame, prints: DataFrame, most: int) -> DataFrame:
+    """``(a, b, apart)`` of the pairs whose fingerprints differ in ``most`` bits at most."""
+    for side in "ab":
+        pairs = pairs.join(prints.select(F.col("row").alias(side), F.col("print").alias(f"print_{side}")), side)
+    # A filter moves below a deterministic column and then counts on its own, in a second worker beside the first.
+    apart = _apart.asNondeterministic()("print_a", "print_b")
+    return pairs.select("a", "b", apart.alias("apart")).where(F.col("apart") <= most)
+
+
 def _jaccard(width: int):
-    @F.arrow_udf(DoubleType())
-    def jaccard(a: pa.Array, b: pa.Array) -> pa.Array:
-        found = []
-        for x, y in zip(_in_slices(a), _in_slices(b), strict=True):
-            own, other = shingles(x, width), shingles(y, width)
-            both = len(np.intersect1d(own, other, assume_unique=True))
-            found.append(both / max(len(own) + len(other) - both, 1))
-        return pa.array(found, pa.float64())
+    @F.udf(DoubleType(), useArrow=False)
+    def jaccard(a: bytes | None, b: bytes | None) -> float:
+        own, other = (shingles(bytes(text or b""), width) for text in (a, b))
+        both = len(np.intersect1d(own, other, assume_unique=True))
+        return both / max(len(own) + len(other) - both, 1)
 
-    return jaccard
+    return lambda a, b: jaccard(F.col(a).cast("binary"), F.col(b).cast("binary"))
 
 
 @dataclass(frozen=True)
@@ -315,9 +311,7 @@ def links(texts: DataFrame, prints: DataFrame, width: int, similarity: float, mi
     words = [F.conv(F.hex(F.substring("print", start, 8)), 16, -10).cast("long").alias(name) for start, name in ((1, "w0"), (9, "w1"))]
     signs = stored(prints.select("row", *words, F.explode(_spots(plan)("decided")).alias("spot")), "spots")
     pairs = candidates(signs, bounds.words, bucket_limit)
-    own, other = (prints.select(F.col("row").alias(side), F.col("print").alias(f"print_{side}")) for side in "ab")
-    measured = pairs.join(own, "a").join(other, "b").select("a", "b", _apart("print_a", "print_b").alias("apart"))
-    measured = stored(measured.where(F.col("apart") <= bounds.most), "similar-pairs")
+    measured = stored(_measured(pairs, prints, bounds.most), "similar-pairs")
     sure = measured.where(F.col("apart") <= bounds.sure).select("a", "b")
     doubtful = measured.where(F.col("apart") > bounds.sure)
     first = stored(sure.unionByName(_proven(texts, doubtful, stored(components(sure), "sure-groups"), width, similarity)), "first-links")

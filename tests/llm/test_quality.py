@@ -66,3 +66,14 @@ def test_statistics_hold_few_texts_twice(monkeypatch):
     monkeypatch.setattr(quality, "utf8", lambda part: sizes.append(len(part)) or common.utf8(part))
     assert quality._features(texts).tolist() == [quality.statistics(text) for text in common.utf8(texts)]
     assert max(sizes) <= 256 and quality._features(texts.slice(0, 0)).shape == (0, len(quality.STATISTICS))
+
+
+def test_a_score_holds_no_arrow_batch_of_texts(spark, capsys):
+    rng = np.random.default_rng(1)
+    texts = [" ".join(f"w{n}" for n in rng.integers(0, 9, 40 if i % 2 else 5)) for i in range(80)] + ["é!", "", None]
+    features = np.array([quality.statistics((text or "").encode()) for text in texts])
+    model = boosting.trained(features, np.arange(len(texts)) % 2.0, smallest_leaf=2)
+    scored = spark.createDataFrame(list(enumerate(texts)), "n int, text string").select("n", quality.score(model).alias("s"))
+    scored.explain()
+    assert "ArrowEvalPython" not in capsys.readouterr().out
+    assert np.allclose([row.s for row in scored.orderBy("n").collect()], model.scores(features), atol=1e-12)

@@ -147,6 +147,41 @@ def test_odd_rows(spark):
     assert sorted(r.doc_id for r in similar.one_of_each(longer).collect()) == [3, 8]
 
 
+def test_a_task_holds_no_arrow_batch_of_texts(spark, capsys):
+    texts = [*_families(10, 3, 2), "Some é words", None, ""]
+    frame = spark.createDataFrame(list(enumerate(texts)), "row long, text string")
+    sketches = frame.select("row", "text", similar._sketched(5)("text").alias("s"))
+    pairs = frame.join(frame.select(F.col("row").alias("other"), F.col("text").alias("other_text")), F.col("other") > F.col("row"))
+    alike = pairs.select("row", "other", similar._jaccard(5)("text", "other_text").alias("j"))
+    sketches.explain()
+    alike.explain()
+    assert "ArrowEvalPython" not in capsys.readouterr().out
+    for r in sketches.collect():
+        own = (r.text or "").encode()
+        assert (r.s.print, r.s.decided) == similar.decided_bits(similar.shingles(own, 5))
+        assert r.s.content_a.to_bytes(8, "little", signed=True) + r.s.content_b.to_bytes(8, "little", signed=True) == similar.content(own)
+    sets = [_shingles(text or "") for text in texts]
+    assert all(np.isclose(r.j, _similarity(sets[r.row], sets[r.other])) for r in alike.collect())
+
+
+def test_invalid_utf8_is_read_by_its_bytes(spark):
+    frame = spark.sql("select * from values (1L, x'61FF'), (2L, x'61FE'), (3L, x'61FF') as t(doc_id, text)")
+    frame = frame.select("doc_id", F.col("text").cast("string"))
+    assert sorted(r.doc_id for r in similar.one_of_each(frame).select("doc_id").collect()) == [1, 2]
+
+
+def test_pairs_are_measured_by_one_worker_of_a_task(spark, capsys):
+    frame = spark.createDataFrame(list(enumerate(_families(11, 4, 3))), "row long, text string")
+    prints = _prints(frame).localCheckpoint()
+    pairs = prints.select(F.col("row").alias("a")).crossJoin(prints.select(F.col("row").alias("b"))).where("a < b")
+    measured = similar._measured(pairs, prints, similar.Bounds.of(0.8).most)
+    measured.explain()
+    assert capsys.readouterr().out.count("ArrowEvalPython") == 1
+    bits = {r.row: np.frombuffer(r.print, np.uint64) for r in prints.collect()}
+    apart = {(a, b): int(np.bitwise_count(bits[a] ^ bits[b]).sum()) for a in bits for b in bits if a < b}
+    assert {(r.a, r.b, r.apart) for r in measured.collect()} == {(*p, n) for p, n in apart.items() if n <= similar.Bounds.of(0.8).most}
+
+
 def test_crowded_spots_lose_no_pair_beside_their_first_row(spark, monkeypatch):
     """All texts meet in one spot; what is near its first row without being similar to it, or similar only to such, is joined."""
     rng = np.random.default_rng(8)
